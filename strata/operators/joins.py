@@ -47,52 +47,45 @@ def valid_at(history: DataFrame, as_of: Column, start: str = "valid_from", end:
 
 def resolve_version(fact: DataFrame, history: DataFrame, fact_key: Sequence[str], hist_key: Sequence[str],
                     at: str, start: str = "valid_from", end: str = "valid_to",
-                    unit: str = "year", open_end: Column | None = None) -> DataFrame:
+                    unit: str = "year") -> DataFrame:
     """As-of join: attach the history version whose ``[start, end)`` contains ``fact.at``.
 
-    Exact, and without comparing a fact to every version of its key: each
-    version is listed once per ``unit`` bucket (year/month/day) it overlaps
-    and the join is an equi join on ``(key, bucket)`` with the range as a
-    residual predicate.  Disjoint intervals guarantee at most one partner,
-    so the fact's row count is unchanged (left join).
+    Exact, and without comparing a fact with every version of its key:
 
-    ``open_end`` bounds open-ended versions (``end IS NULL``); by default the
-    bucket of their start (plus one) is used together with an ``at >= start``
-    catch-all bucket, see below.
+    * closed versions are listed once per ``unit`` bucket (year/month/day)
+      they overlap, and facts meet them by an equi join on ``(key, bucket)``
+      with the range as a residual predicate;
+    * the open-ended version (at most one per key) is met by an equi join on
+      the key alone with ``at >= start``.
+
+    Intervals of a key are disjoint, so each fact finds at most one partner
+    across both joins; both are left joins and the fact's row count is
+    unchanged.  History columns are returned once (coalesced over the two
+    joins).  History column names must not clash with fact column names.
     """
     fk, hk = _cols(fact_key), _cols(hist_key)
-    trunc = {"year": "year", "month": "month", "day": "day"}[unit]
-    step = F.expr(f"interval 1 {unit}")
-    h_start = F.to_date(F.col(start))
-    last = F.coalesce(F.date_sub(F.to_date(F.col(end)), 1), open_end if open_end is not None else h_start)
-    hb = history.withColumn(
-        "_bucket", F.explode(F.sequence(F.trunc(h_start, trunc) if trunc != "day" else h_start,
-                                        F.trunc(last, trunc) if trunc != "day" else last, step)))
-    hb = hb.withColumn("_open", F.col(end).isNull())
-    fb = fact.withColumn("_fbucket", F.trunc(F.to_date(F.col(at)), trunc) if trunc != "day" else F.to_date(F.col(at)))
-    cond = [fb[a] == hb[b] for a, b in zip(fk, hk)]
-    cond.append(fb["_fbucket"] == hb["_bucket"])
-    cond.append(F.col(at) >= F.col(start))
-    cond.append(F.col(end).isNull() | (F.col(at) < F.col(end)))
-    c = cond[0]
-    for x in cond[1:]:
-        c = c & x
-    joined = fb.join(hb, c, "left")
-    if open_end is None:
-        # Open-ended versions were listed only in their start bucket; facts in
-        # later buckets pick them up from this second equi join on key alone
-        # restricted to open versions (one per key at most).
-        opened = history.filter(F.col(end).isNull())
-        miss = joined.filter(F.col("_bucket").isNull()).select(*fact.columns, "_fbucket")
-        hit = joined.filter(F.col("_bucket").isNotNull())
-        cond2 = [miss[a] == opened[b] for a, b in zip(fk, hk)]
-        cond2.append(F.col(at) >= F.col(start))
-        c2 = cond2[0]
-        for x in cond2[1:]:
-            c2 = c2 & x
-        rest = miss.join(opened, c2, "left")
-        joined = hit.drop("_bucket", "_open").unionByName(rest, allowMissingColumns=True)
-    return joined.drop("_fbucket", "_bucket", "_open")
+    payload = [c for c in history.columns if c not in hk]
+    trunc_f = (lambda c: c) if unit == "day" else (lambda c: F.trunc(c, unit))
+    opened = history.filter(F.col(end).isNull()).select(
+        *[F.col(c).alias(f"_o_{c}") for c in history.columns])
+    closed = (history.filter(F.col(end).isNotNull())
+              .select(*[F.col(c).alias(f"_c_{c}") for c in history.columns])
+              .withColumn("_c_bucket", F.explode(F.sequence(
+                  trunc_f(F.to_date(F.col(f"_c_{start}"))),
+                  trunc_f(F.date_sub(F.to_date(F.col(f"_c_{end}")), 1)),
+                  F.expr(f"interval 1 {unit}")))))
+    at_c = F.col(at)
+    f = fact.withColumn("_f_bucket", trunc_f(F.to_date(at_c)))
+    c1 = at_c >= F.col(f"_o_{start}")
+    for a, b in zip(fk, hk):
+        c1 = c1 & (F.col(a) == F.col(f"_o_{b}"))
+    c2 = (F.col("_f_bucket") == F.col("_c_bucket")) & (at_c >= F.col(f"_c_{start}")) & (at_c < F.col(f"_c_{end}"))
+    for a, b in zip(fk, hk):
+        c2 = c2 & (F.col(a) == F.col(f"_c_{b}"))
+    j = f.join(opened, c1, "left").join(closed, c2, "left")
+    out = [F.col(c) for c in fact.columns]
+    out += [F.coalesce(F.col(f"_c_{c}"), F.col(f"_o_{c}")).alias(c) for c in payload]
+    return j.select(*out)
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: Sequence[str], pk: Sequence[str]) -> DataFrame:

@@ -43,3 +43,5 @@ query("fact_sales_invoice_line", sql(dbl("SELECT * FROM fsil", "invoiced_qty", "
                                          "line_discount_amount", "line_cost", "gross_margin"), "fsil"))(G.fact_sales_invoice_line)
 query("obt_revenue", sql(dbl("SELECT * FROM obt", "invoiced_qty", "line_revenue", "line_revenue_mst", "line_cost",
                              "gross_margin", "line_discount_amount", "credit_limit"), "obt"))(G.obt_revenue)
+
+from strata.plans import catalog_changes  # noqa: E402,F401
