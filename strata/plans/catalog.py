@@ -45,3 +45,4 @@ query("obt_revenue", sql(dbl("SELECT * FROM obt", "invoiced_qty", "line_revenue"
                              "gross_margin", "line_discount_amount", "credit_limit"), "obt"))(G.obt_revenue)
 
 from strata.plans import catalog_changes  # noqa: E402,F401
+from strata.plans import catalog_quality  # noqa: E402,F401
