@@ -28,3 +28,14 @@ def sequence_versions(history: DataFrame, key, col: str = "version_seq") -> Data
 def as_of(history: DataFrame, at: Column, start: str = START, end: str = END) -> DataFrame:
     """Versions valid at ``at`` (half-open intervals)."""
     return history.filter((F.col(start) <= at) & (F.col(end).isNull() | (at < F.col(end))))
+
+
+def append_events(table: DataFrame, batch: DataFrame, event_key) -> DataFrame:
+    """K2: append a batch, skipping events already present (duplicate delivery protection).
+
+    Duplicates inside the batch collapse too (one row per event key).
+    """
+    keys = [event_key] if isinstance(event_key, str) else list(event_key)
+    from strata.operators import windows
+    fresh = windows.latest(batch, keys, [F.col(c).desc_nulls_last() for c in batch.columns if c not in keys])
+    return table.unionByName(fresh.join(table.select(*keys), keys, "left_anti"))

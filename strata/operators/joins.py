@@ -64,7 +64,7 @@ def resolve_version(fact: DataFrame, history: DataFrame, fact_key: Sequence[str]
     joins).  History column names must not clash with fact column names.
     """
     fk, hk = _cols(fact_key), _cols(hist_key)
-    payload = [c for c in history.columns if c not in hk]
+    payload = list(history.columns)  # keys included: NULL when no version matched
     trunc_f = (lambda c: c) if unit == "day" else (lambda c: F.trunc(c, unit))
     opened = history.filter(F.col(end).isNull()).select(
         *[F.col(c).alias(f"_o_{c}") for c in history.columns])

@@ -47,3 +47,4 @@ query("obt_revenue", sql(dbl("SELECT * FROM obt", "invoiced_qty", "line_revenue"
 from strata.plans import catalog_changes  # noqa: E402,F401
 from strata.plans import catalog_quality  # noqa: E402,F401
 from strata.plans import catalog_marts  # noqa: E402,F401
+from strata.plans import catalog_history  # noqa: E402,F401
