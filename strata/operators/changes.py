@@ -65,8 +65,10 @@ def normalise(changes: DataFrame, key, payload: Sequence[str], version: str, del
                           row_hash(*payload).alias(HASH))
 
 
-WINNER_ORDER = [F.col(VERSION).desc_nulls_last(), F.col(EFFECTIVE).desc_nulls_last(),
-                F.col(DELETED).desc_nulls_last(), F.col(HASH).desc_nulls_last()]
+def winner_order() -> list[Column]:
+    """Total order that picks the surviving change of a key."""
+    return [F.col(VERSION).desc_nulls_last(), F.col(EFFECTIVE).desc_nulls_last(),
+            F.col(DELETED).desc_nulls_last(), F.col(HASH).desc_nulls_last()]
 
 
 def latest(df: DataFrame, key, order: Sequence) -> DataFrame:
@@ -86,10 +88,10 @@ def apply_scd1(state: DataFrame | None, changes: DataFrame, key, track_deletes:
     if not track_deletes:
         changes = changes.filter(~F.col(DELETED))
     if state is None:
-        return latest(changes, keys, WINNER_ORDER)
+        return latest(changes, keys, winner_order())
     touched = changes.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).drop("_n")
     untouched = state.join(touched, keys, "left_anti")
-    rebuilt = latest(state.join(touched, keys, "left_semi").unionByName(changes), keys, WINNER_ORDER)
+    rebuilt = latest(state.join(touched, keys, "left_semi").unionByName(changes), keys, winner_order())
     return untouched.unionByName(rebuilt)
 
 
