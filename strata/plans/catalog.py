@@ -48,3 +48,5 @@ from strata.plans import catalog_changes  # noqa: E402,F401
 from strata.plans import catalog_quality  # noqa: E402,F401
 from strata.plans import catalog_marts  # noqa: E402,F401
 from strata.plans import catalog_history  # noqa: E402,F401
+from strata.plans import catalog_silver  # noqa: E402,F401
+from strata.plans import catalog_control  # noqa: E402,F401
