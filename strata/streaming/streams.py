@@ -41,14 +41,21 @@ def with_quality(stream: DataFrame, rules: Sequence[Q.Rule]) -> DataFrame:
             .withColumn("disposition", Q._disp(Q.severity_of(rules))))
 
 
+def _event_time(stream: DataFrame, event_time: str) -> DataFrame:
+    """Watermarks need TIMESTAMP (with time zone); wall-clock columns are read in the session zone."""
+    if isinstance(stream.schema[event_time].dataType, T.TimestampNTZType):
+        return stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    return stream
+
+
 def dedup(stream: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Redelivery dedup under an event-time watermark (bounded state)."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
+    return _event_time(stream, event_time).withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
 
 
 def lag(stream: DataFrame, event_time: str, window: str, delay: str, by: Sequence[str] = ()) -> DataFrame:
     """Freshness per tumbling window: count and latest event time."""
-    return (stream.withWatermark(event_time, delay)
+    return (_event_time(stream, event_time).withWatermark(event_time, delay)
             .groupBy(F.window(event_time, window), *by)
             .agg(F.count(F.lit(1)).alias("events"), F.max(event_time).alias("latest_event")))
 
