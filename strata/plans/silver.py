@@ -142,7 +142,7 @@ def invoice_header(t) -> DataFrame:
 def invent_trans_raw(t) -> DataFrame:
     """Physical inventory rows: two per delivered line (posted cost and adjustment).
 
-    ``rec_id`` is the true row key; one logical ``(trans_id)`` has several
+    ``REC_KEY`` is the true row key; one logical transaction has several
     physical rows, and duplicated deliveries repeat them.
     """
     part = t.part.select("p_partkey", dec4("p_retailprice").alias("price"))
@@ -162,21 +162,25 @@ def invent_trans_raw(t) -> DataFrame:
     )
     return (base.select("*", F.inline(kinds))
             .select(
-                sha_key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                        F.to_date("l_shipdate"), "kind").alias("rec_id"),
                 F.col("l_orderkey").alias("trans_invoice_id"),
                 F.col("l_linenumber").alias("trans_line_num"),
                 F.col("l_partkey").alias("item_id"),
+                F.col("l_suppkey").alias("supplier_id"),
                 F.to_date("l_shipdate").alias("trans_date"),
+                "kind",
                 dec6("l_quantity").alias("qty"),
                 "posted", "adjustment", "status_issue",
             ))
 
 
+# True row key of a physical inventory row (a composite key: no hashing needed to partition by it).
+REC_KEY = ["trans_invoice_id", "trans_line_num", "item_id", "supplier_id", "trans_date", "kind"]
+
+
 def cost_per_trans(t) -> DataFrame:
     """Dedup on the true row key, keep sold issues, one cost row per transaction."""
     raw = invent_trans_raw(t)
-    dedup = windows.latest(raw, "rec_id", [F.col(c).desc_nulls_last() for c in raw.columns if c != "rec_id"])
+    dedup = windows.latest(raw, REC_KEY, [F.col(c).desc_nulls_last() for c in raw.columns if c not in REC_KEY])
     return (dedup.filter(F.col("status_issue") == 1)
             .groupBy("trans_invoice_id", "trans_line_num")
             .agg(F.max("item_id").alias("item_id"),
