@@ -55,3 +55,11 @@ def test_daily_balance_opening_and_gaps(spark):
                                "k string, ts timestamp, amt double")
     out = periodic.daily_balance(mv, "k", "ts", "amt", "2024-01-01", "2024-01-03")
     assert [(r.balance_date.day, r.balance) for r in out.orderBy("balance_date").collect()] == [(1, 5.0), (2, 6.0), (3, 6.0)]
+
+
+def test_watermark_filter_and_projection_reach_the_scan(spark):
+    import __spark_entry__ as E
+    df = E.queries()["incremental_scan"](spark, "/root/testdata/sf0.001").select("event_id")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
