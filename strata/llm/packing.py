@@ -2,8 +2,8 @@
 
 The documents of a partition, in their order, are one stream of token ids.  A
 window (sequence) holds at most ``size`` ids; the cuts between windows are
-chosen among document ends, sentence ends and, inside a sentence longer than a
-window, fixed steps, so that the sum of
+chosen among document ends, sentence ends and, inside a long sentence,
+fixed steps, so that the sum of
 
     padding of each window + penalty of each cut (0 at a document's end)
 
@@ -204,7 +204,7 @@ _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, se
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
-         sentence_penalty: float = 16, word_penalty: float = 256, block: int = 1 << 19) -> DataFrame:
+         sentence_penalty: float = 8, word_penalty: float = 48, block: int = 1 << 19) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian uint32), doc_tokens, sequence_id, offset.
 
     ``sentence_penalty`` and ``word_penalty``: how many ids of padding it is worth to spare a cut at a sentence's end,
@@ -212,7 +212,7 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int = 2
     """
     def run(batches):
         t = _tokenizer(tokenizer_path)
-        p = Packer(size, sentence_penalty, word_penalty, max(1, size // 8))
+        p = Packer(size, sentence_penalty, word_penalty, max(1, size // 64))
         base = TaskContext.get().partitionId() << 40
 
         def out(pieces):
