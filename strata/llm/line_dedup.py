@@ -43,8 +43,9 @@ def line_chunks(texts: list[bytes], window: int, divisor: int):
     h = hash_spans(buf, start, end)
     roll = h.copy()
     for j in range(1, window):
-        shifted = np.concatenate([np.zeros(min(j, len(h)), U), h[:-j]])[:len(h)]
-        roll = mix(roll * U(0x9FB21C651E98DF25) + shifted)
+        before = np.concatenate([np.zeros(min(j, len(h)), U), h[:-j]])[:len(h)]
+        before[np.arange(len(h)) - first[doc] < j] = 0      # of this text only
+        roll = mix(roll * U(0x9FB21C651E98DF25) + before)
     cut = roll % U(divisor) == 0
     cut[first[1:] - 1] = True                               # a text ends with its last line
     last = np.flatnonzero(cut)

@@ -121,7 +121,7 @@ class FmIndex:
     """FM-index over sequences of words, a symbol being ``stride`` words; answers queries of up to 4 symbols."""
 
     def __init__(self, words: np.ndarray, stride: int):
-        """``words``: ids from 1, with 0 between sequences."""
+        """``words``: ids from 1, with a 0 after each sequence, also the last (so a query's symbols never reach the end)."""
         n = len(words)
         self.stride, self.n = stride, n
 
