@@ -149,7 +149,7 @@ def test_pieces(spark):
     assert len(got) == len(texts)
     for r in got:
         assert r["ids"] == (None if r["text"] is None else m.processor.encode(r["text"])), r["text"][:40]
-        assert r["back"] == r["text"]
+        assert r["back"] == (r["text"] and r["text"].replace("▁", " "))     # the library reads the mark as a space, too
     assert with_pieces(docs.limit(0), path).count() == 0
 
 
