@@ -1,8 +1,10 @@
 """Key and hash expressions (all JVM-side built-ins).
 
 Default key form is a delimited SHA-256 over canonicalised parts with an
-explicit null token, so that ``('a', NULL)`` and ``(NULL, 'a')`` and
-``('a|', '')`` all hash differently.  ``md5_key`` keeps the plain
+explicit null token.  Backslash and separator inside a part are escaped by a
+backslash, so no two different lists of parts have one text: ``('a', NULL)``,
+``(NULL, 'a')``, ``('a|', '')``, ``('a', '|')`` and the text ``\\N`` all hash
+differently.  ``md5_key`` keeps the plain
 ``MD5(CONCAT(...))`` form for parity with existing models (NULL in ⇒ NULL out).
 """
 
@@ -20,6 +22,12 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def part(s: Column) -> Column:
+    """A part's unambiguous text: escaped, or the null token (which no escaped text equals)."""
+    s = F.replace(s, F.lit("\\"), F.lit("\\\\"))
+    return F.coalesce(F.replace(s, F.lit(SEPARATOR), F.lit("\\" + SEPARATOR)), F.lit(NULL_TOKEN))
+
+
 def canonical(c, upper: bool = True) -> Column:
     """Trimmed (and upper-cased) text form of a value; NULL becomes the null token.
 
@@ -29,7 +37,7 @@ def canonical(c, upper: bool = True) -> Column:
     s = F.trim(_c(c).cast("string"))
     if upper:
         s = F.upper(s)
-    return F.coalesce(s, F.lit(NULL_TOKEN))
+    return part(s)
 
 
 def sha_key(*cols, upper: bool = True) -> Column:
@@ -49,7 +57,7 @@ def date_key(c) -> Column:
 
 def row_hash(*cols) -> Column:
     """Order-sensitive, null-safe hash of a row's values (change detection)."""
-    return F.sha2(F.concat_ws(SEPARATOR, *[F.coalesce(_c(c).cast("string"), F.lit(NULL_TOKEN)) for c in cols]), 256)
+    return F.sha2(F.concat_ws(SEPARATOR, *[part(_c(c).cast("string")) for c in cols]), 256)
 
 
 def checksum(*cols) -> Column:
@@ -57,5 +65,5 @@ def checksum(*cols) -> Column:
 
     Summing it gives an order-free table checksum that DuckDB reproduces.
     """
-    body = F.concat_ws(SEPARATOR, *[F.coalesce(_c(c).cast("string"), F.lit(NULL_TOKEN)) for c in cols])
+    body = F.concat_ws(SEPARATOR, *[part(_c(c).cast("string")) for c in cols])
     return F.conv(F.substring(F.md5(body), 1, 8), 16, 10).cast("bigint")

@@ -2,14 +2,15 @@
 hash-compare CDC, tombstones, row-level change feed, purge.
 
 There is no merge engine underneath: every operator is a DataFrame
-transform (union, windowed pick, joins) whose result is published by an
-atomic rewrite (``strata.sources.sinks``).  The contracts:
+transform (union, windowed pick, joins); ``strata.sources.sinks`` publishes the
+partitions that it touches.  The contracts:
 
 ``apply_scd1`` — state rows carry the payload plus ``_version`` and
 ``_deleted``.  The winner per key is the maximum of
 ``(_version, _effective, _deleted, _row_hash)`` over ``state ∪ changes``,
 which makes the operator commutative, associative and idempotent
-(redelivery, reordering and retries are safe).  Deleted keys stay as hidden
+(redelivery, reordering and retries are safe).  Rows with a
+NULL in the key are not applied (``split_null_keys`` returns them for quarantine).  Deleted keys stay as hidden
 tombstones so a late, older update cannot resurrect them; ``live`` filters
 them out.
 
@@ -54,6 +55,14 @@ def split(changes: DataFrame, deleted: str | Column) -> tuple[DataFrame, DataFra
             tagged.filter(F.col("_is_delete")).drop("_is_delete"))
 
 
+def split_null_keys(changes: DataFrame, key) -> tuple[DataFrame, DataFrame]:
+    """(rows with a whole key, rows with a NULL in it).  The second go to quarantine: no merge can address them."""
+    whole = F.lit(True)
+    for k in _cols(key):
+        whole = whole & F.col(k).isNotNull()
+    return changes.filter(whole), changes.filter(~whole)
+
+
 def normalise(changes: DataFrame, key, payload: Sequence[str], version: str, deleted: str | Column | None,
               effective: str | None = None) -> DataFrame:
     """Change rows in the canonical change shape: key, payload, _version, _effective, _deleted, _row_hash."""
@@ -85,6 +94,7 @@ def apply_scd1(state: DataFrame | None, changes: DataFrame, key, track_deletes:
     through untouched (a bucketed sink rewrites only their buckets).
     """
     keys = _cols(key)
+    changes = split_null_keys(changes, keys)[0]
     if not track_deletes:
         changes = changes.filter(~F.col(DELETED))
     if state is None:
@@ -140,6 +150,7 @@ def apply_scd2(history: DataFrame | None, changes: DataFrame, key) -> DataFrame:
     hidden delete markers); ``changes`` are normalised change rows.
     """
     keys = _cols(key)
+    changes = split_null_keys(changes, keys)[0]
     if history is None:
         return _intervals(changes, keys)
     touched = changes.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).drop("_n")

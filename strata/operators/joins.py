@@ -52,6 +52,7 @@ def resolve_version(fact: DataFrame, history: DataFrame, fact_key: Sequence[str]
 
     Exact, and without comparing a fact with every version of its key:
 
+    * ``unit`` only sets the size of the buckets, never which rows match;
     * closed versions are listed once per ``unit`` bucket (year/month/day)
       they overlap, and facts meet them by an equi join on ``(key, bucket)``
       with the range as a residual predicate;
@@ -68,11 +69,13 @@ def resolve_version(fact: DataFrame, history: DataFrame, fact_key: Sequence[str]
     trunc_f = (lambda c: c) if unit == "day" else (lambda c: F.trunc(c, unit))
     opened = history.filter(F.col(end).isNull()).select(
         *[F.col(c).alias(f"_o_{c}") for c in history.columns])
-    closed = (history.filter(F.col(end).isNotNull())
+    # an empty interval holds no instant; the last bucket is that of the last instant before the end
+    last = F.to_date(F.col(f"_c_{end}").cast("timestamp_ntz") - F.expr("INTERVAL 1 MICROSECOND"))
+    closed = (history.filter(F.col(start) < F.col(end))
               .select(*[F.col(c).alias(f"_c_{c}") for c in history.columns])
               .withColumn("_c_bucket", F.explode(F.sequence(
                   trunc_f(F.to_date(F.col(f"_c_{start}"))),
-                  trunc_f(F.date_sub(F.to_date(F.col(f"_c_{end}")), 1)),
+                  trunc_f(last),
                   F.expr(f"interval 1 {unit}")))))
     at_c = F.col(at)
     f = fact.withColumn("_f_bucket", trunc_f(F.to_date(at_c)))

@@ -198,3 +198,46 @@ def scd2_from_snapshot(t):
     """SCD2 history initialised from the first-half snapshot."""
     snap = CH.live(CH.apply_scd1(None, FD.norm(FD.first_half(t)), K))
     return CH.history_view(CH.snapshot_to_scd2(snap, K, P, CH.VERSION, CH.EFFECTIVE)).select(*HIST_COLS)
+
+
+@query("null_key_quarantine", """SELECT 'quarantined' AS side, event_id, NULL::BIGINT AS user_id FROM events WHERE user_id % 7 = 0
+UNION ALL SELECT 'state', max(event_id), user_id FROM events WHERE user_id % 7 <> 0 GROUP BY user_id""")
+def null_key_quarantine(t):
+    """Rows without a key are quarantined, and applying the batch three times gives what once gives."""
+    feed = FD.feed(t).withColumn(K, F.when(F.col(K) % 7 != 0, F.col(K)))
+    batch = FD.norm(feed)
+    state = CH.apply_scd1(None, batch, K)
+    for _ in range(2):
+        state = CH.apply_scd1(state, batch, K)
+    lost = CH.split_null_keys(batch, K)[1]
+    return (lost.select(F.lit("quarantined").alias("side"), F.col(CH.VERSION).alias("event_id"), F.col(K).cast("long").alias(K))
+            .unionByName(state.select(F.lit("state").alias("side"), F.col(CH.VERSION).alias("event_id"), F.col(K).cast("long").alias(K))))
+
+
+@query("hash_separators", sql("""SELECT event_id, event_type || '|' AS a, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN '\\N' ELSE '|' || event_type END AS b,
+  dense_rank() OVER (ORDER BY event_type || '|', event_id % 3) AS g FROM events"""))
+def hash_separators(t):
+    """Hashes of parts that hold the separator, the null token as text, and NULL: one per different list of parts."""
+    from pyspark.sql import Window
+
+    from strata.functions.keys import row_hash
+    third = F.col("event_id") % 3
+    rows = t.events.select("event_id", F.concat("event_type", F.lit("|")).alias("a"),
+                           F.when(third == 0, F.lit(None)).when(third == 1, F.lit("\\N")).otherwise(F.concat(F.lit("|"), "event_type")).alias("b"))
+    hashed = rows.withColumn("h", row_hash("a", "b"))
+    groups = hashed.groupBy("h").agg(F.min("a").alias("ga"), F.min(F.col("event_id") % 3).alias("gb"))
+    groups = groups.withColumn("g", F.dense_rank().over(Window.orderBy("ga", "gb")))   # one row per different hash: 15
+    return hashed.join(groups.select("h", "g"), "h").select("event_id", "a", "b", "g")
+
+
+@query("asof_scd2_history", sql("""SELECT e.event_id, h._version AS version, h.event_type AS state, h.value AS state_value
+FROM events e LEFT JOIN hist h ON h.user_id = e.user_id AND h.__START_AT <= e.ts + INTERVAL 90 MINUTE
+  AND (h.__END_AT IS NULL OR h.__END_AT > e.ts + INTERVAL 90 MINUTE) AND NOT h._deleted""", "hist"))
+def asof_scd2_history(t):
+    """D9 on timestamped SCD2 history: the version in force 90 minutes after each event, versions shorter than a day, open ones and none included."""
+    from strata.operators import joins
+    history = CH.history_view(FD.scd2_history(t)).select(F.col(K).alias("h_user"), F.col("event_type").alias("state"), F.col("value").alias("state_value"),
+                                                          F.col(CH.VERSION).alias("version"), CH.START, CH.END)
+    facts = t.events.select("event_id", K, (F.col("ts") + F.expr("INTERVAL 90 MINUTES")).alias("at"))
+    out = joins.resolve_version(facts, history, [K], ["h_user"], at="at", start=CH.START, end=CH.END, unit="day")
+    return out.select("event_id", "version", "state", "state_value")

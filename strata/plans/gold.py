@@ -99,20 +99,24 @@ def date_rows(first: F.Column, last: F.Column, source: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence("_first", "_last")).alias("full_date"))
 
 
-def calendar(df: DataFrame, d: str = "full_date") -> DataFrame:
+def calendar_columns(d: str) -> dict:
+    """Calendar attributes of a date column."""
     m = F.month(d)
     shifted = (m - F.lit(FISCAL_START_MONTH) + 12) % 12  # 0 = first fiscal month
-    return df.select(
-        date_key(d).alias("date_key"), F.col(d).alias("full_date"),
-        (F.weekday(d) + 1).alias("day_of_week"),
-        F.date_format(d, "EEEE").alias("day_name"),
-        m.alias("month_number"), F.date_format(d, "MMMM").alias("month_name"),
-        F.quarter(d).alias("quarter"), F.year(d).alias("calendar_year"),
-        (F.year(d) + F.when(m >= FISCAL_START_MONTH, 1).otherwise(0)).alias("fiscal_year"),
-        (F.floor(shifted / 3) + 1).cast("int").alias("fiscal_quarter"),
-        (shifted + 1).cast("int").alias("fiscal_period"),
-        F.date_format(d, "MM-dd").isin(*HOLIDAYS_MMDD).alias("is_holiday"),
-    )
+    return {
+        "day_of_week": F.weekday(d) + 1, "day_name": F.date_format(d, "EEEE"),
+        "month_number": m, "month_name": F.date_format(d, "MMMM"),
+        "quarter": F.quarter(d), "calendar_year": F.year(d),
+        "fiscal_year": F.year(d) + F.when(m >= FISCAL_START_MONTH, 1).otherwise(0),
+        "fiscal_quarter": (F.floor(shifted / 3) + 1).cast("int"),
+        "fiscal_period": (shifted + 1).cast("int"),
+        "is_holiday": F.date_format(d, "MM-dd").isin(*HOLIDAYS_MMDD),
+    }
+
+
+def calendar(df: DataFrame, d: str = "full_date") -> DataFrame:
+    return df.select(date_key(d).alias("date_key"), F.col(d).alias("full_date"),
+                     *(c.alias(n) for n, c in calendar_columns(d).items()))
 
 
 def dim_date(t) -> DataFrame:
@@ -141,7 +145,7 @@ def dim_warehouse(t) -> DataFrame:
     s = warehouse_of_lines(t)
     nation = t.nation.select("n_nationkey", F.col("n_regionkey").alias("company"))
     return (li.join(s, li.l_suppkey == s.warehouse_id, "inner")
-            .join(F.broadcast(nation), F.col("site_id") == F.col("n_nationkey"), "left")
+            .join(nation, F.col("site_id") == F.col("n_nationkey"), "left")
             .groupBy("site_id", "warehouse_id", "company").agg(F.count(F.lit(1)).alias("line_count"))
             .select(sha_key("site_id", "warehouse_id").alias("warehouse_sk"), "site_id", "warehouse_id", "company",
                     "line_count"))
@@ -153,7 +157,7 @@ def dim_sales_rep(t) -> DataFrame:
     nation = t.nation.select("n_nationkey", F.col("n_regionkey").alias("company"))
     w = t.supplier.select("s_suppkey", "s_nationkey")
     return (w.join(p, F.concat(F.lit("S"), F.col("s_suppkey").cast("string")) == F.col("party_id"), "left")
-            .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
             .select(sha_key("s_suppkey", "company").alias("sales_rep_sk"),
                     F.col("s_suppkey").alias("personnel_number"),
                     F.col("party_name").alias("sales_rep_name"), "company"))
@@ -186,72 +190,61 @@ def fact_sales_order_line(t) -> DataFrame:
             ))
 
 
-def fact_sales_invoice_line(t) -> DataFrame:
-    """Invoice lines with cost (E1), margin, allocated tax (E11) and accounting-currency revenue."""
-    il = S.invoice_line(t)
-    ih = S.invoice_header(t).select(F.col("invoice_id").alias("h_invoice_id"), "company", "invoice_account",
-                                     "nation_key", "invoice_date", "invoice_amount", "total_tax")
-    cost = S.cost_per_trans(t).select("trans_invoice_id", "trans_line_num", "total_cost")
-    wh = warehouse_of_lines(t)
+def invoice_lines_in_full(t) -> DataFrame:
+    """Kept invoice lines with their header, cost (of the kept delivery), site and accounting rate, on natural keys.
+
+    Lines are read twice: for the rows themselves and for the header's tax total, both aggregated map-side first.
+    """
+    lines = S.lines_with_cost(t).select(*S.invoice_columns(), (F.col("posted") + F.col("adjustment")).cast("decimal(19,4)").alias("total_cost"))
+    header = S.invoice_header(t).select(F.col("invoice_id").alias("h_invoice_id"), "company", "invoice_account",
+                                        "nation_key", "invoice_date", "invoice_amount", "total_tax")
     rates = S.address_history(t).select(F.col("nation_key").alias("r_nation"), "valid_from", "valid_to", "rate")
-    base = (il.join(ih, il.invoice_id == ih.h_invoice_id, "inner")
-            .join(cost, (il.invoice_id == cost.trans_invoice_id) & (il.line_num == cost.trans_line_num), "left")
-            .join(wh, il.supplier_id == wh.warehouse_id, "left"))
+    base = (lines.join(header, F.col("invoice_id") == F.col("h_invoice_id"))
+            .join(warehouse_of_lines(t), F.col("supplier_id") == F.col("warehouse_id"), "left"))
     base = joins.resolve_version(base, rates, ["nation_key"], ["r_nation"], at="invoice_date")
-    line_cost = F.coalesce("total_cost", F.lit(0).cast("decimal(19,4)"))
-    alloc = (F.when(F.col("invoice_amount") != 0,
-                    F.col("line_revenue").cast("double") / F.col("invoice_amount").cast("double")
-                    * F.col("total_tax").cast("double"))
-             .otherwise(F.lit(0.0)))
-    return base.select(
+    cost = F.coalesce("total_cost", F.lit(0).cast("decimal(19,4)"))
+    share = F.col("line_revenue").cast("double") / F.col("invoice_amount").cast("double")
+    return (base.withColumn("line_cost", cost)
+            .withColumn("line_revenue_mst", (F.col("line_revenue") * F.col("rate")).cast("decimal(19,4)"))
+            .withColumn("gross_margin", (F.col("line_revenue") - cost).cast("decimal(19,4)"))
+            .withColumn("allocated_tax", F.when(F.col("invoice_amount") != 0, share * F.col("total_tax").cast("double")).otherwise(F.lit(0.0))))
+
+
+def fact_sales_invoice_line(t) -> DataFrame:
+    """Invoice lines with cost (E1), margin, allocated tax (E11) and accounting-currency revenue."""
+    return invoice_lines_in_full(t).select(
         sha_key("invoice_id", "line_num", "company").alias("invoice_line_sk"),
         sha_key("invoice_account", "company").alias("customer_bk"),
         sha_key("item_id").alias("product_bk"),
         sha_key("department", "cost_center").alias("financial_dim_sk"),
-        sha_key("site_id", "warehouse_id").alias("warehouse_sk"),
+        sha_key("site_id", F.col("supplier_id")).alias("warehouse_sk"),
         date_key("invoice_date").alias("invoice_date_key"),
-        F.col("invoice_id").alias("invoice_number"),
-        F.col("line_num").alias("line_number"),
-        F.col("invoice_id").alias("sales_order_number"),
-        "company", "invoice_account", "invoice_date",
-        "invoiced_qty", "unit_price", "line_revenue",
-        (F.col("line_revenue") * F.col("rate")).cast("decimal(19,4)").alias("line_revenue_mst"),
-        "line_discount_amount",
-        line_cost.alias("line_cost"),
-        (F.col("line_revenue") - line_cost).cast("decimal(19,4)").alias("gross_margin"),
-        alloc.alias("allocated_tax"),
-    )
+        F.col("invoice_id").alias("invoice_number"), F.col("line_num").alias("line_number"),
+        F.col("invoice_id").alias("sales_order_number"), "company", "invoice_account", "invoice_date",
+        "invoiced_qty", "unit_price", "line_revenue", "line_revenue_mst", "line_discount_amount",
+        "line_cost", "gross_margin", "allocated_tax")
 
 
 def obt_revenue(t) -> DataFrame:
-    """Invoice-line fact flattened with current dimension rows (D11 star join)."""
-    f = fact_sales_invoice_line(t)
-    dc = dim_customer(t).filter("is_current").select(
-        F.col("customer_bk").alias("dc_bk"), "customer_account", "customer_name", "customer_group",
+    """Invoice lines flattened with current customer and product rows.
+
+    Joined on natural keys; calendar, financial and warehouse attributes are functions of columns that the lines have.
+    """
+    customers = dim_customer(t).filter("is_current").select(
+        F.col("company").alias("c_company"), "customer_account", "customer_name", "customer_group",
         "primary_city", "primary_country", "credit_limit", "payment_term_description")
-    dp = dim_product(t).filter("is_current").select(
-        F.col("product_bk").alias("dp_bk"), "item_id", "product_number", "item_group_name",
-        "product_category", "product_category_parent", "product_type")
-    fd = dim_financial(t).withColumnRenamed("financial_dim_sk", "fd_sk")
-    dd = dim_date(t).select(F.col("date_key").alias("dd_key"), F.col("full_date").alias("invoice_date_d"),
-                            "fiscal_year", "fiscal_quarter", "fiscal_period", "month_name", "calendar_year")
-    wh = dim_warehouse(t).select(F.col("warehouse_sk").alias("wh_sk"), "site_id", "warehouse_id")
-    margin_pct = F.when(F.col("line_revenue") != 0,
-                        F.round(F.col("gross_margin").cast("double") / F.col("line_revenue").cast("double") * 100, 2)
-                        ).otherwise(F.lit(0.0))
-    return (f.join(dc, f.customer_bk == dc.dc_bk, "left")
-            .join(dp, f.product_bk == dp.dp_bk, "left")
-            .join(fd, f.financial_dim_sk == fd.fd_sk, "left")
-            .join(dd, f.invoice_date_key == dd.dd_key, "left")
-            .join(wh, f.warehouse_sk == wh.wh_sk, "left")
-            .select(
-                "invoice_number", "line_number", "sales_order_number", "company",
-                "invoiced_qty", "unit_price", "line_revenue", "line_revenue_mst", "line_cost", "gross_margin",
-                "line_discount_amount", "allocated_tax", margin_pct.alias("gross_margin_pct"),
-                "customer_account", "customer_name", "customer_group", "primary_city", "primary_country",
-                "credit_limit", "payment_term_description",
-                "item_id", "product_number", "item_group_name", "product_category", "product_category_parent",
-                "product_type", "department", "cost_center", "business_unit",
-                F.col("invoice_date_d").alias("invoice_date"), "fiscal_year", "fiscal_quarter", "fiscal_period",
-                "month_name", "calendar_year", "site_id", "warehouse_id",
-            ))
+    products = dim_product(t).filter("is_current").select(
+        F.col("item_id").alias("p_item"), "product_number", "item_group_name", "product_category", "product_category_parent", "product_type")
+    lines = (invoice_lines_in_full(t)
+             .join(customers, (F.col("invoice_account") == F.col("customer_account")) & F.col("company").eqNullSafe(F.col("c_company")), "left")
+             .join(products, F.col("item_id") == F.col("p_item"), "left"))
+    percent = F.round(F.col("gross_margin").cast("double") / F.col("line_revenue").cast("double") * 100, 2)
+    days = calendar_columns("invoice_date")
+    return lines.select(
+        F.col("invoice_id").alias("invoice_number"), F.col("line_num").alias("line_number"), F.col("invoice_id").alias("sales_order_number"), "company",
+        "invoiced_qty", "unit_price", "line_revenue", "line_revenue_mst", "line_cost", "gross_margin", "line_discount_amount", "allocated_tax",
+        F.when(F.col("line_revenue") != 0, percent).otherwise(F.lit(0.0)).alias("gross_margin_pct"),
+        "customer_account", "customer_name", "customer_group", "primary_city", "primary_country", "credit_limit", "payment_term_description",
+        F.col("p_item").alias("item_id"), "product_number", "item_group_name", "product_category", "product_category_parent", "product_type",
+        "department", "cost_center", F.concat(F.lit("BU-"), "department", "cost_center").alias("business_unit"), "invoice_date",
+        *(days[n].alias(n) for n in ("fiscal_year", "fiscal_quarter", "fiscal_period", "month_name", "calendar_year")), "site_id", "warehouse_id")

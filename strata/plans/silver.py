@@ -99,8 +99,12 @@ def sales_line(t) -> DataFrame:
 
 def invoice_line(t) -> DataFrame:
     """L4 silver.cust_invoice_trans: invoice lines (same dedup as sales lines)."""
+    return _line_base(t).select(*invoice_columns())
+
+
+def invoice_columns() -> list:
     amount = _line_amount()
-    return _line_base(t).select(
+    return [
         F.col("l_orderkey").alias("invoice_id"),
         F.col("l_linenumber").alias("line_num"),
         F.col("l_partkey").alias("item_id"),
@@ -113,7 +117,7 @@ def invoice_line(t) -> DataFrame:
         F.to_date("l_shipdate").alias("ship_date"),
         F.col("l_returnflag").alias("department"),
         F.col("l_linestatus").alias("cost_center"),
-    )
+    ]
 
 
 def invoice_header(t) -> DataFrame:
@@ -139,54 +143,40 @@ def invoice_header(t) -> DataFrame:
             ))
 
 
-def invent_trans_raw(t) -> DataFrame:
-    """Physical inventory rows: two per delivered line (posted cost and adjustment).
+def lines_with_cost(t) -> DataFrame:
+    """Surviving deliveries (one per order and line) with the posted and adjustment cost of that delivery.
 
-    ``REC_KEY`` is the true row key; one logical transaction has several
-    physical rows, and duplicated deliveries repeat them.
+    Cost follows the delivery that the line's dedup keeps, never one that it discards.  A returned line takes no
+    adjustment.  A part without a price leaves both amounts NULL.
     """
-    part = t.part.select("p_partkey", dec4("p_retailprice").alias("price"))
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                           "l_shipdate", "l_returnflag")
-    base = li.join(part, F.col("l_partkey") == F.col("p_partkey"), "inner")
-    cost = (F.col("price") * dec6("l_quantity"))
-    kinds = F.array(
-        F.struct(F.lit("posted").alias("kind"),
-                 (cost * F.lit(0.7).cast("decimal(3,2)")).cast("decimal(19,4)").alias("posted"),
-                 F.lit(0).cast("decimal(19,4)").alias("adjustment"),
-                 F.lit(1).alias("status_issue")),
-        F.struct(F.lit("adjustment").alias("kind"),
-                 F.lit(0).cast("decimal(19,4)").alias("posted"),
-                 (cost * F.lit(0.05).cast("decimal(3,2)")).cast("decimal(19,4)").alias("adjustment"),
-                 F.when(F.col("l_returnflag") == "R", 2).otherwise(1).alias("status_issue")),
-    )
-    return (base.select("*", F.inline(kinds))
-            .select(
-                F.col("l_orderkey").alias("trans_invoice_id"),
-                F.col("l_linenumber").alias("trans_line_num"),
-                F.col("l_partkey").alias("item_id"),
-                F.col("l_suppkey").alias("supplier_id"),
-                F.to_date("l_shipdate").alias("trans_date"),
-                "kind",
-                dec6("l_quantity").alias("qty"),
-                "posted", "adjustment", "status_issue",
-            ))
+    price = t.part.select(F.col("p_partkey"), dec4("p_retailprice").alias("price"))
+    cost = F.col("price") * dec6("l_quantity")
+    adjustment = (cost * F.lit(0.05).cast("decimal(3,2)")).cast("decimal(19,4)")
+    zero = F.lit(0).cast("decimal(19,4)")
+    return (_line_base(t).join(price, F.col("l_partkey") == F.col("p_partkey"), "left")
+            .withColumn("posted", (cost * F.lit(0.7).cast("decimal(3,2)")).cast("decimal(19,4)"))
+            .withColumn("adjustment", F.when(F.col("l_returnflag") == "R", F.when(cost.isNotNull(), zero)).otherwise(adjustment)))
 
 
-# True row key of a physical inventory row (a composite key: no hashing needed to partition by it).
-REC_KEY = ["trans_invoice_id", "trans_line_num", "item_id", "supplier_id", "trans_date", "kind"]
+def invent_trans(t) -> DataFrame:
+    """Physical inventory rows: a posted row with the quantity and an adjustment row without one, per kept delivery."""
+    kinds = F.array(
+        F.struct(F.lit("posted").alias("kind"), dec6("l_quantity").alias("qty"), F.col("posted").alias("cost_posted"),
+                 F.lit(0).cast("decimal(19,4)").alias("cost_adjustment")),
+        F.struct(F.lit("adjustment").alias("kind"), F.lit(0).cast("decimal(19,6)").alias("qty"),
+                 F.lit(0).cast("decimal(19,4)").alias("cost_posted"), F.col("adjustment").alias("cost_adjustment")))
+    return lines_with_cost(t).filter(F.col("posted").isNotNull()).select(
+        F.col("l_orderkey").alias("trans_invoice_id"), F.col("l_linenumber").alias("trans_line_num"),
+        F.col("l_partkey").alias("item_id"), F.col("l_suppkey").alias("supplier_id"), F.inline(kinds))
 
 
 def cost_per_trans(t) -> DataFrame:
-    """Dedup on the true row key, keep sold issues, one cost row per transaction."""
-    raw = invent_trans_raw(t)
-    dedup = windows.latest(raw, REC_KEY, [F.col(c).desc_nulls_last() for c in raw.columns if c not in REC_KEY])
-    return (dedup.filter(F.col("status_issue") == 1)
-            .groupBy("trans_invoice_id", "trans_line_num")
+    """The physical rows of a transaction summed to one cost row."""
+    return (invent_trans(t).groupBy("trans_invoice_id", "trans_line_num")
             .agg(F.max("item_id").alias("item_id"),
-                 F.sum("posted").cast("decimal(19,4)").alias("cost_amount_posted"),
-                 F.sum("adjustment").cast("decimal(19,4)").alias("cost_amount_adjustment"),
-                 F.sum(F.col("posted") + F.col("adjustment")).cast("decimal(19,4)").alias("total_cost"),
+                 F.sum("cost_posted").cast("decimal(19,4)").alias("cost_amount_posted"),
+                 F.sum("cost_adjustment").cast("decimal(19,4)").alias("cost_amount_adjustment"),
+                 F.sum(F.col("cost_posted") + F.col("cost_adjustment")).cast("decimal(19,4)").alias("total_cost"),
                  F.sum("qty").cast("decimal(19,6)").alias("inventory_qty")))
 
 
