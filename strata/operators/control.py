@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 # Run statuses and the priority of each class per planning mode.
 STATUSES = ("SUCCESS", "FAILED", "RUNNING", "NEVER_RUN")
 PRIORITY = {
-    "resume": {"failed": 1, "never_run": 2, "stale": 3, "fresh": 4},
+    "resume": {"failed": 1, "never_run": 2, "stale": 3},        # fresh tables are skipped
     "full": {"never_run": 1, "failed": 2, "stale": 3, "fresh": 4},
     "failed_only": {"failed": 1},
 }
 
 
+RESET_NOTE = "reset by operator while RUNNING"
+
+
 def upsert(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keyed upsert of a small control table (new rows win)."""
     return table.join(rows.select(*key), list(key), "left_anti").unionByName(rows, allowMissingColumns=True)
@@ -45,17 +48,18 @@ def recover_stuck(cursor: DataFrame, now: Column, hours: int) -> DataFrame:
 
 
 def reset_running(cursor: DataFrame) -> DataFrame:
-    """Every RUNNING row back to FAILED immediately."""
-    return cursor.withColumn("status", F.when(F.col("status") == "RUNNING", "FAILED").otherwise(F.col("status")))
+    """Every RUNNING row back to FAILED immediately, with a note."""
+    running = F.col("status") == "RUNNING"
+    return (cursor.withColumn("error_message", F.when(running, F.lit(RESET_NOTE)).otherwise(F.col("error_message")))
+            .withColumn("status", F.when(running, "FAILED").otherwise(F.col("status"))))
 
 
 def classify(scope: DataFrame, cursor: DataFrame, now: Column, stale_hours: int) -> DataFrame:
-    """Failed / never_run / stale / fresh per table in scope; unknown statuses count as failed."""
+    """Failed / never_run / stale / fresh per table in scope; RUNNING (a run that was cut off) and unknown statuses count as failed."""
     j = scope.select("table_name").join(cursor, "table_name", "left")
     cls = (F.when(F.col("status").isNull() | (F.col("status") == "NEVER_RUN"), "never_run")
            .when(F.col("status") == "SUCCESS",
                  F.when(F.col("last_run_ts") < now - F.expr(f"INTERVAL {stale_hours} HOURS"), "stale").otherwise("fresh"))
-           .when(F.col("status") == "RUNNING", "stale")
            .otherwise("failed"))
     return j.withColumn("class", cls)
 
@@ -72,11 +76,16 @@ def plan(classified: DataFrame, mode: str) -> DataFrame:
 def plan_batches(planned: DataFrame, batch_size: int) -> DataFrame:
     """ordinal and batch number over the ordered work list (progress ``[n/m]``).
 
-    The work list is one row per table (hundreds), so a single ordered window
-    is the right tool here.
+    Rows are numbered inside (priority, day of the last run) and moved up by the count of what stands before, so only
+    one row per priority and day, not one per table, is ordered in a single task.
     """
-    w = Window.orderBy(F.col("priority").asc(), F.col("last_run_ts").asc_nulls_first(), F.col("table_name").asc())
-    out = planned.withColumn("ordinal", F.row_number().over(w))
+    p = planned.withColumn("_day", F.to_date("last_run_ts"))
+    ahead = Window.orderBy(F.col("priority").asc(), F.col("_day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    groups = p.groupBy("priority", "_day").agg(F.count(F.lit(1)).alias("_n"))
+    groups = groups.select(F.col("priority").alias("_p"), F.col("_day").alias("_d"), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    own = Window.partitionBy("priority", "_day").orderBy(F.col("last_run_ts").asc_nulls_first(), F.col("table_name").asc())
+    out = p.withColumn("_k", F.row_number().over(own)).join(groups, F.col("priority").eqNullSafe(F.col("_p")) & F.col("_day").eqNullSafe(F.col("_d")))
+    out = out.withColumn("ordinal", F.col("_ahead") + F.col("_k")).drop("_day", "_k", "_p", "_d", "_ahead")
     return out.withColumn("batch", F.ceil(F.col("ordinal") / F.lit(batch_size)).cast("int"))
 
 

@@ -75,7 +75,9 @@ def dedup(df: DataFrame, key, order: Sequence) -> tuple[DataFrame, DataFrame]:
     discarded = (copies.join(winner, cond, "left")
                  .withColumn("_n", F.col("_copies") - F.when(is_winner, 1).otherwise(0))
                  .filter(F.col("_n") > 0)
-                 .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+                 # long counts, given out a thousand at a time: no array grows with a group
+                 .withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1, F.lit(1000))))
+                 .withColumn("_j", F.explode(F.sequence(F.col("_i"), F.least(F.col("_i") + 999, F.col("_n") - 1))))
                  .select(*cols))
     return kept, discarded
 

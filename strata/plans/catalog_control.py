@@ -46,10 +46,10 @@ cte("cur", """SELECT 'tbl_' || CAST(user_id AS VARCHAR) AS table_name, arg_max(e
 FROM events GROUP BY user_id""")
 cte("cls", f"""SELECT c.*, CASE WHEN c.status IS NULL OR c.status = 'NEVER_RUN' THEN 'never_run'
   WHEN c.status = 'SUCCESS' THEN CASE WHEN c.last_run_ts < TIMESTAMP '{NOW}' - INTERVAL {STALE_HOURS} HOUR THEN 'stale' ELSE 'fresh' END
-  WHEN c.status = 'RUNNING' THEN 'stale' ELSE 'failed' END AS class FROM cur c""", "cur")
+  ELSE 'failed' END AS class FROM cur c""", "cur")
 cte("planned", f"""SELECT *, row_number() OVER (ORDER BY priority, last_run_ts ASC NULLS FIRST, table_name) AS ordinal
 FROM (SELECT *, CASE class WHEN 'failed' THEN 1 WHEN 'never_run' THEN 2 WHEN 'stale' THEN 3 WHEN 'fresh' THEN 4 END AS priority
-      FROM cls) x""", "cls")
+      FROM cls WHERE class <> 'fresh') x""", "cls")
 
 
 def _classified(t):
@@ -67,7 +67,8 @@ def recover_stuck(t):
 
 
 @query("reset_running", sql("""SELECT table_name, last_versionnumber, last_run_ts, row_count,
-  CASE WHEN status = 'RUNNING' THEN 'FAILED' ELSE status END AS status, error_message FROM cur""", "cur"))
+  CASE WHEN status = 'RUNNING' THEN 'FAILED' ELSE status END AS status,
+  CASE WHEN status = 'RUNNING' THEN 'reset by operator while RUNNING' ELSE error_message END AS error_message FROM cur""", "cur"))
 def reset_running(t):
     """Reset every RUNNING table."""
     return CT.reset_running(cursor(t))
@@ -85,6 +86,21 @@ def plan_resume(t):
     return CT.plan(_classified(t), "resume")
 
 
+@query("plan_failed_only", sql("SELECT *, 1 AS priority FROM cls WHERE class = 'failed'", "cls"))
+def plan_failed_only(t):
+    """Failed tables only, those found RUNNING among them."""
+    return CT.plan(_classified(t), "failed_only")
+
+
+@query("watermark_listing", sql("""SELECT table_name, status, last_versionnumber, last_run_ts,
+  date_diff('second', last_run_ts, TIMESTAMP '%s') / 3600 AS hours_behind FROM cur""" % NOW, "cur").replace("/ 3600", "// 3600"))
+def watermark_listing(t):
+    """Position and age of every table's watermark."""
+    now = F.lit(NOW).cast("timestamp_ntz").cast("timestamp")
+    behind = F.floor((F.unix_timestamp(now) - F.unix_timestamp(F.col("last_run_ts").cast("timestamp"))) / 3600)
+    return cursor(t).select("table_name", "status", "last_versionnumber", "last_run_ts", behind.alias("hours_behind"))
+
+
 @query("plan_batches", sql(f"""SELECT *, CAST(ceil(ordinal / {BATCH_SIZE}) AS INTEGER) AS batch FROM planned""", "planned"))
 def plan_batches(t):
     """ordinal and batch number of the ordered work list."""
@@ -193,10 +209,10 @@ def incremental_scan(t):
     return ingest.incremental_scan(t.events, "ts", F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
 
 
-@query("document_metadata", "SELECT doc_id, lang, source, n_chars, length(text) AS body_chars FROM documents")
+@query("document_metadata", "SELECT doc_id, lang, source, n_chars AS body_chars FROM documents")
 def document_metadata(t):
     """Attachment metadata only — the body is never selected."""
-    return ingest.attachment_metadata(t.documents, ["doc_id", "lang", "source", "n_chars"], "text")
+    return ingest.attachment_metadata(t.documents, ["doc_id", "lang", "source"], "n_chars")
 
 
 @query("flatten_envelope", "SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")

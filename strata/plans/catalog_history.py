@@ -12,8 +12,7 @@ from strata.plans.catalog import dbl
 from strata.plans.oracle import cte, skey, sql
 from strata.plans.registry import query
 
-# The fixture period of the events feed and the milestone order.
-PERIOD = ("2024-01-01", "2024-01-30")
+# The milestone order.
 MILESTONES = ["view", "click", "signup", "purchase"]
 
 
@@ -34,22 +33,22 @@ def asof_dimension(t):
                     "city", "rate")
 
 
-@query("daily_balance", f"""WITH mv AS (
-  SELECT user_id, CASE WHEN CAST(ts AS DATE) < DATE '{PERIOD[0]}' THEN DATE '{PERIOD[0]}' - 1 ELSE CAST(ts AS DATE) END AS d,
+@query("daily_balance", """WITH period AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS b FROM events), mv AS (
+  SELECT user_id, CAST(ts AS DATE) AS d,
     CASE WHEN event_type = 'purchase' THEN -abs(CAST(value AS DECIMAL(19,4))) ELSE CAST(value AS DECIMAL(19,4)) END AS amt
   FROM events),
-daily AS (SELECT user_id, d, sum(amt) AS amt FROM mv WHERE d <= DATE '{PERIOD[1]}' GROUP BY 1, 2),
+daily AS (SELECT user_id, d, sum(amt) AS amt FROM mv GROUP BY 1, 2),
 spine AS (SELECT k.user_id, CAST(s.d AS DATE) AS d FROM (SELECT DISTINCT user_id FROM daily) k,
-  LATERAL (SELECT unnest(generate_series(DATE '{PERIOD[0]}' - 1, DATE '{PERIOD[1]}', INTERVAL 1 DAY)) AS d) s)
+  (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY)) AS d FROM period) s)
 SELECT user_id, balance_date, CAST(movement AS DOUBLE) AS movement, CAST(balance AS DOUBLE) AS balance FROM (
   SELECT s.user_id, s.d AS balance_date, coalesce(daily.amt, 0) AS movement,
     sum(coalesce(daily.amt, 0)) OVER (PARTITION BY s.user_id ORDER BY s.d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance
-  FROM spine s LEFT JOIN daily ON s.user_id = daily.user_id AND s.d = daily.d) x
-WHERE balance_date >= DATE '{PERIOD[0]}'""")
+  FROM spine s LEFT JOIN daily ON s.user_id = daily.user_id AND s.d = daily.d) x""")
 def daily_balance(t):
     """K4: periodic snapshot — end-of-day balance per user over the feed period (purchases negative)."""
     mv = t.events.withColumn("amount", PD.signed(S.dec4("value"), F.col("event_type") == "purchase"))
-    return PD.daily_balance(mv, "user_id", "ts", "amount", *PERIOD)
+    first, last = t.events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()     # the feed's own period
+    return PD.daily_balance(mv, "user_id", "ts", "amount", str(first), str(last))
 
 
 @query("accumulating_funnel", """SELECT user_id,

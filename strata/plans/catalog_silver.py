@@ -76,11 +76,11 @@ def safe_cast_report(t):
     return a.unionByName(b).unionByName(c)
 
 
-@query("blank_to_null", """SELECT c_custkey, CASE WHEN trim(substr(c_name, 19)) = '' THEN NULL ELSE substr(c_name, 19) END AS name_suffix
-FROM customer""")
+@query("blank_to_null", """SELECT c_custkey, nullif(substr(c_name, CAST(12 + c_custkey % 9 AS INTEGER)), '') AS name_suffix FROM customer""")
 def blank_to_null(t):
-    """Declared blank → NULL rule (the suffix after the 18-character account name is blank)."""
-    return t.customer.select("c_custkey", C.blank_to_null(F.substring("c_name", 19, 1 << 20)).alias("name_suffix"))
+    """Declared blank → NULL rule (what follows a varying place of the name, blank past its end)."""
+    suffix = F.expr("substr(c_name, cast(12 + c_custkey % 9 as int))")
+    return t.customer.select("c_custkey", C.blank_to_null(suffix).alias("name_suffix"))
 
 
 @query("sentinel_dates", """SELECT o_orderkey, CASE WHEN CAST(o_orderdate AS DATE) IN (DATE '1900-01-01', DATE '1995-01-01',
@@ -140,7 +140,7 @@ def by_precedence(t):
     a = joins.valid_at(S.address_history(t), F.lit("1995-06-30").cast("date")).select(
         F.col("nation_key").alias("a_nation"), "city")
     n = t.nation.select("n_nationkey", "n_name")
-    j = c.join(a, c.nation_key == a.a_nation, "left").join(F.broadcast(n), c.nation_key == n.n_nationkey, "left")
+    j = c.join(a, c.nation_key == a.a_nation, "left").join(n, c.nation_key == n.n_nationkey, "left")
     v, used = C.by_precedence([("address", F.col("city")), ("nation", F.col("n_name"))])
     return j.select("customer_account", v.alias("location"), used.alias("source_used"))
 
@@ -177,7 +177,7 @@ def truncated_flags(t):
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
 def sha_key_q(t):
     """2.I: delimited SHA-256 business key with null token."""
-    c = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return c.select("c_custkey", sha_key("c_custkey", "n_regionkey").alias("customer_key"))
 
 
@@ -185,7 +185,7 @@ def sha_key_q(t):
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
 def md5_key_q(t):
     """2.I: parity MD5(CONCAT()) key."""
-    c = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return c.select("c_custkey", md5_key("c_custkey", "n_regionkey").alias("customer_md5"))
 
 
@@ -233,16 +233,16 @@ def valid_at(t):
 
 
 @query("role_lookup", sql("""SELECT o.o_orderkey, sold.customer_name AS sold_to_name, ship.party_name AS ship_from_name
-FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey AND l.l_linenumber = 1
+FROM orders o LEFT JOIN (SELECT l_orderkey, arg_min(l_suppkey, l_linenumber) AS l_suppkey FROM li GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey
 LEFT JOIN cust sold ON o.o_custkey = sold.customer_account
-LEFT JOIN party ship ON 'S' || CAST(l.l_suppkey AS VARCHAR) = ship.party_id""", "cust", "party"))
+LEFT JOIN party ship ON 'S' || CAST(l.l_suppkey AS VARCHAR) = ship.party_id""", "li", "cust", "party"))
 def role_lookup(t):
     """The same party lookup joined twice under different roles (sold-to customer, ship-from supplier)."""
     p = S.party(t)
     sold = S.customer(t).select(F.col("customer_account").alias("sold_acct"), F.col("customer_name").alias("sold_to_name"))
     ship = p.select(F.col("party_id").alias("ship_id"), F.col("party_name").alias("ship_from_name"))
-    lines = t.lineitem.filter(F.col("l_linenumber") == 1).select("l_orderkey", "l_suppkey")
-    j = t.orders.select("o_orderkey", "o_custkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    lines = S._line_base(t).groupBy("l_orderkey").agg(F.min_by("l_suppkey", "l_linenumber").alias("l_suppkey"))   # the order's first line
+    j = t.orders.select("o_orderkey", "o_custkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     j = joins.lookup(j, sold, F.col("o_custkey") == F.col("sold_acct"))
     j = joins.lookup(j, ship, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")) == F.col("ship_id"))
     return j.select("o_orderkey", "sold_to_name", "ship_from_name")
@@ -269,11 +269,11 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_
 JOIN region r ON n.n_regionkey = r.r_regionkey""")
 def row_filter(t):
     """Existence-based row security — for every regional analyst the orders they may see."""
-    ent = (t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    ent = (t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
            .select(F.concat(F.lit("analyst_"), F.col("r_name")).alias("user_name"), F.col("n_nationkey").alias("nation")))
     o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey",
                                                                                 F.col("c_nationkey").alias("nation"))
-    return GV.visible_rows(o, F.broadcast(ent), ["nation"], "user_name").select("user_name", "o_orderkey")
+    return GV.visible_rows(o, ent, ["nation"], "user_name").select("user_name", "o_orderkey")
 
 
 @query("classify_columns", " UNION ALL ".join(

@@ -46,7 +46,7 @@ def customer_company(t) -> DataFrame:
     """customer → (customer_account, company, nation_key): company = region of the nation."""
     nation = t.nation.select("n_nationkey", F.col("n_regionkey").alias("company"))
     return (t.customer.select(F.col("c_custkey").alias("customer_account"), "c_nationkey")
-            .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select("customer_account", "company", F.col("c_nationkey").alias("nation_key")))
 
 
@@ -243,8 +243,8 @@ def address_history(t) -> DataFrame:
     years = (t.orders.select("o_custkey", F.year("o_orderdate").alias("yr"))
              .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
              .groupBy("c_nationkey", "yr").agg(F.count(F.lit(1)).alias("_n")))
-    n = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    return years.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "inner").select(
+    n = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return years.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "inner").select(
         F.col("n_nationkey").alias("nation_key"),
         F.make_date("yr", F.lit(1), F.lit(1)).alias("valid_from"),
         F.make_date(F.col("yr") + 1, F.lit(1), F.lit(1)).alias("valid_to"),

@@ -1,15 +1,10 @@
 """Session construction and cluster-facing settings.
 
-Everything here is ordinary SparkSession configuration.  Settings that a
-cluster already provides (``spark.checkpoint.dir``) are read from the session
-and only filled in when unset (local tests).
+Everything here is ordinary SparkSession configuration.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Defaults tuned for the sort of job this library runs: star joins, keyed
@@ -49,26 +44,4 @@ def build_session(master: str | None = None, app: str = "strata",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this is set by the platform to shared storage and is used
-    as-is.  Only when it is unset (local tests) do we create one.
-    """
-    sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("STRATA_SCRATCH", "/tmp"))
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for materialised tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: the folder name format of the export.
 FOLDER_TS_PATTERN = r"(\d{4}-\d{2}-\d{2})T(\d{2})-(\d{2})-(\d{2})"
 FOLDER_KINDS = ("Snapshot", "Changelog")
 
@@ -32,6 +33,18 @@ def source_path(base: str, table: str, kind: str, environment: str | None = None
     return f"{root}/{table}/{kind}"
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _typed(c: Column, kind: T.DataType) -> Column:
+    """A field's text in its type; NULL if it is not one.  A time of day is that time on 1970-01-01."""
+    if isinstance(kind, T.StringType):
+        return c
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        c = F.when(c.rlike(r"^\s*\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*$"), F.concat(F.lit("1970-01-01 "), F.trim(c))).otherwise(c)
+    return c.try_cast(kind)
+
+
 def read_positional_csv(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType,
                         with_folder: bool = True) -> DataFrame:
     """A3: headerless CSV → typed frame by position.
@@ -39,21 +52,30 @@ def read_positional_csv(spark: SparkSession, paths: Sequence[str] | str, schema:
     All values are read as strings (no inference), quote-escaped, multi-line,
     UTF-8; each position is renamed to its manifest column and converted with
     ``try_cast`` (a bad number becomes NULL, counted by ``safe_cast``).  Rows
-    with fewer fields than the manifest get NULLs.  An empty folder gives an
-    empty frame with the full schema.
+    with fewer fields than the manifest get NULLs.  A row with a value beyond
+    the manifest's last field carries its text in ``_corrupt_record`` (NULL on
+    all other rows); ``split_corrupt`` sends it to quarantine.  An empty list
+    of folders gives an empty frame with the full schema.
+
+    Quoted line breaks make a file unsplittable, so one task reads one file:
+    keep export files to what a task can read (the export writes parts of some
+    hundred MB at most).
     """
-    raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(schema.fields))]
-                              + [T.StructField("_corrupt_record", T.StringType(), True)])
+    n = len(schema.fields)
+    raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(n + 1)]
+                              + [T.StructField("_raw", T.StringType(), True)])
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)]))
     raw = (spark.read.schema(raw_schema)
            .option("header", False).option("quote", '"').option("escape", '"').option("multiLine", True)
            .option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record")
+           .option("columnNameOfCorruptRecord", "_raw")
            .csv(paths))
-    cols = [F.col(f"_c{i}").try_cast(f.dataType).alias(f.name) if not isinstance(f.dataType, T.StringType)
-            else F.col(f"_c{i}").alias(f.name) for i, f in enumerate(schema.fields)]
+    cols = [_typed(F.col(f"_c{i}"), f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+    # the reader marks short rows as well; only a value past the last field is surplus
+    text = F.coalesce("_raw", F.concat_ws(",", *[F.coalesce(f"_c{i}", F.lit("")) for i in range(n + 1)]))
+    cols.append(F.when(F.col(f"_c{n}").isNotNull(), text).alias(CORRUPT))
     if with_folder:
         cols.append(folder_ts(F.col("_metadata.file_path")).alias("folder_ts"))
         cols.append(F.col("_metadata.file_path").alias("source_file"))
@@ -82,17 +104,15 @@ def incremental_scan(df: DataFrame, column: str, watermark: Column) -> DataFrame
     return df.filter(F.col(column) > watermark)
 
 
-def attachment_metadata(df: DataFrame, keep: Sequence[str], body: str) -> DataFrame:
-    """Metadata columns only; the body is never selected (size reported instead)."""
-    return df.select(*keep, F.length(body).alias("body_chars"))
+def attachment_metadata(df: DataFrame, keep: Sequence[str], size: str) -> DataFrame:
+    """Metadata columns only; the body is never read (its stored size is reported instead)."""
+    return df.select(*keep, F.col(size).alias("body_chars"))
 
 
-def split_corrupt(df: DataFrame, expected: int) -> tuple[DataFrame, DataFrame]:
-    """(good, corrupt) — corrupt rows are those the reader flagged or with a wrong field count."""
-    bad = F.col("_corrupt_record").isNotNull()
-    if "_fields" in df.columns:
-        bad = bad | (F.col("_fields") != expected)
-    return df.filter(~bad).drop("_corrupt_record"), df.filter(bad)
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, corrupt) — corrupt rows hold values beyond the manifest's fields; short rows are good."""
+    bad = F.col(CORRUPT).isNotNull()
+    return df.filter(~bad).drop(CORRUPT), df.filter(bad)
 
 
 def flatten_envelope(df: DataFrame, column: str, payload_schema: str) -> DataFrame:

@@ -49,21 +49,23 @@ def type_column(dtype, precision, scale):
     return F.when(t == "decimal", dec).otherwise(expr)
 
 
+#: What is read of a manifest; fields that it leaves out are NULL.
+MANIFEST = ("entities array<struct<name: string, attributes: array<struct<name: string, dataType: string, "
+            "traits: struct<precision: int, scale: int>>>>>")
+
+
 def manifest_columns(spark: SparkSession, path: str) -> DataFrame:
     """A1: manifest JSON → ``(table_name, position, column_name, source_type, spark_type)``.
 
     Entity names are trimmed and lower-cased; unnamed entities and
     attributes are dropped; missing system columns are appended.
     """
-    m = spark.read.option("multiLine", True).json(path)
+    m = spark.read.schema(MANIFEST).option("multiLine", True).json(path)
     ent = m.select(F.explode("entities").alias("e")).select(
         F.lower(F.trim(F.col("e.name"))).alias("table_name"), F.col("e.attributes").alias("attrs"))
     ent = ent.filter(F.col("table_name").isNotNull() & (F.col("table_name") != ""))
     cols = ent.select("table_name", F.posexplode("attrs").alias("position", "a"))
-    has_traits = "traits" in [f.name for f in m.schema["entities"].dataType.elementType["attributes"]
-                             .dataType.elementType.fields]
-    prec = F.col("a.traits.precision") if has_traits else F.lit(None).cast("int")
-    scale = F.col("a.traits.scale") if has_traits else F.lit(None).cast("int")
+    prec, scale = F.col("a.traits.precision"), F.col("a.traits.scale")
     cols = cols.select("table_name", "position", F.col("a.name").alias("column_name"),
                        F.col("a.dataType").alias("source_type"),
                        type_column(F.col("a.dataType"), prec, scale).alias("spark_type"))
@@ -123,7 +125,10 @@ def classify_drift(d: DataFrame, previous_tables: DataFrame, current_tables: Dat
     widen = F.lit(False)
     for a, b in WIDENINGS:
         widen = widen | ((F.col("old_type") == a) & (F.col("new_type") == b))
-    widen = widen | (F.col("old_type").startswith("decimal") & F.col("new_type").startswith("decimal"))
+    digits = {side: [F.regexp_extract(f"{side}_type", r"^decimal\((\d+),(\d+)\)$", g).try_cast("int") for g in (1, 2)] for side in ("old", "new")}
+    (op, os_), (np_, ns) = digits["old"], digits["new"]
+    # a wider decimal keeps every digit before and after the point
+    widen = widen | F.coalesce((np_ - ns >= op - os_) & (ns >= os_), F.lit(False))
     cls = (F.when(F.col("change") == "added", "additive")
            .when(F.col("change") == "removed", "column_gone")
            .when(widen, "widening").otherwise("breaking_type"))

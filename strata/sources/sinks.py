@@ -1,129 +1,70 @@
-"""Table publication without a table format: versioned directories + a pointer.
-
-A table is ``<root>/v=<n>/`` parquet directories plus ``<root>/_CURRENT`` (a
-one-line text file naming the live version).  Every write goes to a new
-version directory and then replaces the pointer, so readers never see a
-half-written table, a failed job leaves the previous version live, and the
-path being read is never the path being overwritten.  Old versions give
-point-in-time reads and rollback (R6).
-
-For keyed merges the table can be hash-bucketed on its key
-(``bucket = pmod(xxhash64(key), B)`` as a partition column); a merge then
-rewrites only the buckets that contain changed keys (dynamic partition
-overwrite into the new version, untouched buckets are carried by copying
-their file listing, not their data, via a union of the previous version).
+"""Publication with Spark's own writers: append, overwrite, and dynamic overwrite of the partitions that change.
+
+A keyed table is a Parquet folder partitioned by a hash bucket of its key.  A merge reads only the buckets that hold a
+changed key (the filter on the partition column prunes the scan) and overwrites only those: Spark stages the new files
+and replaces the partitions when the job commits, so a lost executor or a failed job changes nothing.  A job that is
+killed during the commit can leave some buckets new and some old; as the merges are idempotent, running it again ends well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-POINTER = "_CURRENT"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def current_version(spark: SparkSession, root: str) -> int | None:
-    fs, _, jvm = _fs(spark, root)
-    ptr = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{POINTER}")
-    if not fs.exists(ptr):
-        return None
-    stream = fs.open(ptr)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
-        return int(reader.readLine().strip())
-    finally:
-        stream.close()
-
+BUCKET = "_bucket"
 
-def _set_pointer(spark: SparkSession, root: str, version: int) -> None:
-    fs, _, jvm = _fs(spark, root)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{POINTER}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(f"{version}\n", "utf-8"))
-    out.close()
-    ptr = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{POINTER}")
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    fs.rename(tmp, ptr)
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path`` (any file system that Spark reads)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
-def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/v={version}"
 
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType | str) -> None:
+    """A10: an empty table with the given schema, unless there is one."""
+    if not exists(spark, path):
+        spark.createDataFrame([], schema).write.parquet(path)
 
-def read_table(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """Read the live version (or a given one: R6 point-in-time read)."""
-    v = current_version(spark, root) if version is None else version
-    if v is None:
-        raise FileNotFoundError(f"no table at {root}")
-    return spark.read.parquet(version_path(root, v))
 
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """The whole table anew; its schema may change.  ``df`` must not read ``path``."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path, partitionBy=list(partition_by) or None)
 
-def replace_table(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
-    """Write a new version (schema may change) and publish it atomically."""
-    spark = df.sparkSession
-    v = (current_version(spark, root) or 0) + 1
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(version_path(root, v))
-    _set_pointer(spark, root, v)
-    return v
 
-
-def ensure_table(spark: SparkSession, root: str, schema) -> int:
-    """A10: create an empty table with the given schema if none exists."""
-    v = current_version(spark, root)
-    if v is not None:
-        return v
-    return replace_table(spark.createDataFrame([], schema), root)
-
-
-def append_table(df: DataFrame, root: str) -> int:
-    """append = previous version ∪ new rows, published as a new version."""
-    spark = df.sparkSession
-    v = current_version(spark, root)
-    if v is None:
-        return replace_table(df, root)
-    old = read_table(spark, root, v)
-    return replace_table(old.unionByName(df, allowMissingColumns=True), root)
+def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Only new files are written."""
+    df.write.mode("append").parquet(path, partitionBy=list(partition_by) or None)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Date-partitioned write; only the partitions present in ``df`` are replaced."""
+    """Only the partitions present in ``df`` are replaced."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def restore(spark: SparkSession, root: str, version: int) -> None:
-    """Roll back by pointing at an earlier version."""
-    read_table(spark, root, version)  # must exist
-    _set_pointer(spark, root, version)
-
-
-def with_bucket(df: DataFrame, key: Sequence[str], buckets: int, col: str = "_bucket") -> DataFrame:
-    return df.withColumn(col, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+def with_bucket(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
 
 
-def merge_buckets(spark: SparkSession, root: str, new_state_of_touched: DataFrame, touched_keys: DataFrame,
-                  key: Sequence[str], buckets: int) -> int:
-    """Touched-bucket merge: buckets holding changed keys are rebuilt, the rest carried over.
+def merge_table(changes: DataFrame, path: str, key: Sequence[str], buckets: int,
+                merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> None:
+    """Apply ``merge(state, changes)`` to the buckets that ``changes`` touches, and to no other.
 
-    ``new_state_of_touched`` must hold the final rows of every key in the
-    touched buckets that changed; rows of untouched keys in those buckets are
-    taken from the previous version.
+    ``merge`` keeps the keys that it does not change (as ``apply_scd1`` and ``apply_scd2`` do).  The list of
+    touched buckets is at most ``buckets`` numbers.
     """
-    v = current_version(spark, root)
-    prev = read_table(spark, root, v)
-    tb = with_bucket(touched_keys, key, buckets).select("_bucket").distinct()
-    keep = prev.join(F.broadcast(tb), "_bucket", "left_anti")  # tb ≤ buckets rows: bounded
-    in_touched = prev.join(F.broadcast(tb), "_bucket", "left_semi").join(touched_keys, list(key), "left_anti")
-    fresh = with_bucket(new_state_of_touched, key, buckets)
-    return replace_table(keep.unionByName(in_touched).unionByName(fresh), root, ["_bucket"])
+    spark = changes.sparkSession
+    touched = [r[0] for r in with_bucket(changes, key, buckets).select(BUCKET).distinct().collect()]
+    if not touched:
+        return
+    state = None
+    if exists(spark, path):
+        state = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    write_partitioned(with_bucket(merge(state, changes), key, buckets), path, [BUCKET])
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a keyed table, without the bucket."""
+    return spark.read.parquet(path).drop(BUCKET)

@@ -2,8 +2,8 @@
 
 The same DataFrame operators run on micro-batches: stateless Silver
 projection and quality rules directly on the stream; keyed SCD1 / SCD2
-application inside ``foreachBatch`` with the epoch id recorded, so a
-replayed epoch is a no-op (exactly-once effect on the versioned table).
+application inside ``foreachBatch`` by idempotent merges, so a replayed epoch
+changes nothing (exactly-once effect on the table).
 """
 
 from __future__ import annotations
@@ -60,30 +60,20 @@ def lag(stream: DataFrame, event_time: str, window: str, delay: str, by: Sequenc
             .agg(F.count(F.lit(1)).alias("events"), F.max(event_time).alias("latest_event")))
 
 
-def apply_changes(table_root: str, key: Sequence[str], scd: int = 1) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body applying a normalised micro-batch to a versioned table.
+def apply_changes(path: str, key: Sequence[str], scd: int = 1, buckets: int = 16) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body applying a normalised micro-batch to a keyed table.
 
-    The epoch id is written next to the table; a replayed epoch (after a
-    failure between publish and checkpoint commit) is skipped.  Because the
-    merge is idempotent anyway, replays are harmless either way.
+    Only the buckets that the batch touches are read and rewritten.  The merge is idempotent, so an epoch that is
+    replayed after a failure between write and checkpoint gives the same table; no record of epochs is needed.
     """
+    merge = CH.apply_scd1 if scd == 1 else CH.apply_scd2
+
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        root = table_root.rstrip("/")
-        epochs = f"{root}_epochs"
+        batch.persist()     # read for the touched buckets and for the merge
         try:
-            done = spark.read.parquet(epochs).filter(F.col("epoch_id") == epoch_id).limit(1).count() > 0
-        except Exception:  # noqa: BLE001 — no epoch log yet
-            done = False
-        if done:
-            return
-        prev = sinks.read_table(spark, root) if sinks.current_version(spark, root) is not None else None
-        if scd == 1:
-            state = CH.apply_scd1(prev, batch, list(key))
-        else:
-            state = CH.apply_scd2(prev, batch, list(key))
-        sinks.replace_table(state, root)
-        spark.createDataFrame([(epoch_id,)], "epoch_id long").write.mode("append").parquet(epochs)
+            sinks.merge_table(batch, path, list(key), buckets, lambda state, changes: merge(state, changes, list(key)))
+        finally:
+            batch.unpersist()
     return run
 
 

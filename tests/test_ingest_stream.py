@@ -1,4 +1,4 @@
-"""Manifest + positional CSV landing, versioned sinks, schema drift and streaming (restart)."""
+"""Manifest + positional CSV landing, ingest of a table, sinks, schema drift and streaming (restart)."""
 
 import json
 import os
@@ -52,18 +52,90 @@ def test_positional_csv_quotes_short_rows_bad_numbers(spark, tmp_path):
     assert rows["a3"].revenue is None
     assert str(rows["a1"].folder_ts) == "2024-01-02 06:00:00"
     empty = ingest.read_positional_csv(spark, [], st)
-    assert empty.count() == 0 and empty.schema == st
+    assert empty.count() == 0 and empty.columns == [*st.names, "_corrupt_record"]
 
 
-def test_versioned_table_replace_append_restore(spark, tmp_path):
+def test_surplus_fields_and_times(spark, tmp_path):
+    folder = tmp_path / "t" / "2024-01-02T06-00-00"
+    folder.mkdir(parents=True)
+    (folder / "part.csv").write_text('a1,n1,12:30:00,EXTRA\na2,n2,2024-05-06 07:08:09\na3\na4,n4,,\na5,n5,08:15,x,y\n')
+    st = T.StructType([T.StructField("id", T.StringType()), T.StructField("name", T.StringType()), T.StructField("at", T.TimestampNTZType())])
+    good, corrupt = ingest.split_corrupt(ingest.read_positional_csv(spark, str(tmp_path / "t" / "*"), st))
+    assert {r["id"]: (r["name"], r["at"] and str(r["at"])) for r in good.collect()} == {
+        "a2": ("n2", "2024-05-06 07:08:09"), "a3": (None, None), "a4": ("n4", None)}
+    assert {r["id"]: (str(r["at"]), r["_corrupt_record"]) for r in corrupt.collect()} == {
+        "a1": ("1970-01-01 12:30:00", "a1,n1,12:30:00,EXTRA"), "a5": ("1970-01-01 08:15:00", "a5,n5,08:15,x,y")}
+
+
+def test_manifest_with_precision_alone(spark, tmp_path):
+    p = str(tmp_path / "model.json")
+    with open(p, "w") as f:
+        json.dump({"entities": [{"name": "T", "attributes": [{"name": "tid", "dataType": "guid"}, {"name": "d", "dataType": "decimal", "traits": {"precision": 12}}]}]}, f)
+    assert {r.column_name: r.spark_type for r in schema.manifest_columns(spark, p).collect()}["d"] == "decimal(12,0)"
+
+
+def files_by_folder(root):
+    return {f: sorted(os.listdir(os.path.join(root, f))) for f in os.listdir(root) if f.startswith("_bucket=")}
+
+
+def test_merge_rewrites_touched_buckets_only(spark, tmp_path):
     root = str(tmp_path / "tbl")
-    v1 = sinks.replace_table(spark.createDataFrame([(1, "a")], "k int, v string"), root)
-    v2 = sinks.append_table(spark.createDataFrame([(2, "b")], "k int, v string"), root)
-    assert (v1, v2) == (1, 2)
-    assert sinks.read_table(spark, root).count() == 2
-    assert sinks.read_table(spark, root, 1).count() == 1
-    sinks.restore(spark, root, 1)
-    assert sinks.read_table(spark, root).count() == 1
+    change = "k long, v string, ver long, gone boolean, at timestamp"
+    rows = CH.normalise(spark.createDataFrame([(i, "a", 1, False, None) for i in range(200)], change), "k", ["v"], "ver", "gone", "at")
+    merge = lambda state, changes: CH.apply_scd1(state, changes, ["k"])
+    sinks.merge_table(rows, root, ["k"], 8, merge)
+    before = files_by_folder(root)
+    one = CH.normalise(spark.createDataFrame([(7, "b", 2, False, None)], change), "k", ["v"], "ver", "gone", "at")
+    for _ in range(2):      # a retry changes nothing
+        sinks.merge_table(one, root, ["k"], 8, merge)
+    after = files_by_folder(root)
+    assert len(before) == 8 and sum(before[f] != after[f] for f in before) == 1
+    got = {r["k"]: r["v"] for r in sinks.read_table(spark, root).collect()}
+    assert got == {i: "b" if i == 7 else "a" for i in range(200)}
+
+
+def test_plain_writers(spark, tmp_path):
+    root = str(tmp_path / "plain")
+    sinks.ensure_table(spark, root, "k int, v string")
+    sinks.append_table(spark.createDataFrame([(1, "a")], "k int, v string"), root)
+    first = set(os.listdir(root))
+    sinks.append_table(spark.createDataFrame([(2, "b")], "k int, v string"), root)
+    sinks.ensure_table(spark, root, "k int, v string")
+    assert first < set(os.listdir(root)) and sinks.read_table(spark, root).count() == 2
+    sinks.replace_table(spark.createDataFrame([(3, 1.5)], "k int, w double"), root)
+    assert [tuple(r) for r in sinks.read_table(spark, root).collect()] == [(3, 1.5)]
+
+
+def export(root, table, kind, stamp, lines):
+    folder = root / table / kind / stamp
+    folder.mkdir(parents=True)
+    (folder / "part.csv").write_text("\n".join(lines) + "\n")
+
+
+def test_ingest_table(spark, tmp_path):
+    """Two snapshots, an older changelog, delete then re-insert, a quoted newline, a corrupt row, a keyless row, a retry."""
+    from strata.sources import pipeline
+    manifest = str(tmp_path / "model.json")
+    with open(manifest, "w") as f:
+        json.dump({"entities": [{"name": "account", "attributes": [
+            {"name": "accountid", "dataType": "string"}, {"name": "name", "dataType": "string"}, {"name": "versionnumber", "dataType": "int64"},
+            {"name": "modifiedon", "dataType": "dateTime"}, {"name": "IsDelete", "dataType": "boolean"}]}]}, f)
+    base, out = tmp_path / "export", str(tmp_path / "account")
+    row = lambda k, n, v, d="": f"{k},{n},{v},2024-01-0{v} 00:00:00,{d}"
+    export(base, "account", "Snapshot", "2024-01-01T00-00-00", [row("a", '"One\nline"', 1), row("b", "Two", 1), row("", "Nobody", 1), row("x", "y", 1) + ",2024-01-01,SURPLUS"])
+    export(base, "account", "Changelog", "2023-12-31T00-00-00", [row("b", "Older", 0)])
+    export(base, "account", "Changelog", "2024-01-02T00-00-00", [row("b", "Two", 2, "true"), row("c", "Three", 2)])
+    columns = schema.manifest_columns(spark, manifest)
+    first = pipeline.ingest_table(spark, str(base), "account", columns, out)
+    assert (first["status"], first["rows"], first["corrupt"], first["unkeyed"], first["deletes"], first["max_version"]) == ("SUCCESS", 7, 1, 1, 1, 2)
+    live = lambda: {r["accountid"]: r["name"] for r in CH.live(sinks.read_table(spark, out)).collect()}
+    assert live() == {"a": "One\nline", "c": "Three"}
+    again = pipeline.ingest_table(spark, str(base), "account", columns, out, cursor_ts=None)      # a retry from the start
+    assert again == first and live() == {"a": "One\nline", "c": "Three"}
+    assert pipeline.ingest_table(spark, str(base), "account", columns, out, cursor_ts=first["cursor_ts"])["status"] == "NO_NEW_DATA"
+    export(base, "account", "Snapshot", "2024-01-03T00-00-00", [row("b", "Back", 3), row("c", "Three", 2)])
+    third = pipeline.ingest_table(spark, str(base), "account", columns, out, cursor_ts=first["cursor_ts"])
+    assert (third["rows"], third["max_version"]) == (2, 3) and live() == {"a": "One\nline", "b": "Back", "c": "Three"}
 
 
 def test_schema_drift_classes(spark):
@@ -75,6 +147,10 @@ def test_schema_drift_classes(spark):
     got = {(r.table_name, r.column): r.drift_class for r in d.collect()}
     assert got[("t", "a")] == "widening" and got[("t", "c")] == "breaking_type"
     assert got[("t", "d")] == "additive" and got[("t", "b")] == "column_gone"
+    old = spark.createDataFrame([("t", "w", "decimal(10,2)"), ("t", "n", "decimal(19,4)"), ("t", "s", "decimal(10,2)")], prev.schema)
+    new = spark.createDataFrame([("t", "w", "decimal(19,4)"), ("t", "n", "decimal(10,2)"), ("t", "s", "decimal(10,6)")], prev.schema)
+    decimals = {r.column: r.drift_class for r in schema.classify_drift(schema.drift(old, new), old, new).collect()}
+    assert decimals == {"w": "widening", "n": "breaking_type", "s": "breaking_type"}
     assert got[("new", None)] == "new_table" and got[("old", None)] == "missing_table"
 
 
