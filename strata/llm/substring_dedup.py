@@ -3,20 +3,22 @@
 Method.
 1. Every window of ``width`` consecutive words has a minimizer, the least of its ``k``-word shingles (rare before
    frequent, by a sketch of all texts' counts; then by hash).  Equal windows have equal minimizers.  Consecutive windows
-   with the same minimizer form a segment of the text, and segments are dealt out by minimizer, so all occurrences of a
-   window meet in one shard.  Preferring rare shingles keeps a passage that very many documents share from
-   drawing what stands around it into its shard; a segment that repeats inside a map task is sent once.
-2. A segment whose minimizer occurs once has no copy.  A segment equal to an earlier one is covered by it.  The distinct
-   rest of a shard, some hundred thousand words at a time with all segments of a minimizer together, becomes an
-   FM-index: suffixes sorted to the depth of a window (ties in text order), the symbols before them in a wavelet matrix
-   of packed bits with rank counts.  A symbol is a run of ``width / 4`` words, so a backward step moves that many words.
-3. The shard's windows are streamed against the index: backward search from a window's last symbol, all windows
+   with the same minimizer form a segment of the text.  Documents are dealt into bundles; the minimizers alone are counted
+   first, and the repeated ones go back to the bundles that hold them.
+2. Segments with a repeated minimizer are dealt out by minimizer, so all occurrences of a window meet in one shard.
+   Preferring rare shingles keeps a passage that very many documents share from drawing what stands around it into its
+   shard; a segment that repeats inside a bundle is sent once.
+3. A segment equal to an earlier one is covered by it.  The distinct rest of a shard, some hundred thousand words at a
+   time with all segments of a minimizer together, becomes an FM-index: suffixes sorted to the depth of a window (ties
+   in text order), the symbols before them in a wavelet matrix of packed bits with rank counts.  A symbol is a run of
+   ``width / 4`` words, so a backward step moves that many words.
+4. The shard's windows are streamed against the index: backward search from a window's last symbol, all windows
    together, dropping those whose interval holds no second suffix.  The number of symbols matched is its matching
    statistic; a window matched in full, whose interval's first suffix (the earliest in the corpus) is not itself, is reported.
-4. Reported runs of windows are intervals of words; they are joined to the documents, which lose them.
+5. Reported runs of windows are intervals of words; they meet their documents' bundles again, which lose them.
 
 Order: by id (null first), then text hash for different texts under one id, then start.  Rows with equal id and
-text are one document and get the same result.
+text are one document (and stand in one bundle) and get the same result.
 
 Words are compared as bytes inside a shard.  Defined cases: a null or empty text has no words; a text of fewer words
 than ``width`` loses nothing; any length of text works; an empty table gives an empty result; an input column named
@@ -26,12 +28,11 @@ like an output column is replaced.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from strata.llm.common import chunks, others
+from strata.llm.bundles import Bundles, once_per_bundle, repeated_keys
+from strata.llm.common import chunks
 from strata.llm.sketch import shingle_classes
 from strata.llm.wordhash import U, hash_spans, mix, shingles, split_words
 
@@ -82,41 +83,64 @@ _SEGMENT = "m long, id long, h long, start int, n int, words binary"
 _COVER = "id long, h long, start int, n int"
 
 
-def _segments(width: int, k: int, classes: np.ndarray):
-    """Segments with their words; one that repeats an earlier one of the chunk has null words: it is covered."""
+def _minimizers(width: int, k: int, classes: np.ndarray):
+    """(m, 2 * bundle + 1 if it holds m more than once) of (bundle, text), once per chunk."""
     def run(batches):
         for batch in batches:
-            # ids come with nulls as the least long
-            order = np.lexsort((batch.column(1).to_numpy(), batch.column(0).to_numpy()))
-            batch = batch.take(pa.array(order))
-            ids, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for rows, texts in chunks(list(range(batch.num_rows)), batch.column(2).to_pylist()):
+            bundle = batch.column(0).to_numpy().astype(np.int64)
+            for rows, texts in chunks(list(range(batch.num_rows)), batch.column(1).to_pylist()):
+                _, doc, _, _, m = minimizer_segments(texts, width, k, classes)
+                if len(m):
+                    yield once_per_bundle(m, bundle[rows][doc])
+    return run
+
+
+def _segments(text_col: str, width: int, k: int, classes: np.ndarray):
+    """A bundle's segments with repeated minimizers; one that repeats an earlier one has null words: it is covered."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    schema = pa.schema(list(zip(["m", "id", "h", "start", "n", "words"], kinds, strict=True)))
+
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        known = np.sort(known.column("m").to_numpy())
+        out = []
+        if len(known) and docs.num_rows:
+            docs = docs.select(["__id", "__h", text_col])
+            docs = docs.take(pa.array(np.lexsort((docs.column(1).to_numpy(), docs.column(0).to_numpy()))))
+            ids, hashes = docs.column(0).to_numpy(), docs.column(1).to_numpy()
+            for rows, texts in chunks(list(range(docs.num_rows)), docs.column(2).to_pylist()):
                 w, doc, begin, n, m = minimizer_segments(texts, width, k, classes)
-                if not len(begin):
+                if not len(m):
                     continue
-                a, b = w.start[begin], w.end[begin + n - 1]
-                own, own_h = ids[rows][doc], hashes[rows][doc]
-                start = begin - w.first[doc]
-                _, first, back = np.unique(hash_spans(w.buf, a, b), return_index=True, return_inverse=True)
-                first = first[back]
-                again = np.flatnonzero(first != np.arange(len(first)))
-                same = np.zeros(len(first), bool)
-                if len(again):
-                    f = first[again]
-                    equal = (b - a)[again] == (b - a)[f]
-                    x, off = _gather(w.buf, a[again], np.where(equal, b[again], a[again]))
-                    y, _ = _gather(w.buf, a[f], np.where(equal, b[f], a[f]))
-                    wrong = np.concatenate([[0], np.cumsum(x != y)])
-                    same[again] = equal & (wrong[off[1:]] == wrong[off[:-1]])
-                # the very same place (a repeated row) is no earlier place
-                repeat = same & (own == own[first]) & (own_h == own_h[first]) & (start == start[first])
-                m = np.where(same, mix(own_h.view(U) + start.astype(U)).view(np.int64), m)
-                out = pa.RecordBatch.from_arrays([pa.array(m), pa.array(own), pa.array(own_h), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)),
-                                                  _binary(w.buf, a, b, same)], names=["m", "id", "h", "start", "n", "words"])
-                yield out.filter(pa.array(~repeat)) if repeat.any() else out
+                ok = known[np.minimum(np.searchsorted(known, m), len(known) - 1)] == m
+                if ok.any():
+                    out.append(_marked(w, doc[ok], begin[ok], n[ok], m[ok], ids[rows], hashes[rows], schema))
+        return pa.Table.from_batches(out, schema)
     return run
 
 
+def _marked(w, doc, begin, n, m, ids, hashes, schema) -> pa.RecordBatch:
+    a, b = w.start[begin], w.end[begin + n - 1]
+    own, own_h = ids[doc], hashes[doc]
+    start = begin - w.first[doc]
+    _, first, back = np.unique(hash_spans(w.buf, a, b), return_index=True, return_inverse=True)
+    first = first[back]
+    again = np.flatnonzero(first != np.arange(len(first)))
+    same = np.zeros(len(first), bool)
+    if len(again):
+        f = first[again]
+        equal = (b - a)[again] == (b - a)[f]
+        x, off = _gather(w.buf, a[again], np.where(equal, b[again], a[again]))
+        y, _ = _gather(w.buf, a[f], np.where(equal, b[f], a[f]))
+        wrong = np.concatenate([[0], np.cumsum(x != y)])
+        same[again] = equal & (wrong[off[1:]] == wrong[off[:-1]])
+    # the very same place (a repeated row) is no earlier place
+    repeat = same & (own == own[first]) & (own_h == own_h[first]) & (start == start[first])
+    m = np.where(same, mix(own_h.view(U) + start.astype(U)).view(np.int64), m)
+    out = pa.RecordBatch.from_arrays([pa.array(m), pa.array(own), pa.array(own_h), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)),
+                                      _binary(w.buf, a, b, same)], schema=schema)
+    return out.filter(pa.array(~repeat)) if repeat.any() else out
+
+
 class FmIndex:
     """FM-index over sequences of words, a symbol being ``stride`` words; answers queries of up to 4 symbols."""
 
@@ -296,48 +320,26 @@ def _shards(width: int):
     return run
 
 
-_LEAST = -(1 << 63)
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 20, k: int = 4) -> DataFrame:
-    """(id, h, spans): for each document (id, hash of its text) with any, the covered runs of words (start, n)."""
-    if width % 4:
-        raise ValueError("width must be a multiple of 4")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("id"), F.xxhash64(F.col(text_col)).alias("h"),
-                        F.col(text_col).cast("binary").alias("text")).where("text is not null")
-    classes = shingle_classes(texts.select("id", "text"), k, False)
-    seg = texts.mapInArrow(_segments(width, k, classes), _SEGMENT)
-    covers = seg.repartition("m").sortWithinPartitions("m", "id", "h", "start").mapInArrow(_shards(width), _COVER)
-    return covers.groupBy("id", "h").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
-
-
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 20, k: int = 4,
                     words_col: str = "n_words", removed_col: str = "n_removed", separator: str = " ") -> DataFrame:
     """``docs`` without the covered words: the text is the remaining words joined by ``separator``; two counts are added."""
-    d, g = docs.alias("d"), repeated_spans(docs, id_col, text_col, width, k).alias("g")
-    text = F.col(f"d.`{text_col}`")
-    own = F.coalesce(F.col(f"d.`{id_col}`").cast("long"), F.lit(_LEAST))
-    joined = d.join(g, (own == F.col("g.id")) & (F.xxhash64(text) == F.col("g.h")), "left")
-    kept = _without(text, F.col("g.spans.start"), F.col("g.spans.n"), separator)
-    made = {words_col: "words", removed_col: "removed"}
-    rest = others(docs, made)
-    joined = joined.select(*(F.col(f"d.`{c}`") for c in rest), kept.alias("__kept"))
-    return joined.select(*((F.when(F.col(f"`{c}`").isNotNull(), F.col("__kept.text")) if c.lower() == text_col.lower() else F.col(f"`{c}`")).alias(c) for c in rest),
-                         *(F.col(f"__kept.{f}").alias(n) for n, f in made.items()))
-
-
-def _without(text: Column, start: Column, n: Column, separator: str) -> Column:
-    @F.pandas_udf("struct<text string, words long, removed long>")
-    def cut(text: pd.Series, start: pd.Series, n: pd.Series) -> pd.DataFrame:
-        out = []
-        for t, a, k in zip(text, start, n, strict=True):
-            words = (t or "").encode("utf-8", "surrogatepass").split()  # bytes: white space is 0x20 and 0x09-0x0D
-            total = len(words)
-            if a is not None:
-                keep = np.ones(total, bool)
-                for x, y in zip(a, k, strict=True):
-                    keep[x:x + y] = False
-                words = [w for w, ok in zip(words, keep.tolist(), strict=True) if ok]
-            out.append((separator.encode().join(words).decode("utf-8", "surrogatepass"), total, total - len(words)))
-        return pd.DataFrame(out, columns=["text", "words", "removed"])
-    return cut(text, start, n)
+    if width % 4:
+        raise ValueError("width must be a multiple of 4")
+    b = Bundles(docs, id_col, text_col, [words_col, removed_col])
+    classes = shingle_classes(b.texts(), k, False)
+    known = repeated_keys(b.texts().mapInArrow(_minimizers(width, k, classes), "m long, v long"))
+    segments = b.with_keys(known, _segments(b.text_col, width, k, classes), _SEGMENT)
+    covers = segments.repartition("m").sortWithinPartitions("m", "id", "h", "start").mapInArrow(_shards(width), _COVER)
+
+    def cut(text: str | None, places: set) -> tuple[str | None, int, int]:
+        words = (text or "").encode("utf-8", "surrogatepass").split()       # bytes: white space is 0x20 and 0x09-0x0D
+        total = len(words)
+        if places:
+            keep = np.ones(total, bool)
+            for start, n in places:
+                keep[start:start + n] = False
+            words = [w for w, ok in zip(words, keep.tolist(), strict=True) if ok]
+        kept = None if text is None else separator.encode().join(words).decode("utf-8", "surrogatepass")
+        return kept, total, total - len(words)
+
+    return b.rewritten(covers, ["start", "n"], cut, [words_col, removed_col])
