@@ -28,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.keys import row_hash
 from strata.operators import windows
@@ -130,14 +131,43 @@ def purge(state: DataFrame, older_than: Column) -> DataFrame:
     return state.filter(~(F.col(DELETED) & (F.col(EFFECTIVE) < older_than)))
 
 
+RANGE_BITS = 16
+
+
+def _range_of(events: DataFrame) -> Column:
+    """A number that rises with the version and holds at most 2^16 versions of a key (versions are unique per key)."""
+    kind, v = events.schema[VERSION].dataType, F.col(VERSION)
+    if isinstance(kind, T.IntegralType):
+        return F.shiftright(v.cast("long"), RANGE_BITS)
+    if isinstance(kind, (T.TimestampType, T.DateType)):
+        return F.shiftright(F.unix_micros(v.cast("timestamp")), RANGE_BITS)     # 65 ms at microseconds
+    return F.lit(0)
+
+
 def _intervals(events: DataFrame, keys: list[str]) -> DataFrame:
-    """Interval algebra over change-shaped events of whole keys."""
+    """Interval algebra over change-shaped events of whole keys.
+
+    START is the running maximum of the effective time, END the next event's START.  Both are computed inside (key,
+    range of versions); what a range takes over from those before it, and the START that follows it, come from one row per
+    key and range.  So a key with a third of all events is spread over its ranges.
+    """
     # one event per (key, version): identical redeliveries collapse
     ev = latest(events, keys + [VERSION], [F.col(EFFECTIVE).desc_nulls_last(), F.col(DELETED).desc_nulls_last(),
                                          F.col(HASH).desc_nulls_last()])
-    w = Window.partitionBy(*keys).orderBy(F.col(VERSION).asc())
-    ev = ev.withColumn(START, F.max(EFFECTIVE).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ev = ev.withColumn(END, F.lead(START).over(w))
+    ev = ev.withColumn("_range", _range_of(ev))
+    of_key = Window.partitionBy(*keys).orderBy("_range")
+    edges = ev.groupBy(*keys, "_range").agg(F.max(EFFECTIVE).alias("_most"), F.min_by(F.struct(EFFECTIVE), VERSION).alias("_first"))
+    edges = edges.withColumn("_before", F.max("_most").over(of_key.rowsBetween(Window.unboundedPreceding, -1)))
+    edges = edges.withColumn("_next", F.lead(F.greatest("_before", F.col(f"_first.{EFFECTIVE}"))).over(of_key))
+    edges = edges.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"), "_before", "_next")
+    same = F.col("_range") == F.col("_r")
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"_k{i}"))
+    ev = ev.join(edges, same)
+    w = Window.partitionBy(*keys, "_range").orderBy(F.col(VERSION).asc())
+    ev = ev.withColumn(START, F.greatest("_before", F.max(EFFECTIVE).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    ev = ev.withColumn(END, F.coalesce(F.lead(START).over(w), F.when(F.lead(F.lit(1)).over(w).isNull(), F.col("_next"))))
+    ev = ev.drop("_range", "_r", "_before", "_next", *[f"_k{i}" for i in range(len(keys))])
     # Zero-length versions (superseded by a later version with the same start)
     # stay stored so that a later rebuild sees every event; views hide them.
     return ev.withColumn(CURRENT, F.col(END).isNull() & ~F.col(DELETED))

@@ -20,7 +20,7 @@ def norm(spark, rows):
 
 
 def rows_of(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
 
 
 def test_split_null_safe_case_insensitive(spark):
@@ -58,7 +58,7 @@ def test_scd2_worked_example(spark):
     assert got == [("A", t(1), t(2), False), ("B", t(6), None, True), ("C", t(2), t(4), False)]
 
 
-events = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["x", "y", None]),
+events = st.lists(st.tuples(st.sampled_from(["a", "b|", None]), st.sampled_from(["x", "|", "\\N", None]),
                             st.integers(1, 30), st.integers(0, 40), st.booleans()), min_size=1, max_size=12)
 
 
@@ -74,6 +74,7 @@ def test_scd_batching_order_and_idempotence(spark, evs, cut):
             uniq.append(r)
     a, b = uniq[:cut], uniq[cut:]
     full1 = CH.live(CH.apply_scd1(None, norm(spark, uniq), "k"))
+    assert {r.k for r in CH.apply_scd1(None, norm(spark, uniq), "k").collect()} == {r[0] for r in uniq if r[0] is not None}
     cols1 = ["k", "v", CH.VERSION]
     if a and b:
         inc = CH.apply_scd1(CH.apply_scd1(None, norm(spark, b), "k"), norm(spark, a), "k")
@@ -97,3 +98,64 @@ def test_diff_and_change_feed(spark):
     feed = sorted((r.k, r._change_type, r.v) for r in CH.change_feed(before, after, "k", ["v"]).collect())
     assert feed == [("b", "update_postimage", "9"), ("b", "update_preimage", "2"), ("c", "delete", "3"),
                     ("d", "insert", "4")]
+
+
+def test_row_hash_and_keys_tell_parts_apart(spark):
+    from strata.functions.keys import row_hash, sha_key
+    rows = [("a|b", "c"), ("a", "b|c"), ("a|", ""), ("a", "|"), ("\\N", "x"), (None, "x"), ("\\", "|x"), ("\\|", "x"), ("a\\", "b"), ("a", "\\b")]
+    df = spark.createDataFrame(rows, "a string, b string").select(row_hash("a", "b").alias("h"), sha_key("a", "b").alias("k"))
+    got = df.collect()
+    assert len({r.h for r in got}) == len(rows) and len({r.k for r in got}) == len(rows)
+
+
+def test_null_keys_go_to_quarantine_and_never_multiply(spark):
+    batch = norm(spark, [("a", "x", 1, t(1), None), (None, "n", 1, t(1), None), (None, "m", 2, t(2), None)])
+    keyed, lost = CH.split_null_keys(batch, "k")
+    assert keyed.count() == 1 and sorted(r.v for r in lost.collect()) == ["m", "n"]
+    for apply in (CH.apply_scd1, CH.apply_scd2):
+        state = None
+        for _ in range(3):
+            state = apply(state, batch, "k")
+            assert [r.k for r in state.collect()] == ["a"]
+
+
+def test_scd2_of_a_hot_key_over_many_ranges(spark):
+    """One key holds a third of the rows and spans several version ranges; late effective times and deletes among them."""
+    import random
+    r = random.Random(3)
+    rows = [("hot" if i % 3 == 0 else f"k{i % 40}", f"v{r.randint(0, 9)}", i * 7000, t(r.randint(0, 300)), "true" if r.random() < 0.1 else None) for i in range(300)]
+    half = r.sample(rows, 150)
+    state = CH.apply_scd2(CH.apply_scd2(None, norm(spark, half), "k"), norm(spark, [x for x in rows if x not in half]), "k")
+    want = []
+    for k in {x[0] for x in rows}:
+        own, high, starts = sorted((x for x in rows if x[0] == k), key=lambda x: x[2]), None, []
+        for x in own:
+            high = x[3] if high is None else max(high, x[3])
+            starts.append(high)
+        want += [(k, x[2], s, e) for x, s, e in zip(own, starts, [*starts[1:], None])]
+    got = [tuple(x) for x in state.select("k", CH.VERSION, CH.START, CH.END).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert max(x[2] for x in rows) >> CH.RANGE_BITS > 20
+
+
+def test_asof_join_on_timestamps(spark):
+    """Bounds inside a day, a version within one day, empty versions, an open one, and facts on every bound."""
+    from strata.operators import joins
+    d = dt.datetime
+    h = [("a", 1, d(2019, 6, 1), d(2020, 1, 1, 12)), ("a", 2, d(2020, 1, 1, 12), d(2020, 1, 1, 15)), ("a", 3, d(2020, 1, 1, 15), d(2020, 1, 1, 15)),
+         ("a", 4, d(2020, 1, 1, 15), None), ("b", 5, d(2020, 1, 1), d(2020, 2, 1))]
+    facts = [(i, k, at) for i, (k, at) in enumerate([("a", d(2019, 5, 31, 23, 59)), ("a", d(2019, 6, 1)), ("a", d(2020, 1, 1, 6)), ("a", d(2020, 1, 1, 12)), ("a", d(2020, 1, 1, 14, 59)),
+                                                     ("a", d(2020, 1, 1, 15)), ("a", d(2030, 1, 1)), ("b", d(2020, 1, 31, 23)), ("b", d(2020, 2, 1)), ("c", d(2020, 1, 1))])]
+    want = [None, 1, 1, 2, 2, 4, 4, 5, None, None]
+    for unit in ("day", "month", "year"):
+        out = joins.resolve_version(spark.createDataFrame(facts, "i int, k string, at timestamp"), spark.createDataFrame(h, "hk string, n int, f timestamp, e timestamp"),
+                                    ["k"], ["hk"], at="at", start="f", end="e", unit=unit)
+        assert [r.n for r in out.orderBy("i").collect()] == want
+
+
+def test_dedup_gives_back_every_copy(spark):
+    from strata.operators import windows
+    rows = [(1, "a")] * 2500 + [(1, "b"), (2, "c")]
+    kept, lost = windows.dedup(spark.createDataFrame(rows, "k int, v string"), ["k"], ["v"])
+    assert sorted(map(tuple, kept.collect())) == [(1, "a"), (2, "c")]
+    assert sorted(map(tuple, lost.collect())) == [(1, "a")] * 2499 + [(1, "b")]
