@@ -6,9 +6,14 @@ lines around them and not on how many lines stand before: a passage that has
 moved is cut at the same places.  A chunk of at least two lines that is not
 all white space and that another document, or an earlier place of the same
 one, also holds is removed; its first occurrence (smallest id, then text hash,
-then line) stays.  Chunks are counted by hash; only those with a repeated hash
-travel with their bytes, and they are grouped and joined by hash and bytes, so
-equality is decided by the bytes.
+then line) stays.
+
+Documents are dealt into bundles.  The hashes of chunks alone are counted first,
+and the repeated ones go back to the bundles that hold them.  A bundle sends the
+bytes of each such chunk once (further places in it are removed there, after a
+comparison of the bytes), by chunk hash, and where they meet, equality is again
+decided by the bytes.  The places to remove go to their documents' bundles.  So
+a chunk that very many documents share sends at most a row per bundle.
 
 Rows with equal id and equal text are one document and get the same result.
 
@@ -21,12 +26,11 @@ an output column is replaced.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from strata.llm.common import chunks, others
+from strata.llm.bundles import Bundles, once_per_bundle, repeated_keys
+from strata.llm.common import chunks
 from strata.llm.wordhash import U, hash_spans, mix
 
 _BREAK = 10
@@ -59,53 +63,78 @@ def line_chunks(texts: list[bytes], window: int, divisor: int):
     return buf, doc[begin], begin - first[doc[begin]], last - begin + 1, start[begin], end[last]
 
 
-def _chunk_rows(window: int, divisor: int, with_bytes: bool):
+def _hashes(window: int, divisor: int):
+    """(chunk, 2 * bundle + 1 if it holds the chunk more than once) of (bundle, text)."""
     def run(batches):
         for batch in batches:
-            ids, hashes = batch.column(0), batch.column(1)
-            for rows, texts in chunks(list(range(batch.num_rows)), batch.column(2).to_pylist()):
+            bundle = batch.column(0).to_numpy().astype(np.int64)
+            for rows, texts in chunks(list(range(batch.num_rows)), batch.column(1).to_pylist()):
+                buf, doc, _, _, a, b = line_chunks(texts, window, divisor)
+                if len(doc):
+                    yield once_per_bundle(hash_spans(buf, a, b).view(np.int64), bundle[rows][doc])
+    return run
+
+
+_PLACE = "id long, h long, line int, n int"
+
+
+def _candidates(text_col: str, window: int, divisor: int):
+    """A bundle's chunks with a repeated hash: bytes at the first place, null bytes at places to remove."""
+    schema = pa.schema([("chunk", pa.int64()), ("id", pa.int64()), ("h", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("bytes", pa.binary())])
+
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        known = np.sort(known.column("m").to_numpy())
+        out: list[tuple] = []
+        if len(known) and docs.num_rows:
+            docs = docs.select(["__id", "__h", text_col])
+            docs = docs.take(pa.array(np.lexsort((docs.column(1).to_numpy(), docs.column(0).to_numpy()))))
+            ids, hashes = docs.column(0).to_pylist(), docs.column(1).to_pylist()
+            seen: dict[bytes, tuple] = {}
+            for rows, texts in chunks(list(range(docs.num_rows)), docs.column(2).to_pylist()):
                 buf, doc, line, n, a, b = line_chunks(texts, window, divisor)
-                own = pa.array(np.asarray(rows)[doc])
-                columns = [pa.array(hash_spans(buf, a, b).view(np.int64)), ids.take(own), hashes.take(own),
-                           pa.array(line.astype(np.int32)), pa.array(n.astype(np.int32))]
-                if with_bytes:
-                    columns.append(pa.array([buf[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist())], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "id", "hash", "line", "n", "bytes"][:len(columns)])
+                h = hash_spans(buf, a, b).view(np.int64)
+                for i in np.flatnonzero(known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h).tolist():
+                    d = rows[doc[i]]
+                    place, data = (ids[d], hashes[d], int(line[i])), buf[a[i]:b[i]].tobytes()
+                    first = seen.setdefault(data, place)
+                    if first is place:
+                        out.append((int(h[i]), *place, int(n[i]), data))
+                    elif first != place:        # the very same place is a repeated row
+                        out.append((hashes[d] ^ int(line[i]), *place, int(n[i]), None))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 6, schema, strict=True)], schema=schema)
     return run
 
 
+def _removed(batches):
+    """Places to remove, from candidates sorted by chunk and place."""
+    own, seen = None, {}
+    for batch in batches:
+        out = []
+        for chunk, *place, n, data in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+            if chunk != own:
+                own, seen = chunk, {}
+            if data is None or seen.setdefault(data, place) != place:
+                out.append((*place, n))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)],
+                                             names=["id", "h", "line", "n"])
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2, divisor: int = 3,
                removed_col: str = "lines_removed") -> DataFrame:
     """``docs`` without repeated chunks: the text replaced, the number of removed lines added."""
-    key = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("hash"),
-                      F.col(text_col).cast("binary").alias("text")).where("text is not null")
-    schema = "chunk long, id long, hash long, line int, n int"
-    counted = (key.mapInArrow(_chunk_rows(window, divisor, False), schema)
-               .groupBy("chunk").agg(F.count("*").alias("k")).where("k > 1").select("chunk"))
-    rows = key.mapInArrow(_chunk_rows(window, divisor, True), schema + ", bytes binary").join(counted, "chunk", "left_semi")
-    place = F.struct("id", "hash", "line")                  # a null id is smallest in a struct's order
-    first = rows.groupBy("chunk", "bytes").agg(F.min(place).alias("first"))
-    again = rows.join(first, ["chunk", "bytes"]).where(place != F.col("first"))
-    gone = again.groupBy("id", "hash").agg(F.collect_set(F.struct("line", "n")).alias("gone"))
-    d, g = docs.alias("d"), gone.alias("g")
-    text = F.col(f"d.`{text_col}`")
-    joined = d.join(g, F.col(f"d.`{id_col}`").cast("long").eqNullSafe(F.col("g.id")) & (F.xxhash64(text) == F.col("g.hash")), "left")
-    kept = F.when(F.col("g.gone").isNull(), text).otherwise(_without(F.when(F.col("g.gone").isNotNull(), text), F.col("g.gone.line"), F.col("g.gone.n")))
-    removed = F.coalesce(F.aggregate("g.gone", F.lit(0).cast("long"), lambda s, x: s + x["n"]), F.lit(0))
-    return joined.select(*((kept if c.lower() == text_col.lower() else F.col(f"d.`{c}`")).alias(c) for c in others(docs, [removed_col])),
-                         removed.alias(removed_col))
-
-
-def _without(text: Column, line: Column, n: Column) -> Column:
-    @F.pandas_udf("string")
-    def cut(text: pd.Series, line: pd.Series, n: pd.Series) -> pd.Series:
-        def one(t, starts, counts):
-            if t is None or starts is None:
-                return None
-            lines = t.split("\n")
-            keep = np.ones(len(lines), bool)
-            for a, k in zip(starts, counts, strict=True):
-                keep[a:a + k] = False
-            return "\n".join([x for x, ok in zip(lines, keep, strict=True) if ok])
-        return pd.Series([one(*x) for x in zip(text, line, n, strict=True)], dtype=object)
-    return cut(text, line, n)
+    b = Bundles(docs, id_col, text_col, [removed_col])
+    known = repeated_keys(b.texts().mapInArrow(_hashes(window, divisor), "m long, v long"))
+    found = b.with_keys(known, _candidates(b.text_col, window, divisor), "chunk long, " + _PLACE + ", bytes binary")
+    gone = found.repartition("chunk").sortWithinPartitions("chunk", "id", "h", "line").mapInArrow(_removed, _PLACE)
+
+    def cut(text: str | None, places: set) -> tuple[str | None, int]:
+        if text is None or not places:
+            return text, 0
+        lines = text.split("\n")
+        keep = [True] * len(lines)
+        for line, n in places:
+            keep[line:line + n] = [False] * n
+        return "\n".join([x for x, ok in zip(lines, keep, strict=True) if ok]), keep.count(False)
+
+    return b.rewritten(gone, ["line", "n"], cut, [removed_col])
