@@ -8,8 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Mask suffix of the e-mail masking function.
-EMAIL_MASK = "****@****.***"
+# What stands for the hidden part of an address unless the caller says otherwise.
+EMAIL_MASK = "***@masked"
 
 # Detection patterns for sensitive-column classification.
 PATTERNS = {
@@ -19,10 +19,10 @@ PATTERNS = {
 }
 
 
-def mask_email(email: Column, privileged: Column | bool) -> Column:
-    """Privileged readers see the value; others the first two characters and a mask."""
+def mask_email(email: Column, privileged: Column | bool, mask: str = EMAIL_MASK) -> Column:
+    """Privileged readers see the value; others the first two characters and ``mask``."""
     priv = privileged if isinstance(privileged, Column) else F.lit(privileged)
-    return F.when(priv, email).otherwise(F.concat(F.left(email, F.lit(2)), F.lit(EMAIL_MASK)))
+    return F.when(priv, email).otherwise(F.concat(F.left(email, F.lit(2)), F.lit(mask)))
 
 
 def tokenise(c: Column, secret: str) -> Column:

@@ -21,11 +21,11 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def semi_additive(df: DataFrame, key: Sequence[str], period: Column, ts: str, balance: str,
+def semi_additive(df: DataFrame, key: Sequence[str], period: Column, ts: Sequence[str], balance: str,
                   by: Sequence[str] = ()) -> DataFrame:
-    """Last balance per key and period (``max_by``), then summed over keys per period."""
+    """Last balance per key and period (by ``ts``, several columns for a total order), then summed over keys per period."""
     last = (df.withColumn("_period", period)
-            .groupBy(*key, *by, "_period").agg(F.max_by(balance, ts).alias("_last")))
+            .groupBy(*key, *by, "_period").agg(F.max_by(balance, F.struct(*ts)).alias("_last")))
     return last.groupBy(*by, "_period").agg(F.sum("_last").alias("balance")).withColumnRenamed("_period", "period")
 
 

@@ -153,7 +153,7 @@ def reconcile(source: DataFrame, target: DataFrame, by: Sequence[str], measures:
     j = s.join(t, by, "full_outer")
     if excluded is not None:
         e = excluded.select(*by, *[F.col(m).alias(f"excl_{m}") for m in measures])
-        j = j.join(e, by, "left")
+        j = j.join(e, by, "full_outer")     # a group that only ``excluded`` has is a difference, too
     else:
         for m in measures:
             j = j.withColumn(f"excl_{m}", F.lit(0))

@@ -107,7 +107,7 @@ WHERE action_name IN ('view', 'click') AND event_time >= TIMESTAMP '{MT.ACCESS_N
 GROUP BY 1""", "acc"))(MT.recent_reads)
 
 query("semi_additive_balance", """SELECT period, CAST(sum(last_balance) AS DOUBLE) AS balance FROM (
-  SELECT user_id, CAST(ts AS DATE) AS period, arg_max(CAST(value AS DECIMAL(19,4)), ts) AS last_balance
+  SELECT user_id, CAST(ts AS DATE) AS period, arg_max(CAST(value AS DECIMAL(19,4)), (ts, event_id)) AS last_balance
   FROM events GROUP BY 1, 2) x GROUP BY 1""")(MT.semi_additive_balance)
 
 query("ledger_by_layer", sql("""SELECT CASE WHEN line_cost > 0 THEN 'Posted' ELSE 'Unposted' END AS posting_layer,

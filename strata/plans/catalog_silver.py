@@ -249,7 +249,7 @@ def role_lookup(t):
 
 
 @query("mask_email", """SELECT c_custkey, lower(replace(c_name, '#', '.') || '@example.com') AS email_privileged,
-  left(lower(replace(c_name, '#', '.') || '@example.com'), 2) || '****@****.***' AS email_masked FROM customer""")
+  left(lower(replace(c_name, '#', '.') || '@example.com'), 2) || '***@masked' AS email_masked FROM customer""")
 def mask_email(t):
     """E-mail masking for non-privileged readers."""
     email = F.lower(F.concat(F.replace(F.col("c_name"), F.lit("#"), F.lit(".")), F.lit("@example.com")))

@@ -141,7 +141,7 @@ def recent_reads(t) -> DataFrame:
 def semi_additive_balance(t) -> DataFrame:
     """Daily balance readings per user (last of the day), summed across users per day."""
     ev = t.events.withColumn("balance", S.dec4("value"))
-    return M.semi_additive(ev, ["user_id"], F.to_date("ts"), "ts", "balance")
+    return M.semi_additive(ev, ["user_id"], F.to_date("ts"), ["ts", "event_id"], "balance")
 
 
 def ledger_by_layer(t) -> DataFrame:
