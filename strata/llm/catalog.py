@@ -63,7 +63,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "lines_removed", n_lines.alias("n_lines_kept"), F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op3_embedding_dedup")
+@query("op3_embedding_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+       AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+e AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+      WHERE list_cosine_similarity(p.x, q.x) >= 0.98),
+r(id, root) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.root)
+SELECT c.id AS vec_id, coalesce(n, 0) AS n_links, c.root AS component_id, c.id = c.root AS kept
+FROM (SELECT id, min(root) AS root FROM r GROUP BY id) c LEFT JOIN (SELECT a, count(*) AS n FROM e GROUP BY a) d ON d.a = c.id
+""")
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.embedding_classes(table(spark, sf_dir, "embeddings"))
 
@@ -123,7 +131,18 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-@query("op8_jaccard_join")
+@query("op8_jaccard_join", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+             FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 4 THEN ws ELSE ws[i:i + 3] END AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, least(len(ws), 1)) + 1)) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS (SELECT p.doc_id AS a, q.doc_id AS b FROM s p JOIN s q ON p.g = q.g AND p.doc_id <> q.doc_id JOIN n np ON np.doc_id = p.doc_id JOIN n nq ON nq.doc_id = q.doc_id
+      GROUP BY p.doc_id, q.doc_id, np.n, nq.n HAVING 100 * count(*) >= 85 * (np.n + nq.n - count(*))),
+r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.root)
+SELECT c.id AS doc_id, coalesce(n.n, 0) AS n_shingles, c.root AS component_id
+FROM (SELECT id, min(root) AS root FROM r GROUP BY id) c LEFT JOIN n ON n.doc_id = c.id
+""")
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_classes(table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -132,12 +151,20 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_file("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = sentencepiece_ops.with_pieces(docs, path)
-    back = sentencepiece_ops.decode_pieces(F.col("ids"), path)
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.crc32(F.array_join("ids", " ")).alias("ids_crc32"), back.eqNullSafe(F.col("text")).alias("round_trip"))
-
-
-@query("op10_substring_dedup")
+    coded = sentencepiece_ops.with_pieces(docs, path, decoded_col="decoded")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.crc32(F.array_join("ids", " ")).alias("ids_crc32"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query("op10_substring_dedup", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws[i:i + 19] AS g, i FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w)),
+again AS (SELECT doc_id, i FROM p QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM again),
+word AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w)
+SELECT w.doc_id, len(w.ws) AS n_words, coalesce(k.removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w LEFT JOIN (SELECT word.doc_id, count(gone.i) AS removed, string_agg(x, ' ' ORDER BY word.i) FILTER (gone.i IS NULL) AS kept
+                  FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.i = word.i GROUP BY word.doc_id) k ON k.doc_id = w.doc_id
+""")
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substring_dedup.substring_dedup(docs, width=20)

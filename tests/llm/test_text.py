@@ -145,7 +145,9 @@ def test_pieces(spark):
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, IDS int").repartition(3)
     coded = with_pieces(docs, path)
     assert coded.columns == ["doc_id", "text", "ids"]
-    got = coded.withColumn("back", decode_pieces(F.col("ids"), path)).collect()
+    assert with_pieces(docs, path, decoded_col="Text2").columns == ["doc_id", "text", "ids", "Text2"]
+    got = with_pieces(docs, path, decoded_col="again").withColumn("back", decode_pieces(F.col("ids"), path)).collect()
+    assert all(r["again"] == r["back"] for r in got)
     assert len(got) == len(texts)
     for r in got:
         assert r["ids"] == (None if r["text"] is None else m.processor.encode(r["text"])), r["text"][:40]
