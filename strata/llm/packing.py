@@ -37,11 +37,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from strata.llm.common import chunks, id_and_text
-from strata.llm.wordcache import WordCache
+from strata.llm.wordcache import WordCache, flat, gathered
 
 #: str.split() drops these, which are not white space in Unicode.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _NOT_WHITE = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 _SPLIT = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
 
 
@@ -53,7 +54,7 @@ class WordTokenizer:
     the file splits there.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 800_000):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -63,43 +64,46 @@ class WordTokenizer:
         self.word_end = np.array([p.endswith("</w>") for p in pieces])
         self.sentence_end = np.array([bool(re.fullmatch(r".*[.!?。！？]", p.removesuffix("</w>"))) for p in pieces])
         self.cache = WordCache(self._encode, limit)
-        self.parts = WordCache(self._encode_parts, limit)
+        self.parts = WordCache(self._encode_parts, limit // 2)
 
-    def _encode(self, words: list[str]) -> list:
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Letters with trailing punctuation are looked up as two parts; the rest is encoded as it is."""
-        split = [_SPLIT.fullmatch(w) for w in words]
-        flat = [x for w, m in zip(words, split, strict=True) for x in (m.groups() if m else (w,))]
-        ids, n = self.parts.ids(flat)
-        ends = np.cumsum(n)
-        stop = ends[np.cumsum([2 if m else 1 for m in split]) - 1] if words else ends
-        return np.split(ids, stop[:-1])
-
-    def _encode_parts(self, words: list[str]) -> list:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)] if len(words) < 64 else self._joined(words)
-
-    def _joined(self, words: list[str]) -> list:
+        parts, count = [], []
+        for w in words:
+            m = _SPLIT.fullmatch(w)
+            parts += m.groups() if m else (w,)
+            count.append(2 if m else 1)
+        ids, n = self.parts.ids(parts)
+        return ids, np.add.reduceat(n, np.cumsum(count) - count)
+
+    def _encode_parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Plain lower-case words give one word-end id each, so many can be encoded as one text; others one by one."""
-        plain = [bool(re.fullmatch(r"[a-zß-öø-ÿ]+", w)) for w in words]
-        easy = [w for w, ok in zip(words, plain, strict=True) if ok]
-        out: dict[str, np.ndarray] = {}
+        plain = np.array([bool(_PLAIN.fullmatch(w)) for w in words])
+        easy, hard = ([words[i] for i in np.flatnonzero(which).tolist()] for which in (plain, ~plain))
+        runs, lengths = [], []
         for at in range(0, len(easy), 5000):
-            some = easy[at:at + 5000]
-            ids = np.asarray(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.int32)
+            ids = np.asarray(self.tokenizer.encode(" ".join(easy[at:at + 5000]), add_special_tokens=False).ids, np.int32)
             end = np.flatnonzero(self.word_end[ids]) + 1
-            assert len(end) == len(some)
-            out.update(zip(some, np.split(ids, end[:-1]), strict=True))
-        hard = [w for w, ok in zip(words, plain, strict=True) if not ok]
-        out.update((w, np.asarray(e.ids, np.int32)) for w, e in
-                   zip(hard, self.tokenizer.encode_batch_fast(hard, add_special_tokens=False), strict=True))
-        return [out[w] for w in words]
+            assert len(end) == len(easy[at:at + 5000])
+            runs.append(ids)
+            lengths.append(np.diff(end, prepend=0))
+        ids, n = flat([e.ids for e in self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)])
+        pool, length = np.concatenate([*runs, ids]), np.concatenate([*lengths, n]).astype(np.int64)
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(words))
+        return gathered(pool, (np.cumsum(length) - length)[place], length[place])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
         words, per = [], []
         for t in texts:
+            lower = "Σ" not in t and unicodedata.is_normalized("NFC", t)
+            # a special token's string is one only as it is written, so what may hold one is not lower-cased here
+            special = "<|" in t
+            if lower and not special:
+                t = t.lower()
             w = t.split() if not _SEPARATORS.search(t) else _NOT_WHITE.findall(t)
-            if "Σ" not in t and unicodedata.is_normalized("NFC", t):
-                # a special token's string is one only as it is written, so what may hold one is not lower-cased here
+            if lower and special:
                 w = [x if "<|" in x else x.lower() for x in w]
             words += w
             per.append(len(w))
@@ -110,8 +114,8 @@ class WordTokenizer:
 
 
 @functools.cache
-def _tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def _tokenizer(path: str, limit: int) -> WordTokenizer:
+    return WordTokenizer(path, limit)
 
 
 def best_cuts(at: np.ndarray, penalty: np.ndarray, size: int) -> list[int]:
@@ -204,14 +208,14 @@ _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, se
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
-         sentence_penalty: float = 8, word_penalty: float = 48, block: int = 1 << 19) -> DataFrame:
+         sentence_penalty: float = 8, word_penalty: float = 48, block: int = 1 << 19, cache_words: int = 800_000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian uint32), doc_tokens, sequence_id, offset.
 
     ``sentence_penalty`` and ``word_penalty``: how many ids of padding it is worth to spare a cut at a sentence's end,
-    or inside a sentence.
+    or inside a sentence.  ``cache_words``: words whose ids a Python worker keeps, at some 200 bytes each; fewer cost time only.
     """
     def run(batches):
-        t = _tokenizer(tokenizer_path)
+        t = _tokenizer(tokenizer_path, cache_words)
         p = Packer(size, sentence_penalty, word_penalty, max(1, size // 64))
         base = TaskContext.get().partitionId() << 40
 
@@ -227,10 +231,10 @@ def pack(docs: DataFrame, tokenizer_path: str, size: int = 4096, end_id: int = 2
 
         for batch in batches:
             for ids, texts in chunks(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                flat, n = t.encode([x.decode("utf-8", "replace") for x in texts])
+                every, n = t.encode([x.decode("utf-8", "replace") for x in texts])
                 stop = np.cumsum(n)
                 for doc, a, b in zip(ids, (stop - n).tolist(), stop.tolist(), strict=True):
-                    own = np.append(flat[a:b], np.int32(end_id))
+                    own = np.append(every[a:b], np.int32(end_id))
                     p.add(doc, own, np.flatnonzero(t.sentence_end[own[:-1]]) + 1)
                     if p.pending >= block:
                         yield from out(p.flush(False))
