@@ -56,7 +56,8 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
-    pieces = packing.pack(docs, tokenizer_file("word_bpe_49k.json"), size=4096, end_id=2)
+    # workers live on through the stages, so this one keeps fewer words in them
+    pieces = packing.pack(docs, tokenizer_file("word_bpe_49k.json"), size=4096, end_id=2, cache_words=250_000)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -19,7 +19,7 @@ WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of text that a Python task turns into numpy arrays at a time (a longer text makes a chunk of its own).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def ascii_lower(c: Column) -> Column:
