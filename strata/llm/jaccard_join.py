@@ -7,22 +7,23 @@ documents link when 100 * intersection >= percent * union.
 Method.
 1. Documents with equal sets (128-bit sum of their shingles) are one node.
 2. Shingles are ordered rare first (a sketch of all texts' counts, then hash).
-   Two linking sets of n and m shingles share one of the first n - ceil(t n) + 1
-   of either, the prefix.
+   Two linking sets of n and m shingles share at least c = min(_COMMON, ceil(t n),
+   ceil(t m)) of their first n - ceil(t n) + _COMMON (and m - ...), the prefix.
 3. Nodes with the same prefix and size form one group, and only a group's first
    document in a partition sends its prefix: one row per token and group.
-4. Group pairs are filtered by size and by position, then expanded to their
-   members; members are filtered by a 1024-bit parity map, which bounds the
-   overlap from above, and verified on their whole texts.
+   Tokens that one group alone has are dropped where they meet.
+4. Group pairs are expanded to their members; member pairs are filtered by size,
+   by the number of tokens they share (c), and by a 1024-bit parity map, which bounds the overlap from above, and
+   verified on their whole texts (which travel compressed).
 5. Not all pairs of a large class are made.  First every group on a token meets
    only the token's smallest and largest group; verified links give components.
-   That is repeated with components in the place of groups while it finds links,
-   and finally the groups of different components on the same token meet each
+   That is repeated with components in the place of groups while it finds links
+   and the pairs left are many, and finally the groups of different components on the same token meet each
    other.  A pair inside one component cannot change the classes, so none
    that matters is left out.
 
-A hot token costs rows in proportion to its groups and the join splits them
-(partial aggregation and skew joins, no collected group).
+A token's groups are read as a stream, and minima per token are aggregated before
+the shuffle; no group is collected.
 
 Defined cases: null, empty and white-space-only texts have the empty set and
 link with nothing; rows with a null id take part, and a class's id is the
@@ -46,13 +47,14 @@ from strata.llm.wordhash import U, doc_shingles, mix, split_words
 _MAP_WORDS = 16  # 64-bit words of a parity map
 
 
-def needed_overlap(n: int, m: int, percent: int) -> int:
-    """Least intersection of linking sets of n and m elements: i >= p (n + m) / (100 + p)."""
-    return -(-percent * (n + m) // (100 + percent))
+#: Prefix tokens that a linking pair shares at least (if its sets are large enough).
+_COMMON = 8
+#: Tokens on which a group and the token's first or last group meet before they are compared early; pairs on fewer come last.
+_EARLY = 3
 
 
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    return min(n, n - -(-percent * n // 100) + _COMMON)
 
 
 def set_id(s: np.ndarray) -> bytes:
@@ -94,46 +96,95 @@ def _group(head: np.ndarray, n: int) -> int:
 
 
 def _postings(k: int, percent: int, classes: np.ndarray):
-    """(token, gid, n, pos) of each group, once per partition."""
+    """(token, gid) of each group's prefix, once per partition."""
     def run(batches):
         sent: set[int] = set()
 
         def rows(ids, texts):
-            parts = []
+            heads, groups = [], []
             for s in doc_shingles(split_words(texts, lower=True), k):
                 if len(s):
                     head = ordered(s, classes)[:prefix_length(len(s), percent)]
                     g = _group(head, len(s))
                     if g not in sent:
                         sent.add(g)
-                        parts.append((head, g, len(s)))
-            if not parts:
+                        heads.append(head)
+                        groups.append(g)
+            if not heads:
                 return None
-            lens = [len(h) for h, _, _ in parts]
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([h for h, _, _ in parts]).view(np.int64)), pa.array(np.repeat(np.array([g for _, g, _ in parts], np.int64), lens)),
-                pa.array(np.repeat(np.array([n for _, _, n in parts], np.int32), lens)),
-                pa.array(np.concatenate([np.arange(x, dtype=np.int32) for x in lens]))], names=["token", "gid", "n", "pos"])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads).view(np.int64)),
+                                               pa.array(np.repeat(np.array(groups, np.int64), [len(h) for h in heads]))], names=["token", "gid"])
         yield from over_texts(rows)(batches)
     return run
 
 
-def _possible(a: str, b: str, percent: int) -> Column:
-    """Size and position filter of two postings on one token."""
-    na, nb = F.col(f"{a}.n").cast("long"), F.col(f"{b}.n").cast("long")
-    left = F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * left >= percent * (na + nb))
+#: Pairs across components are made outright once there are at most so many per row of a token.
+_PAIRS_PER_ROW = 16
+_SKETCH_BITS = 20
+_HELD = 200_000     # rows of one token held back while it is not known whether another group follows
+
+
+def _shared(batches):
+    """Distinct (token, gid) of tokens that several groups have, from rows sorted by both."""
+    rest = np.zeros((2, 0), np.int64)
+    known = None        # a token that has shown two groups and of which rows have been given out
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1])], names=["token", "gid"])
+
+    def wanted(rows):
+        token, gid = rows
+        new = np.concatenate([[True], (token[1:] != token[:-1]) | (gid[1:] != gid[:-1])])
+        token, gid = token[new], gid[new]
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        n = np.diff(np.append(first, len(token)))
+        keep = np.repeat((n > 1) | (token[first] == known if known is not None else False), n)
+        return np.stack([token[keep], gid[keep]])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.concatenate([rest, np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])], axis=1)
+        last = int(np.searchsorted(rows[0], rows[0, -1]))
+        if last:
+            yield out(wanted(rows[:, :last]))
+            known = None if known != rows[0, -1] else known
+        rest = rows[:, last:]
+        if rest.shape[1] > _HELD and (known is not None or rest[1, 0] != rest[1, -1]):
+            known = int(rest[0, 0])
+            some = wanted(rest)
+            yield out(some[:, :-1])
+            rest = some[:, -1:]
+    if rest.shape[1]:
+        yield out(wanted(rest))
+
+
+def _packed(batches):
+    """(id, h, text compressed)."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        z = [pa.compress(t, "zstd", asbytes=True) for t in texts]
+        n = [len(t) for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(z, pa.binary()), pa.array(n, pa.int64())], names=["id", "h", "z", "size"])
+
+
+def _sizes_fit(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(f"{a}.n", f"{b}.n") >= percent * F.greatest(f"{a}.n", f"{b}.n")
 
 
 def _verify(k: int, percent: int):
     def run(batches):
         last: tuple[bytes, np.ndarray] = (b"", np.zeros(0, U))
+
+        def shingle_set(z, size):
+            return doc_shingles(split_words([pa.decompress(z, size, "zstd", asbytes=True)], lower=True), k)[0]
+
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for a, b, za, na, zb, nb in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
                 if last[0] != a:
-                    last = (a, doc_shingles(split_words([a], lower=True), k)[0])
-                s, t = last[1], doc_shingles(split_words([b], lower=True), k)[0]
+                    last = (a, shingle_set(za, na))
+                s, t = last[1], shingle_set(zb, nb)
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * both >= percent * (len(s) + len(t) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
@@ -143,91 +194,89 @@ def _verify(k: int, percent: int):
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
     """One row per document: id_col, n_shingles, component_id (smallest id reachable by links, itself included)."""
     texts = id_and_text(docs, id_col, text_col)
-    classes = shingle_classes(texts, k, True)
+    classes = shingle_classes(texts, k, True, bits=_SKETCH_BITS)
     texts = texts.withColumn("h", F.xxhash64("text"))
     sig = checkpoint(texts.mapInArrow(_signatures(k, percent, classes), "id long, h long, node binary, n long, gid long, bits array<long>"))
     nodes = sig.where("node is not null").groupBy("node").agg(
         F.min("id").alias("id"), F.min(F.struct("id", "h")).alias("of"), *(F.first(c).alias(c) for c in ("gid", "n", "bits")))
+    nodes = checkpoint(nodes.withColumn("nid", F.monotonically_increasing_id()))     # fixed once it is written
 
-    # postings of tokens that at least two groups share
-    post = texts.mapInArrow(_postings(k, percent, classes), "token long, gid long, n int, pos int")
-    post = post.groupBy("token", "gid").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    ends = post.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high")).where("low < high").select("token")
-    post = checkpoint(post.join(ends, "token"))
+    post = texts.mapInArrow(_postings(k, percent, classes), "token long, gid long")
+    post = checkpoint(post.repartition("token").sortWithinPartitions("token", "gid").mapInArrow(_shared, "token long, gid long"))
 
     # members of the groups that have such a token, or several members
-    many = nodes.groupBy("gid").agg(F.count("*").alias("k"), F.min("node").alias("head"))
+    many = nodes.groupBy("gid").agg(F.count("*").alias("k"), F.min("nid").alias("head"))
     used = many.join(post.select("gid").distinct().withColumn("shared", F.lit(True)), "gid", "left").where("shared or k > 1")
-    member = checkpoint(nodes.join(used.select("gid", "head"), "gid").select("gid", "head", "node", "n", "bits", "of"))
-    text_of = checkpoint(texts.join(member.select("node", "of"), texts["id"].eqNullSafe(F.col("of.id")) & (texts["h"] == F.col("of.h")))
-                         .select("node", "text").dropDuplicates(["node"]))
+    member = checkpoint(nodes.join(used.select("gid", "head"), "gid").select("gid", "head", "nid", "n", "bits", "of"))
+    packed = texts.mapInArrow(_packed, "id long, h long, z binary, size long")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """Those of the node pairs (a, b) that link."""
-        m = member.select("node", "n", "bits")
-        p = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        x, y = m.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), m.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+        """Those of the different node pairs (a, b) that link."""
+        m = member.select("nid", "n", "bits")
+        x, y = m.select(F.col("nid").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), m.select(F.col("nid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
         odd = sum((F.bit_count(F.get("ba", F.lit(i)).bitwiseXOR(F.get("bb", F.lit(i)))) for i in range(_MAP_WORDS)), F.lit(0))
         # every element of one set alone flips a bit: union - intersection >= odd
-        p = p.join(x, "a").join(y, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        p = pairs.join(x, "a").join(y, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
         p = p.where((100 + percent) * (F.col("na") + F.col("nb") - odd) >= 2 * percent * (F.col("na") + F.col("nb"))).select("a", "b")
-        p = (p.join(text_of.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-             .join(text_of.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
-        return p.mapInArrow(_verify(k, percent), "a binary, b binary")
-
-    def of_groups(pairs: DataFrame) -> DataFrame:
-        """Members of group pairs (ga, gb)."""
-        return (pairs.join(member.select(F.col("gid").alias("ga"), F.col("node").alias("a")), "ga")
-                .join(member.select(F.col("gid").alias("gb"), F.col("node").alias("b")), "gb").select("a", "b"))
+        p = checkpoint(p)
+        # only texts of pairs that are still open are fetched
+        need = p.select(F.col("a").alias("nid")).union(p.select("b")).distinct().join(member.select("nid", "of"), "nid")
+        text = (packed.join(need, packed["id"].eqNullSafe(F.col("of.id")) & (packed["h"] == F.col("of.h")))
+                .select("nid", "z", "size").dropDuplicates(["nid"]))
+        p = (p.join(text.select(F.col("nid").alias("a"), F.col("z").alias("za"), F.col("size").alias("sa")), "a")
+             .join(text.select(F.col("nid").alias("b"), F.col("z").alias("zb"), F.col("size").alias("sb")), "b").select("a", "b", "za", "sa", "zb", "sb"))
+        return p.mapInArrow(_verify(k, percent), "a long, b long")
+
+    def met(pairs: DataFrame, least: Column) -> DataFrame:
+        """Pairs (a, b), a < b, that meet on at least so many tokens; one row per token and pair comes in, a column more may bound it."""
+        both = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), least.alias("least"))
+        return both.groupBy("a", "b").agg(F.count("*").alias("c"), F.first("least").alias("least")).where("c >= least").select("a", "b")
+
+    def tips(rows: DataFrame) -> DataFrame:
+        """Rows (token, part, key) against the first and the last part on their token, other parts only."""
+        star = rows.join(rows.groupBy("token").agg(F.min(F.struct("part", "key")).alias("low"), F.max(F.struct("part", "key")).alias("high")), "token")
+        ends = [star.where(F.col("part") != F.col(f"{e}.part")).select(F.col("key").alias("a"), F.col(f"{e}.key").alias("b")) for e in ("low", "high")]
+        return ends[0].unionByName(ends[1])
 
     # every group meets the smallest and the largest group on its tokens; a group's members meet its first one
-    tip = post.groupBy("token").agg(F.min(F.struct("gid", "n", "pos")).alias("l"), F.max(F.struct("gid", "n", "pos")).alias("h"))
-    star = post.alias("p").join(tip, "token")
-    pairs = None
-    for end in ("l", "h"):
-        e = star.where(_possible("p", end, percent) & (F.col("p.gid") != F.col(f"{end}.gid"))).select(F.col("p.gid").alias("ga"), F.col(f"{end}.gid").alias("gb"))
-        pairs = e if pairs is None else pairs.unionByName(e)
-    first = of_groups(pairs.distinct()).unionByName(member.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")))
+    groups = met(tips(post.select("token", F.col("gid").alias("part"), F.col("gid").alias("key"))), F.lit(_EARLY))
+    own = member.select("gid", "nid")
+    first = (groups.join(own.select(F.col("gid").alias("a"), F.col("nid").alias("x")), "a").join(own.select(F.col("gid").alias("b"), F.col("nid").alias("y")), "b")
+             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    first = first.unionByName(member.where("nid <> head").select(F.least("nid", "head").alias("a"), F.greatest("nid", "head").alias("b")))
     links = checkpoint(linked(first))
 
-    # then only what lies in different components
-    shared = post.join(member.select("gid", "node"), "gid").unionByName(
-        member.select(F.col("gid").alias("token"), "gid", F.col("n").cast("int").alias("n"), F.lit(0).alias("pos"), "node")
-        .join(many.where("k > 1").select("gid"), "gid", "left_semi").select("gid", "token", "n", "pos", "node"))
+    # then only what lies in different components; the members of one group share all its tokens
+    shared = post.join(member.select("gid", "nid", "n"), "gid").select("token", "nid", "n")
+    alone = member.join(many.where("k > 1").select("gid"), "gid", "left_semi").select("gid", "nid", "n")
     while True:
         comp = components(links)
-        open_ = shared.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("gid")
-        by = open_.groupBy("token", "root").agg(F.count("*").alias("k"))
-        mixed = by.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk")).where("low < high")
-        open_ = checkpoint(open_.join(mixed.select("token", "low", "high", ((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("cross")), "token"))
+        rooted = shared.join(comp, F.col("nid") == F.col("node"), "left").select("token", "nid", "n", F.coalesce("root", "nid").alias("root"))
+        by = rooted.groupBy("token", "root").agg(F.count("*").alias("k"))
+        mixed = by.groupBy("token").agg(F.count("*").alias("roots"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk")).where("roots > 1")
+        open_ = checkpoint(rooted.join(mixed.select("token", ((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("cross")), "token"))
         size = open_.groupBy("token").agg(F.count("*").alias("k"), F.first("cross").alias("cross")).agg(F.sum("k"), F.sum("cross")).first()
-        if not size[0]:
-            break
-        if size[1] <= 2 * size[0]:
-            pairs = _cross(open_, percent)
-            more = checkpoint(linked(pairs))
-            links = links.unionByName(more)
-            break
-        tip = open_.groupBy("token").agg(*(F.min(F.when(F.col("root") == F.col(c), F.struct("node", "n", "pos", "root"))).alias(c[0]) for c in ("low", "high")))
-        star, pairs = open_.alias("p").join(tip, "token"), None
-        for end in ("l", "h"):
-            e = star.where(_possible("p", end, percent) & (F.col("p.root") != F.col(f"{end}.root"))).select(F.col("p.node").alias("a"), F.col(f"{end}.node").alias("b"))
-            pairs = e if pairs is None else pairs.unionByName(e)
-        more = checkpoint(linked(pairs))
-        if more.isEmpty():
-            links = links.unionByName(checkpoint(linked(_cross(open_, percent))))
-            break
-        links = checkpoint(links.unionByName(more))
+        if size[0] and size[1] > _PAIRS_PER_ROW * size[0]:
+            more = checkpoint(linked(met(tips(open_.select("token", F.col("root").alias("part"), F.col("nid").alias("key"))), F.lit(_EARLY))))
+            if not more.isEmpty():      # each joins two components
+                links = checkpoint(links.unionByName(more))
+                continue
+        pairs = met(_cross(open_, percent), F.least(F.lit(_COMMON), F.col("least")))
+        # a group of several members whose tokens no other group has: its members in different components
+        inner = alone.join(comp, F.col("nid") == F.col("node"), "left").select(F.col("gid").alias("token"), "nid", "n", F.coalesce("root", "nid").alias("root"))
+        pairs = pairs.unionByName(_cross(inner, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+        links = checkpoint(links.unionByName(linked(pairs)))
+        break
 
     comp = components(links)
-    root = nodes.select("node", "id").join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    root = nodes.select("node", "nid", "id").join(comp.withColumnRenamed("node", "member"), F.col("nid") == F.col("member"), "left").withColumn("root", F.coalesce("root", "nid"))
     low = root.groupBy("root").agg(F.min("id").alias("component_id"))
     out = sig.select("id", "n", "node").join(root.select("node", "root"), "node", "left").join(low, "root", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
-def _cross(open_: DataFrame, percent: int) -> DataFrame:
-    """Node pairs on one token whose components differ."""
-    x, y = open_.alias("x"), open_.alias("y")
-    return x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root")) & _possible("x", "y", percent)).select(
-        F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+def _cross(rows: DataFrame, percent: int) -> DataFrame:
+    """Node pairs on one token whose components differ and whose sizes fit, with the overlap that the larger set asks for."""
+    x, y = rows.alias("x"), rows.alias("y")
+    p = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root")) & _sizes_fit("x", "y", percent))
+    return p.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b"), F.ceil(F.greatest("x.n", "y.n") * percent / 100).alias("least"))

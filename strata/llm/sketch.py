@@ -19,13 +19,23 @@ from strata.llm.wordhash import U, shingles, split_words
 _BLOCK = 1 << 14
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """In the smallest unsigned type that holds them, after a byte that says its size."""
+    small = counts.astype(np.min_scalar_type(int(counts.max())))
+    return bytes([small.itemsize]) + small.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
 def _batch(totals: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array([v.tobytes() for v in totals.values()], pa.binary())],
+    return pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array([_packed(v) for v in totals.values()], pa.binary())],
                                       names=["block", "counts"])
 
 
 def shingle_classes(texts: DataFrame, k: int, lower: bool, bits: int = 20) -> np.ndarray:
-    """A byte per cell: 0 for cells no heavier than usual, and one more for each doubling beyond twice the mean.
+    """A byte per cell: 0 for cells whose count chance explains (mean and four times its root), then one more per doubling of the excess.
 
     ``texts`` has the columns id and text (binary).
     """
@@ -46,7 +56,7 @@ def shingle_classes(texts: DataFrame, k: int, lower: bool, bits: int = 20) -> np
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part = np.frombuffer(c, np.int64)
+                part = _unpacked(c)
                 totals[i] = totals[i] + part if i in totals else part
         if totals:
             yield _batch(totals)
@@ -54,5 +64,6 @@ def shingle_classes(texts: DataFrame, k: int, lower: bool, bits: int = 20) -> np
     rows = texts.mapInArrow(count, "block long, counts binary").repartition(16, "block").mapInArrow(add, "block long, counts binary").collect()
     if not rows:
         return np.zeros(cells, np.uint8)
-    total = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(rows, key=lambda r: r["block"])])
-    return np.floor(np.log2(np.maximum(1, total / (2 * total.mean() + 1)))).astype(np.uint8)
+    total = np.concatenate([_unpacked(r["counts"]) for r in sorted(rows, key=lambda r: r["block"])])
+    mean = total.mean()
+    return np.floor(np.log2(1 + np.maximum(0, total - mean) / (4 * np.sqrt(mean) + 1))).astype(np.uint8)
