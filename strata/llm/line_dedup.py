@@ -1,12 +1,18 @@
-"""Line dedup: repeated runs of lines, found by content-defined chunks.
+"""Line dedup: repeated runs of lines, found by content-defined chunks and pairs of lines.
 
 A text is cut into chunks of whole lines where a rolling hash over the last
 ``window`` line hashes is divisible by ``divisor``, so the cuts depend on the
 lines around them and not on how many lines stand before: a passage that has
-moved is cut at the same places.  A chunk of at least two lines that is not
-all white space and that another document, or an earlier place of the same
-one, also holds is removed; its first occurrence (smallest id, then text hash,
-then line) stays.
+moved is cut at the same places.  The lines that a passage has before its first
+and after its last such cut, and chunks of one line, are reached by pairs: every
+two lines that follow each other are a chunk, too, whatever the cuts.  A chunk
+of at least two lines that is not all white space and that another document, or
+an earlier place of the same one, also holds is removed; its first occurrence
+(smallest id, then text hash, then line) stays.
+
+So a line goes if and only if it stands in a run of two or more lines that
+stands whole at an earlier place, but for white lines between white lines, which
+go with a chunk only.  The first occurrence of a line in the corpus never goes.
 
 Documents are dealt into bundles.  The hashes of chunks alone are counted first,
 and the repeated ones go back to the bundles that hold them.  A bundle sends the
@@ -37,7 +43,7 @@ _BREAK = 10
 
 
 def line_chunks(texts: list[bytes], window: int, divisor: int):
-    """(buf, document, first line, lines, start byte, end byte) of every chunk of two or more lines."""
+    """(buf, document, first line, lines, start byte, end byte) of every pair of lines and every longer chunk."""
     buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     end = np.flatnonzero(buf == _BREAK)
     start = np.concatenate([[0], end[:-1] + 1])
@@ -54,8 +60,9 @@ def line_chunks(texts: list[bytes], window: int, divisor: int):
     cut[first[1:] - 1] = True                               # a text ends with its last line
     last = np.flatnonzero(cut)
     begin = np.concatenate([[0], last[:-1] + 1])
-    many = np.flatnonzero(last > begin)
-    begin, last = begin[many], last[many]
+    many = np.flatnonzero(last > begin + 1)
+    pair = np.flatnonzero(doc[1:] == doc[:-1])              # with the next line
+    begin, last = np.concatenate([begin[many], pair]), np.concatenate([last[many], pair + 1])
     white = np.isin(buf, [9, 10, 11, 12, 13, 32])
     dark = np.concatenate([[0], np.cumsum(~white)])
     some = np.flatnonzero(dark[end[last]] > dark[start[begin]])

@@ -137,6 +137,49 @@ def test_line_chunks_resist_shifts():
     assert len(a - b) <= 2 and len(a) > 30
 
 
+def earlier_runs(rows):
+    """Per id the lines that stand in a run of two or more different dark lines which an earlier document holds; sorted ids, all texts different."""
+    seen, out = set(), {}
+    for i, t in rows:
+        lines = t.split("\n")
+        pairs = [(a, b) if a != b and a.strip() and b.strip() else None for a, b in zip(lines, lines[1:])]
+        out[i] = {x for j, p in enumerate(pairs) if p in seen for x in (j, j + 1)}
+        seen |= {p for p in pairs if p}
+    return out
+
+
+def test_line_dedup_removes_short_passages(spark):
+    """Passages of two to six lines at any place of texts that share nothing else go whole, and nothing else goes."""
+    r, rows, want = random.Random(2), [], {}
+    passages = [[f"passage {p} line {j}" for j in range(2 + p % 5)] for p in range(60)]
+    for i in range(240):
+        own = [f"own {i} {j}" for j in range(r.randint(0, 9))]
+        at = r.randrange(len(own) + 1)
+        rows.append((i, "\n".join([*own[:at], *passages[i % 60], *own[at:]])))
+        want[i] = "\n".join(own) if i >= 60 else rows[-1][1]
+    rows += [(240, "\n".join(["lone", passages[3][0], "lines", passages[4][1], "stay"]))]
+    want[240] = rows[-1][1]
+    got = L.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == want
+
+
+def test_line_dedup_share_on_the_table(spark):
+    """All lines of sf0.01 in runs of different lines that an earlier document holds go; the first occurrence of every line stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null").select("doc_id", "text")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    first = {}
+    for i, t in reversed(rows):
+        first.update(dict.fromkeys(t.split("\n"), i))
+    got = {r["doc_id"]: r["text"] for r in L.line_dedup(docs).collect()}
+    assert all(x in got[i].split("\n") for x, i in first.items())
+    runs = earlier_runs(rows)
+    for i, t in rows:
+        stay = [x for j, x in enumerate(t.split("\n")) if j not in runs[i]]
+        kept = got[i].split("\n")
+        assert len(kept) <= max(1, len(stay)) and all(x in stay or not x for x in kept)
+    assert sum(map(len, runs.values())) > 50
+
+
 def test_embedding_classes(spark):
     rng = np.random.default_rng(4)
     base = rng.standard_normal((12, 24))
