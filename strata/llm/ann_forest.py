@@ -1,16 +1,22 @@
 """Approximate nearest neighbours by inner product: a hash-prefix forest.
 
-Rows are dealt by a hash of their id into shards of about ``shard_rows``.  A
-shard's forest has ``trees`` sorted arrays of long hash strings: bit i of a
-string is the side of a random hyperplane that the vector lies on.  A query
-descends in every tree to its longest matching prefix and then all trees ascend
-together, one bit at a time, adding the rows of their wider prefix ranges, until
-``candidates`` different rows are found.  Candidates are scored on the original
-vectors in double precision.
+Rows are dealt by a hash of their id into shards of about ``shard_rows``, and a
+shard's rows by length into at most 16 bands.  A shard's forest has ``trees``
+sorted arrays of long hash strings, each band a stretch of its own in every
+array: bit i of a string is the side of a random hyperplane that the vector lies
+on.  A query descends in every tree and band to its longest matching prefix and
+then all trees ascend together, one bit at a time, adding the rows of their wider
+prefix ranges, until ``candidates`` different rows are found.  Candidates are
+scored on the original vectors in double precision.
 
 For inner products of vectors of unequal length, the strings are taken of
-(x / M, sqrt(1 - |x|^2 / M^2)) with M the largest norm, and of (q / |q|, 0): the
-angle between these falls as the inner product rises.
+(x / M, sqrt(1 - |x|^2 / M^2)) with M the largest norm of the band, and of
+(q / |q|, 0): the angle between these falls as the inner product rises, and as a
+band is narrow, the last coordinate, which tells nothing of the query, is small.
+The bands ascend by the inner product that they can still hold: with the least
+product asked for falling, a band goes up one bit where prefixes of its length
+would find a row of that product, at the angle that this is in the band, with a
+probability below ``_SURE``.  So a band of short vectors is entered late.
 
 The queries are a stated set (by default ids divisible by 20) and meet every
 shard in blocks; a shard's index is the only thing a task keeps, and each block
@@ -35,18 +41,46 @@ from strata.llm.vectors import matrix, usable
 
 _BITS = 32
 _BLOCK = 512
+#: Probability with which one of the trees' prefixes is to match at the angle of the product asked for.
+_SURE = 0.9
+#: A band ends below this part of its largest norm, but has a sixteenth of the shard's rows at least.
+_NARROW = 0.8
+_BANDS = 16
+
+
+def bands(norm: np.ndarray) -> np.ndarray:
+    """First row of each band, and the number of rows; ``norm`` falls."""
+    edge, least = [0], -(-len(norm) // _BANDS)
+    while edge[-1] < len(norm):
+        at = edge[-1]
+        end = max(int(np.searchsorted(-norm, -_NARROW * norm[at], "right")), at + least)
+        edge.append(end if len(norm) - end >= least else len(norm))
+    return np.array(edge)
 
 
 class Forest:
     """The index of one shard."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, longest: float, trees: int, seed: int):
-        self.ids, self.x = ids, x
-        norm = np.minimum(np.linalg.norm(x, axis=1) / longest, 1)
+    def __init__(self, ids: np.ndarray, x: np.ndarray, trees: int, seed: int):
+        norm = np.linalg.norm(x, axis=1)
+        down = np.lexsort((ids, -norm))
+        self.ids, self.x, norm = ids[down], x[down], norm[down]
+        edge = bands(norm)
+        sizes, longest = np.diff(edge), norm[edge[:-1]]
+        m = np.repeat(np.where(longest > 0, longest, 1), sizes)
+        part = np.minimum(norm / m, 1)
         self.planes = np.random.default_rng(seed).standard_normal((trees, x.shape[1] + 1, _BITS))
-        strings = self._strings(np.column_stack([x / longest, np.sqrt(1 - norm * norm)]))
+        self.band = np.arange(len(sizes), dtype=np.uint64) << np.uint64(_BITS)
+        strings = self._strings(np.column_stack([self.x / m[:, None], np.sqrt(1 - part * part)])) | np.repeat(self.band, sizes)
         self.order = np.argsort(strings, axis=1, kind="stable")
         self.strings = np.take_along_axis(strings, self.order, axis=1)
+        # a band goes up to each length of prefix (32 when it is entered) where the product falls below this
+        rare = 1 - (1 - _SURE) ** (1 / trees)
+        below = longest[:, None] * np.append(np.cos(np.pi * (1 - rare ** (1 / np.arange(1, _BITS + 1)))), 1.0)
+        self.moved, length = np.unravel_index(np.argsort(-below, axis=None, kind="stable"), below.shape)
+        steps = np.full((len(length) + 1, len(sizes)), _BITS + 1)
+        steps[np.arange(1, len(length) + 1), self.moved] = length
+        self.steps = np.minimum.accumulate(steps, axis=0)[1:]   # of each step every band's length, 33 before it is entered
 
     def _strings(self, x: np.ndarray) -> np.ndarray:
         weight = np.uint64(1) << np.arange(_BITS - 1, -1, -1, dtype=np.uint64)
@@ -56,25 +90,38 @@ class Forest:
         """For each query the rows found, as a boolean array."""
         s = self._strings(np.column_stack([queries / np.linalg.norm(queries, axis=1, keepdims=True), np.zeros(len(queries))]))
         trees, n = self.strings.shape
-        ranges = []
-        for length in range(_BITS + 1):                    # prefix ranges of every length, in every tree
+        need, order = min(most, n), self.order.ravel()
+        low, size = [], []                                  # by length: tree, query, band
+        for length in range(_BITS + 1):                     # prefix ranges, down to the length at which they hold too few
             mask = np.uint64(((1 << length) - 1) << (_BITS - length))
             rest = np.uint64((1 << (_BITS - length)) - 1)
-            ranges.append((np.stack([np.searchsorted(self.strings[t], s[t] & mask, "left") for t in range(trees)]),
-                           np.stack([np.searchsorted(self.strings[t], s[t] | rest, "right") for t in range(trees)])))
-        sizes = np.stack([(hi - lo).sum(axis=0) for lo, hi in ranges])
-        need = min(most, n)
+            lo = np.stack([np.searchsorted(self.strings[t], (s[t] & mask)[:, None] | self.band, "left") for t in range(trees)])
+            hi = np.stack([np.searchsorted(self.strings[t], (s[t] | rest)[:, None] | self.band, "right") for t in range(trees)])
+            low.append(lo + n * np.arange(trees)[:, None, None])
+            size.append(hi - lo)
+            if (size[-1].sum(axis=(0, 2)) < need).all():
+                break
+        sizes = np.stack([k.sum(axis=0) for k in size], axis=2)
+        every = np.arange(len(self.band))
         for q in range(len(queries)):
-            found = np.zeros(n, bool)
-            # the deepest level whose ranges could hold enough; the levels below it are inside its ranges
-            level = int(np.flatnonzero(sizes[:, q] >= need)[-1])
+            few = np.flatnonzero(sizes[q].sum(axis=0) < need)
+            deep = int(few[0]) if len(few) else len(size) - 1   # longer prefixes are not told apart
+            at = np.where(self.steps > _BITS, deep + 1, np.minimum(self.steps, deep))
+            held = np.append(sizes[q, :, :deep + 1], np.zeros((len(every), 1), np.int64), axis=1)
+            # the first step whose ranges could hold enough; those of the steps before are inside them
+            step = int(np.argmax(held[every, at].sum(axis=1) >= need))
+            found, wider = np.zeros(n, bool), np.flatnonzero(at[step] <= deep)
             while True:
-                lo, hi = ranges[level][0][:, q].tolist(), ranges[level][1][:, q].tolist()
-                for t in range(trees):
-                    found[self.order[t, lo[t]:hi[t]]] = True
-                if level == 0 or np.count_nonzero(found) >= need:
+                for length in np.unique(at[step, wider]).tolist():
+                    b = wider[at[step, wider] == length]
+                    k = size[length][:, q, b].ravel()
+                    end = np.cumsum(k)
+                    found[order[np.arange(end[-1]) + np.repeat(low[length][:, q, b].ravel() - end + k, k)]] = True
+                if step == len(at) - 1 or np.count_nonzero(found) >= need:
                     break
-                level -= 1
+                step += 1
+                b = self.moved[step]
+                wider = self.moved[step:step + 1] if at[step, b] != at[step - 1, b] else wider[:0]
             yield found
 
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int, most: int):
@@ -89,7 +136,7 @@ class Forest:
             yield i, self.ids[rows[best]], score[best]
 
 
-def _search(k: int, trees: int, most: int, longest: float, seed: int):
+def _search(k: int, trees: int, most: int, seed: int):
     """Input sorted by shard, rows of the index before blocks of queries."""
     def run(batches):
         own, index, held = None, None, []
@@ -107,7 +154,7 @@ def _search(k: int, trees: int, most: int, longest: float, seed: int):
                     held.append((part.column(2).to_numpy(), matrix(part.column(3))))
                     continue
                 if index is None and held:
-                    index = Forest(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), longest, trees, seed)
+                    index = Forest(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), trees, seed)
                     held = []
                 if index is None:
                     continue
@@ -127,8 +174,7 @@ def nearest(vectors: DataFrame, queries: Column | None = None, id_col: str = "ve
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("x"),
                        F.coalesce(F.col(id_col) % 20 == 0 if queries is None else queries, F.lit(False)).alias("q"))
     v = v.where(F.col("id").isNotNull() & usable(F.col("x"))).withColumn("dim", F.size("x"))
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, y: s + y.cast("double") * y.cast("double")))
-    sizes = v.groupBy("dim").agg(F.count("*").alias("n"), F.max(norm).alias("longest")).collect()   # one row per dimension
+    sizes = v.groupBy("dim").agg(F.count("*").alias("n")).collect()     # one row per dimension
     out = None
     for r in sizes:
         shards = -(-r["n"] // shard_rows)
@@ -136,7 +182,7 @@ def nearest(vectors: DataFrame, queries: Column | None = None, id_col: str = "ve
         rows = own.select(F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("query"), "id", "x")
         asked = own.where("q").dropDuplicates(["id"]).select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("query"), "id", "x")
         both = rows.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "query", "id")
-        found = both.mapInArrow(_search(k, trees, candidates, r["longest"], seed), "query_id long, vec_id long, score double")
+        found = both.mapInArrow(_search(k, trees, candidates, seed), "query_id long, vec_id long, score double")
         out = found if out is None else out.unionByName(found)
     if out is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -4,11 +4,12 @@ import os
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import catalog
-from strata.llm.ann_forest import nearest
+from strata.llm.ann_forest import Forest, nearest
 from strata.llm.chat_format import escape, format_chat, unescape
 from strata.llm.packing import best_cuts, pack
 from strata.llm.quality import fit_quality, quality_score, with_quality
@@ -205,6 +206,41 @@ def test_nearest_recall_on_the_table(spark):
     assert total == 20 * (ids % 20 == 0).sum() and hit / total >= 0.9
 
 
+def lengthened(x, kind):
+    """Vectors of length one by factors of the named kind."""
+    rng = np.random.default_rng(12)
+    f = rng.uniform(0, 1, len(x)) if kind == "uniform" else np.where(np.arange(len(x)) < 5, 1000, 1) if kind == "outliers" else rng.lognormal(0, kind, len(x))
+    return x / np.linalg.norm(x, axis=1, keepdims=True) * f[:, None]
+
+
+@pytest.mark.parametrize("kind", [0, 0.25, 0.5, 1.0, "uniform", "outliers"])
+def test_forest_recall_of_a_whole_shard(kind):
+    """A full shard with the production parameters; two thirds of the rows are scored at most (the ranges of one step more than asked)."""
+    x = lengthened(np.random.default_rng(5).standard_normal((8192, 64)), kind)
+    f, queries = Forest(np.arange(8192), x, 32, 11), np.arange(0, 8192, 80)
+    hit = scored = 0
+    for q, found in zip(queries, f.candidates(x[queries], 4000), strict=True):
+        score = np.where(f.ids == q, -np.inf, f.x @ x[q])
+        hit += np.count_nonzero(found[np.argpartition(-score, 20)[:20]])
+        scored += np.count_nonzero(found)
+    assert hit / (20 * len(queries)) >= 0.9 and 4000 <= scored / len(queries) <= 2 / 3 * 8192
+
+
+@pytest.mark.parametrize("kind,candidates", [(0.25, 4000), (0.5, 2000), (1.0, 2000)])
+def test_nearest_recall_over_whole_shards(spark, kind, candidates):
+    """Three shards of about 8192 rows of unequal norms, searched with half and with a quarter of their rows."""
+    n = 3 * 8192
+    x = lengthened(np.random.default_rng(6).standard_normal((n, 64)), kind)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": list(x)}))
+    got = nearest(df, queries=F.col("vec_id") % 240 == 0, candidates=candidates).toPandas()
+    hit = 0
+    for q, own in got.groupby("query_id"):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len(set(own.vec_id) & set(np.argpartition(-score, 20)[:20].tolist()))
+    assert got.query_id.nunique() == -(-n // 240) and hit / len(got) >= 0.9 and len(got) == 20 * -(-n // 240)
+
+
 def test_packed_ids_match_crc(spark):
     got = catalog.QUERIES["op7_packing"](spark, "/root/testdata/sf0.001")
     raw = pack(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), catalog.tokenizer_file("word_bpe_49k.json"))
