@@ -1,9 +1,9 @@
 """Quality classifier: supervised subword embeddings.
 
-A text's features are its words (one that repeats the word before it is read as a
-mark of its own, "again", and has no n-grams) and its character n-grams (code points, within words,
-with the white space around as boundary marks), hashed into a table of learned
-vectors.  The vectors are averaged over the text and go through a
+A text's features are its words and its character n-grams (code points, within
+words, with the white space around as boundary marks), hashed into a table of
+learned vectors; a word that repeats the word before it has a mark, "again",
+beside each of its features.  The vectors are averaged over the text and go through a
 softmax.  Training is plain stochastic gradient descent in numpy.
 
 Training takes at most ``per_class`` labelled documents of each label (those
@@ -35,7 +35,7 @@ from strata.llm.common import chunks, id_and_text, others
 from strata.llm.wordhash import split_words
 
 _MUL = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35), np.uint32(0x27D4EB2F), np.uint32(0x165667B1), np.uint32(0x9E3779B1))
-#: Stands for a word that repeats the word before it.
+#: Marks a word that repeats the word before it.
 _AGAIN = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -56,10 +56,9 @@ def hashed_features(texts: list[bytes], f: Features) -> tuple[np.ndarray, np.nda
     """Buckets of all features of a chunk, and the text that each is of."""
     mask = f.buckets - 1
     w = split_words(texts)
-    word, owner = w.hash.copy(), w.doc()
-    again = np.flatnonzero((w.hash[1:] == w.hash[:-1]) & (owner[1:] == owner[:-1])) + 1
-    word[again] = _AGAIN
-    at, doc = [(word & np.uint64(mask)).astype(np.int32)], [owner]
+    word, owner = w.hash, w.doc()
+    again = np.flatnonzero((word[1:] == word[:-1]) & (owner[1:] == owner[:-1])) + 1
+    at, doc, marked = [(word & np.uint64(mask)).astype(np.int32)], [owner], [owner[again]]
     repeat = np.zeros(len(word) + 1, bool)
     repeat[again] = True
     decoded = [t.decode("utf-8", "replace") for t in texts]
@@ -69,7 +68,7 @@ def hashed_features(texts: list[bytes], f: Features) -> tuple[np.ndarray, np.nda
     inside = np.cumsum(white, dtype=np.int32)  # white characters up to here
     owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in decoded])
     begun = np.cumsum(~white & np.concatenate([[True], white[:-1]]))
-    skip = repeat[np.where(white, begun, begun - 1)]        # by the word that an n-gram from here on is of
+    repeat = repeat[np.where(white, begun, begun - 1)]      # by the word that an n-gram from here on is of
     for n in f.ngrams:
         m = len(code) - n + 1
         if m <= 0:
@@ -79,9 +78,12 @@ def hashed_features(texts: list[bytes], f: Features) -> tuple[np.ndarray, np.nda
             h = (h ^ (code[j:j + m] * _MUL[j % 5])) * np.uint32(0xCC9E2D51)
             h ^= h >> np.uint32(15)
         # no white space but as the first or the last character
-        ok = np.flatnonzero((inside[n - 2:n - 2 + m] == inside[:m]) & ~skip[:m]) if n > 2 else np.flatnonzero(~skip[:m])
+        ok = np.flatnonzero(inside[n - 2:n - 2 + m] == inside[:m]) if n > 2 else np.arange(m)
         at.append((h[ok] & np.uint32(mask)).astype(np.int32))
         doc.append(owner[np.minimum(ok, len(owner) - 1)])
+        marked.append(owner[ok[repeat[ok]]])
+    doc += marked
+    at.append(np.full(sum(map(len, marked)), _AGAIN & np.uint64(mask), np.int32))
     return np.concatenate(at), np.concatenate(doc)
 
 

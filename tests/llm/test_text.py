@@ -12,7 +12,7 @@ from strata.llm import catalog
 from strata.llm.ann_forest import Forest, nearest
 from strata.llm.chat_format import escape, format_chat, unescape
 from strata.llm.packing import best_cuts, pack
-from strata.llm.quality import fit_quality, quality_score, with_quality
+from strata.llm.quality import _AGAIN, Features, fit_quality, hashed_features, quality_score, with_quality
 from strata.llm.sentencepiece_ops import PieceModel, decode_pieces, with_pieces
 from strata.llm.url_filter import url_filter
 from tests.llm import brute
@@ -83,6 +83,18 @@ def test_quality(spark):
     assert all(again[r["doc_id"]] == r["score"] for r in got.collect())
 
 
+def test_features_of_repeated_words():
+    """A word that repeats the word before it has all its own features again, and a mark beside each."""
+    f = Features()
+    bags = lambda *texts: [np.bincount(at, minlength=f.buckets) for at, doc in [hashed_features([t.encode() for t in texts], f)]
+                           for at in [at[doc == i] for i in range(len(texts))]]
+    one, three, other, mixed = bags("spam", "spam spam spam", "eggs", "spam spam eggs")
+    mark = np.zeros(f.buckets, int)
+    mark[int(_AGAIN) & (f.buckets - 1)] = 1
+    assert one.sum() == 1 + 4 + 3 and (three == 3 * one + 16 * mark).all()      # a word, " sp spa pam am ", " spa spam pam "
+    assert (mixed == 2 * one + other + 8 * mark).all()
+
+
 def test_quality_of_odd_inputs(spark):
     docs = spark.createDataFrame([(i, t, 0.0) for i, t in enumerate([*ODD, None])] + [(None, "x", None), (0, "", 1.0)], "doc_id long, text string, SCORE double")
     none = fit_quality(docs, spark.createDataFrame([], "doc_id long, quality int"))
