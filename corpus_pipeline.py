@@ -38,10 +38,12 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays, the one with the smallest id (five words, similarity 0.8)."""
-    classes = jaccard_join.near_classes(docs, k=5, percent=80)
-    kept = classes.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*COLUMNS)
+    """One row of each near-duplicate class stays (five words, similarity 0.8): that with the smallest id that is not null.
+
+    Of rows of one class with that id, that with the smallest text hash stays, and one of equal rows.  A null id stays only
+    in a class without other ids.  Texts without words are not alike, but rows equal in id and such text are one document.
+    """
+    return jaccard_join.one_of_each(docs, k=5, percent=80).select(*COLUMNS)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,7 +29,10 @@ Defined cases: null, empty and white-space-only texts have the empty set and
 link with nothing; rows with a null id take part, and a class's id is the
 smallest id that is not null; repeated rows are one node and are all returned;
 an empty table gives an empty result; input columns other than id and text are
-not returned by ``near_classes``.
+not returned by ``near_classes``.  ``one_of_each`` keeps one row of each class:
+of the smallest id that is not null, then of the smallest text hash, and of rows
+equal in both any one.  A text without words is a class of its own, but rows
+with the same id and the same such text (null counts as empty) are one.
 """
 
 from __future__ import annotations
@@ -193,12 +196,34 @@ def _verify(k: int, percent: int):
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
     """One row per document: id_col, n_shingles, component_id (smallest id reachable by links, itself included)."""
+    sig, root = _classes(docs, id_col, text_col, k, percent)
+    low = root.groupBy("root").agg(F.min("id").alias("component_id"))
+    out = sig.select("id", "n", "node").join(root.select("node", "root"), "node", "left").join(low, "root", "left")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
+    """One row of ``docs`` for each class."""
+    sig, root = _classes(docs, id_col, text_col, k, percent)
+    first = root.groupBy("root").agg(F.min("of").alias("of")).select("of.no_id", "of.id", "of.h")
+    kept = first.unionByName(sig.where("node is null").select(F.col("id").isNull().alias("no_id"), "id", "h").distinct())
+    kept = kept.select("no_id", F.coalesce("id", F.lit(0)).alias("id"), "h")
+    own = F.col(f"`{id_col}`").cast("long")
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
+    rows = docs.select("*", own.isNull().alias("__no_id"), F.coalesce(own, F.lit(0)).alias("__id"), F.xxhash64(text).alias("__h"))
+    on = (rows["__no_id"] == kept["no_id"]) & (rows["__id"] == kept["id"]) & (rows["__h"] == kept["h"])
+    return rows.join(kept, on, "left_semi").dropDuplicates(["__no_id", "__id", "__h"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(id, h, node, n, ...) of every row, and (node, id, of: its first row, root) of every set of shingles."""
     texts = id_and_text(docs, id_col, text_col)
     classes = shingle_classes(texts, k, True, bits=_SKETCH_BITS)
     texts = texts.withColumn("h", F.xxhash64("text"))
     sig = checkpoint(texts.mapInArrow(_signatures(k, percent, classes), "id long, h long, node binary, n long, gid long, bits array<long>"))
     nodes = sig.where("node is not null").groupBy("node").agg(
-        F.min("id").alias("id"), F.min(F.struct("id", "h")).alias("of"), *(F.first(c).alias(c) for c in ("gid", "n", "bits")))
+        F.min("id").alias("id"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h")).alias("of"),
+        *(F.first(c).alias(c) for c in ("gid", "n", "bits")))
     nodes = checkpoint(nodes.withColumn("nid", F.monotonically_increasing_id()))     # fixed once it is written
 
     post = texts.mapInArrow(_postings(k, percent, classes), "token long, gid long")
@@ -269,10 +294,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         break
 
     comp = components(links)
-    root = nodes.select("node", "nid", "id").join(comp.withColumnRenamed("node", "member"), F.col("nid") == F.col("member"), "left").withColumn("root", F.coalesce("root", "nid"))
-    low = root.groupBy("root").agg(F.min("id").alias("component_id"))
-    out = sig.select("id", "n", "node").join(root.select("node", "root"), "node", "left").join(low, "root", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    root = nodes.select("node", "nid", "id", "of").join(comp.withColumnRenamed("node", "member"), F.col("nid") == F.col("member"), "left").withColumn("root", F.coalesce("root", "nid"))
+    return sig, root
 
 
 def _cross(rows: DataFrame, percent: int) -> DataFrame:

@@ -42,6 +42,27 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"] for r in before.select("doc_id").collect()} == {r["doc_id"] for r in after.select("doc_id").collect()}
 
 
+def test_near_stage_keeps_one_row_of_each_class(spark):
+    """Repeated rows, one id under several texts, null ids and texts without words."""
+    text, other = "one two three four five six seven", "other words that stand here all alone"
+    lines = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text), (3, text), (None, text), (2, text.upper()),                 # a null id beside smaller ones
+            (4, other), (4, other), (4, other + " "),                              # repeated rows, and the same words in other bytes
+            (5, lines), (5, lines + " more"), (6, lines + " end"),                 # near copies under one id
+            (7, "seven"), (7, "another seven of one id"),                          # one id in two classes
+            (None, "lonely words"), (None, "lonely words"), (None, "LONELY words"), (None, "two of them"),
+            (None, None), (None, None), (None, ""), (8, None), (8, " "), (9, " "), (9, " "), (0, "zero"), (None, "zero")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = P.near_stage(spark, docs, SF)
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], (r["text"] or "").strip().lower()) for r in got.collect()), key=str)
+    five = [t for i, t in kept if i == 5]
+    assert len(five) == 1 and five[0] in (lines, lines + " more")
+    assert [x for x in kept if x[0] != 5] == sorted(
+        [(2, text), (4, other), (7, "seven"), (7, "another seven of one id"), (None, "lonely words"), (None, "two of them"),
+         (None, ""), (8, ""), (8, ""), (9, ""), (0, "zero")], key=str)
+
+
 def test_run_gives_the_same(spark):
     one, two = (P.run(spark, SF).groupBy("doc_id").agg(F.sum("length").alias("n")) for _ in range(2))
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and one.count() > 100
