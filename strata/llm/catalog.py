@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann_forest, chat_format, embed_dedup, jaccard_join, line_dedup, packing, quality, sentencepiece_ops, substring_dedup, url_filter
+from strata.llm import ann_forest, chat_format, embed_dedup, jaccard_join, line_dedup, packing, quality, quality_rules, sentencepiece_ops, substring_dedup, url_filter
 from strata.llm.common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = substring_dedup.substring_dedup(docs, width=20)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+_STOP = ", ".join(f"'{w}', '{w.capitalize()}'" for w in quality_rules.STOP_WORDS)
+
+
+@query("op13_quality_rules", rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+g AS (SELECT doc_id, i, ws[i:i + 2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+again AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+r AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS i FROM again) GROUP BY doc_id),
+c AS (SELECT w.doc_id, len(ws) AS n_words, coalesce(len(array_to_string(ws, '')), 0)::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+             len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+             len(list_filter(ws, lambda x: x IN ({_STOP}))) AS n_stop_words, len(list_filter(ws, lambda x: regexp_matches(x, '[A-Za-z\x{{80}}-\x{{10FFFF}}]'))) AS n_alpha_words,
+             len(list_filter(ls, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*\x{{2022}}]'))) AS n_bullet_lines,
+             len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|\x{{2026}})[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines
+      FROM w LEFT JOIN r ON r.doc_id = w.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT *, NOT base_failed AND word_chars BETWEEN 3 * n_words AND 10 * n_words AND 100 * n_symbols <= 10 * n_words AND 100 * n_stop_words >= 2 * n_words
+          AND 100 * n_alpha_words >= 70 * n_words AND 100 * n_dup_lines <= 50 * n_lines AND 100 * n_bullet_lines <= 90 * n_lines AND 100 * n_ellipsis_lines <= 30 * n_lines AS kept
+FROM b
+""")
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
