@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann_forest, chat_format, embed_dedup, jaccard_join, line_dedup, packing, quality, quality_rules, sentencepiece_ops, substring_dedup, url_filter
+from strata.llm import ann_forest, chat_format, embed_dedup, jaccard_join, line_dedup, packing, quality, quality_rules, resampling, sentencepiece_ops, source_audit, substring_dedup, url_filter
 from strata.llm.common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,6 +171,52 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query("op11_source_audit", r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT doc_id, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, coalesce(c.n, 0) AS n FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p FROM n JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q FROM (SELECT lang, term, sum(n) AS n FROM n GROUP BY lang, term) JOIN v USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+      GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r QUALIFY part = 'pair' OR rank <= 10
+""")
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.source_divergence(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+#: crc32 of a feature modulo the buckets, by the bits of its bytes (DuckDB has no crc32 of its own).
+_CRC = """SELECT f, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(f)), lambda i: ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::BIGINT)),
+       lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)), lambda v, j: xor(v >> 1, 3988292384 * (v & 1)))) AS c"""
+
+
+@query("op12_resampling", rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+q AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+df AS (SELECT f, count(*) AS n FROM (SELECT unnest(ws) AS f FROM d) GROUP BY f), tf AS (SELECT f, count(*) AS n FROM (SELECT unnest(ws) AS f FROM q) GROUP BY f),
+b AS (SELECT f, xor(c, 4294967295) % 10000 AS b FROM ({_CRC} FROM (SELECT f FROM df UNION SELECT f FROM tf))),
+s AS (SELECT b, sum(n) AS n FROM df JOIN b USING (f) GROUP BY b), t AS (SELECT b, sum(n) AS n FROM tf JOIN b USING (f) GROUP BY b),
+z AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS s_all, (SELECT coalesce(sum(n), 0) FROM t) AS t_all),
+g AS (SELECT s.b, floor(1000 * ln(((coalesce(t.n, 0) + 1) * (s_all + 10000))::DOUBLE / ((s.n + 1) * (t_all + 10000))::DOUBLE))::BIGINT AS gain FROM s LEFT JOIN t ON t.b = s.b, z),
+w AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM (SELECT doc_id, unnest(ws) AS f FROM d) JOIN b USING (f) JOIN g USING (b) GROUP BY doc_id),
+r AS (SELECT doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN w USING (doc_id)),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM r WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= n * 10 // 100 THEN k END AS rank FROM r LEFT JOIN o USING (doc_id)
+""")
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark"), percent=10, min_words=20, max_n=1, buckets=10_000, seed="2024")
+
+
 _STOP = ", ".join(f"'{w}', '{w.capitalize()}'" for w in quality_rules.STOP_WORDS)
 
 

@@ -25,11 +25,15 @@ LETTERS_AND_DIGITS[48:58] = True
 
 @dataclass
 class Tokens:
-    words: list[bytes]      # distinct
-    code: np.ndarray        # of each word of the texts, in order: its place in words
+    vocabulary: pa.LargeBinaryArray     # the distinct words
+    code: np.ndarray        # of each word of the texts, in order: its place in the vocabulary
     doc: np.ndarray         # of each word of the texts: the text that it stands in
     n_docs: int
 
+    @property
+    def words(self) -> list[bytes]:
+        return self.vocabulary.to_pylist()
+
 
 def tokens(texts: list[bytes], wanted: np.ndarray) -> Tokens:
     """The words of ``texts``: runs of the bytes that ``wanted`` marks (space is not one of them), A-Z lower-cased."""
@@ -41,4 +45,4 @@ def tokens(texts: list[bytes], wanted: np.ndarray) -> Tokens:
     found = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(_LOWER[buf[ok]])]).dictionary_encode()
     begin = np.cumsum([1, *(len(t) + 1 for t in texts)])[:-1]
     doc = np.searchsorted(begin, start, side="right") - 1
-    return Tokens(found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64), doc, len(texts))
+    return Tokens(found.dictionary, found.indices.to_numpy().astype(np.int64), doc, len(texts))

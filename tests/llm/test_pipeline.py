@@ -71,7 +71,7 @@ def test_run_gives_the_same(spark):
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "conversations", "documents", "embeddings"):
+    for t in ("pages", "conversations", "documents", "embeddings", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     rel = con.sql(catalog.ORACLE[name])
     got = catalog.QUERIES[name](spark, SF)
