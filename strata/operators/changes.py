@@ -131,43 +131,62 @@ def purge(state: DataFrame, older_than: Column) -> DataFrame:
     return state.filter(~(F.col(DELETED) & (F.col(EFFECTIVE) < older_than)))
 
 
-RANGE_BITS = 16
+#: Events from which on a key is spread over ranges of its versions, and about how many ranges it gets.
+HOT_ROWS = 200_000
+RANGES = 256
 
 
-def _range_of(events: DataFrame) -> Column:
-    """A number that rises with the version and holds at most 2^16 versions of a key (versions are unique per key)."""
-    kind, v = events.schema[VERSION].dataType, F.col(VERSION)
-    if isinstance(kind, T.IntegralType):
-        return F.shiftright(v.cast("long"), RANGE_BITS)
-    if isinstance(kind, (T.TimestampType, T.DateType)):
-        return F.shiftright(F.unix_micros(v.cast("timestamp")), RANGE_BITS)     # 65 ms at microseconds
-    return F.lit(0)
+def _renamed(df: DataFrame, keys: list[str], *more: str) -> DataFrame:
+    """The key columns as _k0, _k1 ..., so that a join leaves the events' own columns alone."""
+    return df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *more)
+
+
+def _on(keys: list[str]) -> Column:
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"_k{i}"))
+    return same
+
+
+def _ranged(events: DataFrame, keys: list[str]) -> DataFrame:
+    """With ``_range``: 0, but for keys of more than ``HOT_ROWS`` events the number of the key's range bounds up to the version.
+
+    The bounds are versions that the key itself has (less than ``RANGES``, those of the smallest hashes), so ranges hold
+    about as many versions each, whatever the type of the version and however it is spread.  A key's bounds are at most some
+    hundred values; where no key is hot, adaptive execution finds the bounds empty and drops the join.
+    """
+    hot = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS)
+    versions = events.join(_renamed(hot, keys), _on(keys)).select(*keys, VERSION).filter(F.col(VERSION).isNotNull()).distinct()
+    by_hash = Window.partitionBy(*keys).orderBy(F.xxhash64(VERSION), VERSION)
+    chosen = versions.withColumn("_nth", F.row_number().over(by_hash)).filter(F.col("_nth") < RANGES)      # a limit in each task before the shuffle
+    bounds = _renamed(chosen.groupBy(*keys).agg(F.sort_array(F.collect_list(VERSION)).alias("_bounds")), keys, "_bounds")
+    out = events.join(bounds, _on(keys), "left")
+    below = F.aggregate("_bounds", F.lit(0), lambda n, b: n + F.when(b <= F.col(VERSION), 1).otherwise(0))
+    return (out.withColumn("_hot", F.col("_bounds").isNotNull()).withColumn("_range", F.coalesce(below, F.lit(0)))
+            .drop("_bounds", *[f"_k{i}" for i in range(len(keys))]))
 
 
 def _intervals(events: DataFrame, keys: list[str]) -> DataFrame:
     """Interval algebra over change-shaped events of whole keys.
 
-    START is the running maximum of the effective time, END the next event's START.  Both are computed inside (key,
-    range of versions); what a range takes over from those before it, and the START that follows it, come from one row per
-    key and range.  So a key with a third of all events is spread over its ranges.
+    START is the running maximum of the effective time, END the next event's START.  One exchange by (key, range) serves
+    both the choice of one event per version and the running windows; only hot keys have more than one range.  What a
+    range takes over from those before it, and the START that follows it, come from one row per hot key and range, so a
+    key with a third of all events is ordered in its ranges, never as a whole.
     """
+    ev = _ranged(events, keys).repartition(*keys, "_range")
     # one event per (key, version): identical redeliveries collapse
-    ev = latest(events, keys + [VERSION], [F.col(EFFECTIVE).desc_nulls_last(), F.col(DELETED).desc_nulls_last(),
-                                         F.col(HASH).desc_nulls_last()])
-    ev = ev.withColumn("_range", _range_of(ev))
+    same = Window.partitionBy(*keys, "_range", VERSION).orderBy(F.col(EFFECTIVE).desc_nulls_last(), F.col(DELETED).desc_nulls_last(), F.col(HASH).desc_nulls_last())
+    ev = ev.withColumn("_nth", F.row_number().over(same)).filter(F.col("_nth") == 1).drop("_nth")
     of_key = Window.partitionBy(*keys).orderBy("_range")
-    edges = ev.groupBy(*keys, "_range").agg(F.max(EFFECTIVE).alias("_most"), F.min_by(F.struct(EFFECTIVE), VERSION).alias("_first"))
+    edges = ev.filter("_hot").groupBy(*keys, "_range").agg(F.max(EFFECTIVE).alias("_most"), F.min_by(F.struct(EFFECTIVE), VERSION).alias("_first"))
     edges = edges.withColumn("_before", F.max("_most").over(of_key.rowsBetween(Window.unboundedPreceding, -1)))
     edges = edges.withColumn("_next", F.lead(F.greatest("_before", F.col(f"_first.{EFFECTIVE}"))).over(of_key))
-    edges = edges.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"), "_before", "_next")
-    same = F.col("_range") == F.col("_r")
-    for i, k in enumerate(keys):
-        same = same & (F.col(k) == F.col(f"_k{i}"))
-    ev = ev.join(edges, same)
+    ev = ev.join(_renamed(edges, keys, F.col("_range").alias("_r"), "_before", "_next"), _on(keys) & (F.col("_range") == F.col("_r")), "left")
     w = Window.partitionBy(*keys, "_range").orderBy(F.col(VERSION).asc())
     ev = ev.withColumn(START, F.greatest("_before", F.max(EFFECTIVE).over(w.rowsBetween(Window.unboundedPreceding, 0))))
     ev = ev.withColumn(END, F.coalesce(F.lead(START).over(w), F.when(F.lead(F.lit(1)).over(w).isNull(), F.col("_next"))))
-    ev = ev.drop("_range", "_r", "_before", "_next", *[f"_k{i}" for i in range(len(keys))])
+    ev = ev.drop("_range", "_hot", "_r", "_before", "_next", *[f"_k{i}" for i in range(len(keys))])
     # Zero-length versions (superseded by a later version with the same start)
     # stay stored so that a later rebuild sees every event; views hide them.
     return ev.withColumn(CURRENT, F.col(END).isNull() & ~F.col(DELETED))

@@ -23,10 +23,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType | str) -> None:
-    """A10: an empty table with the given schema, unless there is one."""
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType | str, keyed: bool = False) -> None:
+    """A10: an empty table with the given schema, unless there is one; a ``keyed`` one has the bucket that merges need."""
     if not exists(spark, path):
-        spark.createDataFrame([], schema).write.parquet(path)
+        spark.createDataFrame([], schema).write.parquet(f"{path.rstrip('/')}/{BUCKET}=0" if keyed else path)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -61,10 +61,18 @@ def merge_table(changes: DataFrame, path: str, key: Sequence[str], buckets: int,
         return
     state = None
     if exists(spark, path):
-        state = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        stored = spark.read.parquet(path)
+        if BUCKET not in stored.columns:
+            raise ValueError(f"{path} is not a keyed table: make it with ensure_table(..., keyed=True) or let the first merge make it")
+        state = stored.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
     write_partitioned(with_bucket(merge(state, changes), key, buckets), path, [BUCKET])
 
 
+def rebuild_table(state: DataFrame, path: str, key: Sequence[str], buckets: int) -> None:
+    """A keyed table anew, every bucket of it: what ``state`` lacks is gone.  ``state`` must not read ``path``."""
+    replace_table(with_bucket(state, key, buckets), path, [BUCKET])
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a keyed table, without the bucket."""
     return spark.read.parquet(path).drop(BUCKET)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -119,9 +120,11 @@ def test_null_keys_go_to_quarantine_and_never_multiply(spark):
             assert [r.k for r in state.collect()] == ["a"]
 
 
-def test_scd2_of_a_hot_key_over_many_ranges(spark):
+def test_scd2_of_a_hot_key_over_many_ranges(spark, monkeypatch):
     """One key holds a third of the rows and spans several version ranges; late effective times and deletes among them."""
     import random
+    monkeypatch.setattr(CH, "HOT_ROWS", 60)
+    monkeypatch.setattr(CH, "RANGES", 12)
     r = random.Random(3)
     rows = [("hot" if i % 3 == 0 else f"k{i % 40}", f"v{r.randint(0, 9)}", i * 7000, t(r.randint(0, 300)), "true" if r.random() < 0.1 else None) for i in range(300)]
     half = r.sample(rows, 150)
@@ -135,7 +138,32 @@ def test_scd2_of_a_hot_key_over_many_ranges(spark):
         want += [(k, x[2], s, e) for x, s, e in zip(own, starts, [*starts[1:], None])]
     got = [tuple(x) for x in state.select("k", CH.VERSION, CH.START, CH.END).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
-    assert max(x[2] for x in rows) >> CH.RANGE_BITS > 20
+    ranges = {tuple(x) for x in CH._ranged(norm(spark, rows), ["k"]).select("k", "_range").distinct().collect()}
+    assert len([x for x in ranges if x[0] == "hot"]) > 4 and {x[1] for x in ranges if x[0] != "hot"} == {0}
+
+
+@pytest.mark.parametrize("kind", ["bigint", "timestamp", "decimal(20,3)", "string", "date"])
+def test_scd2_ranges_of_every_version_type(spark, monkeypatch, kind):
+    """A key with a third of 300,000 events is cut into many small ranges, and its intervals are those of one ordered pass."""
+    monkeypatch.setattr(CH, "HOT_ROWS", 20_000)
+    days = kind == "date"       # a type with few values: many events of a version are one
+    n = F.col("id") * 7919 % 300_007
+    version = {"bigint": n, "timestamp": (n * 0.001).cast("timestamp"), "decimal(20,3)": (n / 8).cast(kind), "string": F.lpad(n.cast("string"), 8, "0"),
+               "date": F.date_add(F.lit("2000-01-01").cast("date"), (n % 3000).cast("int"))}[kind]
+    ev = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"))).alias("k"),
+                                     (F.col("id") % 11).cast("string").alias("v"), version.alias("ver"),
+                                     F.timestamp_seconds((F.xxhash64("id") % 1_000_000) + 1_700_000_000).alias("ts"), (F.col("id") % 97 == 0).alias("del"))
+    changes = CH.normalise(ev, "k", ["v"], "ver", "del", "ts").repartition(4)
+    sizes = CH._ranged(changes, ["k"]).filter("k = 'hot'").groupBy("_range").count().collect()
+    assert len(sizes) > 100 and max(r["count"] for r in sizes) < 5000
+    got = CH.apply_scd2(None, changes, "k").filter("k IN ('hot', 'k1', 'k4999')").select("k", CH.VERSION, CH.EFFECTIVE, CH.START, CH.END).toPandas()
+    raw = changes.filter("k IN ('hot', 'k1', 'k4999')").select("k", CH.VERSION, CH.EFFECTIVE).toPandas()
+    want = raw.groupby(["k", CH.VERSION], as_index=False)[CH.EFFECTIVE].max().sort_values(["k", CH.VERSION])
+    want[CH.START] = want.groupby("k")[CH.EFFECTIVE].cummax()
+    want[CH.END] = want.groupby("k")[CH.START].shift(-1)
+    got = got.sort_values(["k", CH.VERSION]).reset_index(drop=True)
+    assert len(got) == len(want) and (len(got) < 4000) == days
+    assert got.equals(want.reset_index(drop=True).astype(got.dtypes))
 
 
 def test_asof_join_on_timestamps(spark):

@@ -3,10 +3,12 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators import changes as CH
+from strata.operators import control
 from strata.sources import ingest, schema, sinks
 from strata.streaming import streams
 
@@ -138,6 +140,86 @@ def test_ingest_table(spark, tmp_path):
     assert (third["rows"], third["max_version"]) == (2, 3) and live() == {"a": "One\nline", "b": "Back", "c": "Three"}
 
 
+ACCOUNT = {"entities": [{"name": "account", "attributes": [
+    {"name": "accountid", "dataType": "string"}, {"name": "name", "dataType": "string"}, {"name": "versionnumber", "dataType": "int64"},
+    {"name": "modifiedon", "dataType": "dateTime"}, {"name": "IsDelete", "dataType": "boolean"}]}]}
+
+
+def account(tmp_path, spark):
+    """(export folder, manifest columns, a line of the export)"""
+    manifest = str(tmp_path / "model.json")
+    with open(manifest, "w") as f:
+        json.dump(ACCOUNT, f)
+    return tmp_path / "export", schema.manifest_columns(spark, manifest), lambda k, n, v, d="": f"{k},{n},{v},2024-01-01 00:00:{v or 0},{d}"
+
+
+def test_newest_snapshot_replaces(spark, tmp_path):
+    """Two snapshots, a vanished key, old changes of it, a later change of another one; a forced run equals a rebuild in an empty place."""
+    from strata.sources import pipeline
+    base, columns, row = account(tmp_path, spark)
+    out = str(tmp_path / "account")
+    live = lambda path: {r["accountid"]: r["name"] for r in CH.live(sinks.read_table(spark, path)).collect()}
+    export(base, "account", "Snapshot", "2024-01-01T00-00-00", [row("a", "A1", 11), row("b", "B1", 12), row("c", "C1", 13)])
+    first = pipeline.ingest_table(spark, str(base), "account", columns, out)
+    assert first["mode"] == "full" and first["fence"] == 13 and live(out) == {"a": "A1", "b": "B1", "c": "C1"}
+    export(base, "account", "Changelog", "2024-01-02T00-00-00", [row("b", "B2", 14), row("c", "C2", 15), row("e", "E1", 16)])
+    second = pipeline.ingest_table(spark, str(base), "account", columns, out, cursor_ts=first["cursor_ts"], fence=first["fence"])
+    assert second["mode"] == "incremental" and live(out) == {"a": "A1", "b": "B2", "c": "C2", "e": "E1"}
+    # the newer snapshot lacks b and c; c comes back later, and an old change of b is delivered once more
+    export(base, "account", "Snapshot", "2024-01-03T00-00-00", [row("a", "A3", 21), row("e", "E2", 22)])
+    export(base, "account", "Changelog", "2024-01-04T00-00-00", [row("c", "C3", 23), row("b", "B2", 14), row("a", "A2", 20)])
+    forced = pipeline.ingest_table(spark, str(base), "account", columns, out, cursor_ts=second["cursor_ts"], force=True)
+    assert (forced["folders"], forced["rows"], forced["fence"]) == (4 - 1, 8, 22)
+    want = {"a": "A3", "c": "C3", "e": "E2"}
+    assert live(out) == want
+    anew = str(tmp_path / "anew")
+    assert pipeline.ingest_table(spark, str(base), "account", columns, anew) == forced and live(anew) == want
+    # an old change in a new folder does not bring back b; a new one does; buckets of vanished keys are gone
+    export(base, "account", "Changelog", "2024-01-05T00-00-00", [row("b", "B9", 19), row("e", "E1", 16)])
+    third = pipeline.ingest_table(spark, str(base), "account", columns, out, cursor_ts=forced["cursor_ts"], fence=forced["fence"])
+    assert live(out) == want
+    export(base, "account", "Changelog", "2024-01-06T00-00-00", [row("b", "B10", 30)])
+    pipeline.ingest_table(spark, str(base), "account", columns, out, cursor_ts=third["cursor_ts"], fence=third["fence"])
+    assert live(out) == want | {"b": "B10"}
+    # A table whose cursor is dropped starts anew
+    cursor = spark.createDataFrame([("account", "SUCCESS"), ("other", "SUCCESS")], "table_name string, status string")
+    assert [r.table_name for r in control.reset_table(cursor, "account").collect()] == ["other"]
+    history = str(tmp_path / "history")
+    pipeline.ingest_table(spark, str(base), "account", columns, history, scd=2)
+    versions = sorted((r["accountid"], r["name"]) for r in CH.history_view(sinks.read_table(spark, history)).filter(F.col(CH.CURRENT)).collect())
+    assert versions == sorted((want | {"b": "B10"}).items())
+
+
+def test_changelog_without_versions_fails_the_run(spark, tmp_path):
+    """Nothing is written, the cursor stays; the forced run after the export is mended goes through."""
+    from strata.sources import pipeline
+    base, columns, row = account(tmp_path, spark)
+    out = str(tmp_path / "account")
+    export(base, "account", "Snapshot", "2024-01-01T00-00-00", [row("a", "A1", 1)])
+    first = pipeline.ingest_table(spark, str(base), "account", columns, out)
+    export(base, "account", "Changelog", "2024-01-02T00-00-00", [row("a", "A2", ""), row("b", "B2", 2)])
+    run = pipeline.ingest_table(spark, str(base), "account", columns, out, cursor_ts=first["cursor_ts"], fence=first["fence"])
+    assert (run["status"], run["unversioned"], run["cursor_ts"]) == ("FAILED", 1, first["cursor_ts"]) and "versionnumber" in run["error"]
+    assert sinks.read_table(spark, out).count() == 1
+    r = ingest.require_version(spark.createDataFrame([(1, None)], "k int, v int"), "v").first()
+    assert (r["has_column"], r["null_versions"], r["ok"]) == (True, 1, False)
+    assert not ingest.require_version(spark.createDataFrame([(1,)], "k int"), "v").first()["ok"]
+
+
+def test_merge_into_an_ensured_table(spark, tmp_path):
+    root, merge = str(tmp_path / "made"), lambda state, changes: CH.apply_scd1(state, changes, ["k"])
+    rows = CH.normalise(spark.createDataFrame([(i, "a", 1, False, None) for i in range(50)], "k long, v string, ver long, gone boolean, at timestamp"), "k", ["v"], "ver", "gone", "at")
+    sinks.ensure_table(spark, root, rows.schema, keyed=True)
+    assert sinks.read_table(spark, root).count() == 0
+    for _ in range(2):
+        sinks.merge_table(rows, root, ["k"], 4, merge)
+        assert sorted(r["k"] for r in sinks.read_table(spark, root).collect()) == list(range(50))
+    plain = str(tmp_path / "plain")
+    sinks.ensure_table(spark, plain, rows.schema)
+    with pytest.raises(ValueError, match="keyed"):
+        sinks.merge_table(rows, plain, ["k"], 4, merge)
+
+
 def test_schema_drift_classes(spark):
     prev = spark.createDataFrame([("t", "a", "int"), ("t", "b", "string"), ("t", "c", "double"), ("old", "x", "int")],
                                  "table_name string, column_name string, data_type string")
