@@ -51,3 +51,4 @@ from strata.plans import catalog_history  # noqa: E402,F401
 from strata.plans import catalog_silver  # noqa: E402,F401
 from strata.plans import catalog_control  # noqa: E402,F401
 from strata.plans import catalog_resolve  # noqa: E402,F401
+from strata.plans import catalog_matching  # noqa: E402,F401

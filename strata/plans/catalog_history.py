@@ -33,7 +33,13 @@ def asof_dimension(t):
                     "city", "rate")
 
 
-@query("daily_balance", """WITH period AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS b FROM events), mv AS (
+def _period(t):
+    """The feed's first and last day, found when the query runs."""
+    days = t.events.agg(F.min(F.to_date("ts")).alias("a"), F.max(F.to_date("ts")).alias("b"))
+    return days.select("a").scalar(), days.select("b").scalar()
+
+
+_BALANCE = """WITH period AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS b FROM events), mv AS (
   SELECT user_id, CAST(ts AS DATE) AS d,
     CASE WHEN event_type = 'purchase' THEN -abs(CAST(value AS DECIMAL(19,4))) ELSE CAST(value AS DECIMAL(19,4)) END AS amt
   FROM events),
@@ -43,12 +49,23 @@ spine AS (SELECT k.user_id, CAST(s.d AS DATE) AS d FROM (SELECT DISTINCT user_id
 SELECT user_id, balance_date, CAST(movement AS DOUBLE) AS movement, CAST(balance AS DOUBLE) AS balance FROM (
   SELECT s.user_id, s.d AS balance_date, coalesce(daily.amt, 0) AS movement,
     sum(coalesce(daily.amt, 0)) OVER (PARTITION BY s.user_id ORDER BY s.d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance
-  FROM spine s LEFT JOIN daily ON s.user_id = daily.user_id AND s.d = daily.d) x""")
+  FROM spine s LEFT JOIN daily ON s.user_id = daily.user_id AND s.d = daily.d) x"""
+
+
+@query("daily_balance", _BALANCE)
 def daily_balance(t):
     """K4: periodic snapshot — end-of-day balance per user over the feed period (purchases negative)."""
     mv = t.events.withColumn("amount", PD.signed(S.dec4("value"), F.col("event_type") == "purchase"))
-    first, last = t.events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()     # the feed's own period
-    return PD.daily_balance(mv, "user_id", "ts", "amount", str(first), str(last))
+    return PD.daily_balance(mv, "user_id", "ts", "amount", *_period(t))
+
+
+@query("restated_balance", _BALANCE)
+def restated_balance(t):
+    """K9: the balance built without the first half's purchases, then restated with them as late rows; equal to a full rebuild."""
+    mv = t.events.withColumn("amount", PD.signed(S.dec4("value"), F.col("event_type") == "purchase"))
+    late = (F.col("ts") < F.lit(FD.CUT).cast("timestamp_ntz")) & (F.col("event_type") == "purchase")
+    table = PD.daily_balance(mv.filter(~late), "user_id", "ts", "amount", *_period(t))
+    return PD.restate(table, mv.filter(late), "user_id", "ts", "amount", *_period(t))
 
 
 @query("accumulating_funnel", """SELECT user_id,

@@ -80,3 +80,44 @@ def apply_changes(path: str, key: Sequence[str], scd: int = 1, buckets: int = 16
 def last_version_state(stream: DataFrame, key: str, version: str) -> DataFrame:
     """Last version seen per key, kept in streaming aggregation state (update mode)."""
     return stream.groupBy(key).agg(F.max(version).alias("last_version"), F.count(F.lit(1)).alias("changes"))
+
+
+def version_guard(stream: DataFrame, key: Sequence[str], version: str, event_time: str, delay: str, keep: str) -> DataFrame:
+    """Only changes whose version is above the highest one that the key has shown, with state that ends.
+
+    The state of a key is its highest version and lives in Spark's keyed state; it ends once the watermark (``delay``
+    behind the latest event time) has passed the key's last event by ``keep``, so it is as large as the keys of that
+    time.  A change older than the key's state is dropped, equal versions in one batch come out once; after the state
+    has ended a key starts anew, and the idempotent merges behind the guard decide.  A batch's rows of a key come in
+    pieces (Arrow batches), and only the best row of each version is held: a key's rows of one micro-batch are bounded
+    by the trigger's file limit.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    source = _event_time(stream, event_time).withWatermark(event_time, delay)
+    names, state = source.columns, T.StructType([T.StructField("version", T.LongType()), T.StructField("last_ms", T.LongType())])
+    kept_ms = int(pd.Timedelta(keep).total_seconds() * 1000)
+
+    def guard(_, pieces, group):
+        if group.hasTimedOut:
+            group.remove()
+            return
+        high, last = group.get if group.exists else (None, 0)
+        fresh: list[pd.DataFrame] = []
+        for rows in pieces:
+            rows = rows[rows[version].notna()]
+            if high is not None:
+                rows = rows[rows[version] > high]
+            if len(rows):
+                fresh.append(rows)
+        if fresh:
+            out = pd.concat(fresh).sort_values([version, event_time], kind="stable").drop_duplicates(version, keep="last")
+            high = int(out[version].iloc[-1])
+            last = max(last, int(out[event_time].max().timestamp() * 1000))
+            yield out[names]
+        if high is not None:
+            group.update((high, last))
+            group.setTimeoutTimestamp(max(last + kept_ms, group.getCurrentWatermarkMs() + 1))
+
+    return source.groupBy(*key).applyInPandasWithState(guard, source.schema, state, "append", GroupStateTimeout.EventTimeTimeout)

@@ -1,5 +1,6 @@
 """Manifest + positional CSV landing, ingest of a table, sinks, schema drift and streaming (restart)."""
 
+import datetime as dt
 import json
 import os
 
@@ -9,7 +10,8 @@ from pyspark.sql import types as T
 
 from strata.operators import changes as CH
 from strata.operators import control
-from strata.sources import ingest, schema, sinks
+from strata.operators import quality as Q
+from strata.sources import ingest, quality_log, schema, sinks
 from strata.streaming import streams
 
 
@@ -276,3 +278,65 @@ def test_stream_dedup_and_lag(spark, tmp_path, tables):
     total = spark.sql("SELECT sum(events) AS n FROM lag_out").collect()[0].n
     # the last window stays open under the watermark; every emitted window is complete
     assert total is not None and total <= tables.events.count()
+
+
+RULES = [Q.Rule("has_value", "warn", "v is not null"), Q.Rule("positive", "quarantine", "v is null or v > 0"), Q.Rule("known", "reject", "k is not null")]
+
+
+def test_split_in_one_pass(spark, tmp_path):
+    """Rows and log of a batch and of a stream are the same; a repeated run replaces; one scan."""
+    rows = [("a", 1), ("b", None), ("c", -1), (None, 2), (None, -2), ("d", 5)]
+    src = str(tmp_path / "src")
+    for part in (rows[:3], rows[3:]):
+        spark.createDataFrame(part, "k string, v int").coalesce(1).write.mode("append").parquet(src)
+    df = spark.read.parquet(src)
+    batch, stream, log = str(tmp_path / "batch"), str(tmp_path / "stream"), str(tmp_path / "log")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for p in parts:
+            reads.add(p.num_rows)
+            yield p
+    for _ in range(2):
+        got = quality_log.split_write(df.mapInArrow(counted, df.schema), RULES, batch, log, "batch")
+        assert got == {"PASS": 2, "WARNING": 1, "QUARANTINE": 1, "REJECT": 2}
+    assert reads.value == 2 * len(rows)     # once a run
+    q = (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src).writeStream.foreachBatch(quality_log.split_stream(RULES, stream, log, "stream"))
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    one, two = (sorted(((r.k, r.v, tuple(r.failed_rules), r.disposition) for r in quality_log.read_split(spark, p).collect()), key=str) for p in (batch, stream))
+    assert one == two and [x[:2] for x in one if x[3] == "REJECT"] == [(None, -2), (None, 2)]
+    held = quality_log.read_split(spark, batch, held=True)
+    assert held.count() == 3 and quality_log.read_split(spark, batch, held=False).count() == 3
+    entries = spark.read.parquet(log)
+    sums = {run: {(r.kind, r.name): (r.failed, r.passed) for r in entries.filter(F.col("run_id") == run).groupBy("kind", "name").agg(F.sum("failed").alias("failed"), F.sum("passed").alias("passed")).collect()}
+            for run in ("batch", "stream")}
+    assert sums["batch"] == sums["stream"] and sums["batch"]["rule", "known"] == (2, 4) and sums["batch"]["disposition", "REJECT"] == (2, 0)
+    assert entries.filter("run_id = 'stream'").select("epoch").distinct().count() == 2
+
+
+def test_version_guard_with_expiry_and_restart(spark, tmp_path):
+    """Older and repeated versions are dropped across a restart; a key's state ends behind the watermark."""
+    src, out, ckpt = (str(tmp_path / x) for x in ("src", "out", "ckpt"))
+    kind = "k string, version long, ts timestamp, v string"
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+
+    def send(rows):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(src)
+
+    def run_once():
+        s = spark.readStream.schema(kind).parquet(src)
+        q = (streams.version_guard(s, ["k"], "version", "ts", "1 hour", "24 hours").writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        return sorted((r.k, r.version, r.v) for r in spark.read.schema(kind).parquet(out).collect())
+
+    send([("a", 2, at(0), "a2"), ("a", 1, at(0), "a1"), ("a", 2, at(0), "a2"), ("b", 5, at(0), "b5"), ("c", None, at(0), "lost")])
+    first = run_once()
+    assert first == [("a", 1, "a1"), ("a", 2, "a2"), ("b", 5, "b5")]
+    send([("a", 2, at(1), "again"), ("a", 3, at(1), "a3"), ("b", 4, at(1), "late")])
+    assert run_once() == sorted([*first, ("a", 3, "a3")])       # from the checkpoint
+    send([("z", 1, at(60), "far ahead")])                       # the watermark passes the others' last event by more than a day
+    run_once()
+    send([("b", 4, at(61), "anew"), ("z", 1, at(61), "again")])
+    assert run_once() == sorted([*first, ("a", 3, "a3"), ("z", 1, "far ahead"), ("b", 4, "anew")])
