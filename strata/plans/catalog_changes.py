@@ -77,10 +77,10 @@ def tombstones(t):
 
 
 @query("purge_tombstones", sql(f"""SELECT user_id, event_type, value, _version, _deleted, _effective FROM st_all
-WHERE NOT (_deleted AND _effective < TIMESTAMP '{FD.PURGE_AS_OF}' - INTERVAL {FD.PURGE_DAYS} DAY)""", "st_all"))
+WHERE NOT (_deleted AND _effective < (SELECT max(ts) FROM events) - INTERVAL {FD.PURGE_HOURS} HOUR)""", "st_all"))
 def purge_tombstones(t):
     """Tombstones older than the retention horizon removed."""
-    horizon = F.lit(FD.PURGE_AS_OF).cast("timestamp_ntz") - F.expr(f"INTERVAL {FD.PURGE_DAYS} DAYS")
+    horizon = t.events.agg(F.max("ts")).scalar() - F.expr(f"INTERVAL {FD.PURGE_HOURS} HOURS")
     return CH.purge(FD.scd1_state(t), horizon).select(K, *P, CH.VERSION, CH.DELETED, CH.EFFECTIVE)
 
 

@@ -17,8 +17,7 @@ from strata.operators import changes as CH
 KEY = "user_id"
 PAYLOAD = ["event_type", "value"]
 CUT = "2024-01-16"
-PURGE_AS_OF = "2024-01-31"
-PURGE_DAYS = 7
+PURGE_HOURS = 12     # retention of tombstones before the feed's last event
 
 
 def feed(t) -> DataFrame:

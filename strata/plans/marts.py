@@ -19,13 +19,17 @@ READ_ACTIONS = ("view", "click")
 PROTECTED_FROM_K = 50    # objects gold.table_<k> with k >= 50 are the protected layer
 
 
+def current_products(t) -> DataFrame:
+    return G.dim_product(t).filter("is_current").select(F.col("item_id").alias("p_item"), "product_number", "product_category", "product_category_parent")
+
+
 def fact_with_customer_date(t) -> DataFrame:
-    f = G.fact_sales_invoice_line(t)
-    dc = G.dim_customer(t).filter("is_current").select(F.col("customer_bk").alias("dc_bk"), "customer_account",
-                                                       "customer_name")
-    dd = G.dim_date(t).select(F.col("date_key").alias("dd_key"), "fiscal_year", "fiscal_quarter", "calendar_year")
-    return (f.drop("customer_account").join(dc, f.customer_bk == dc.dc_bk, "left")
-            .join(dd, f.invoice_date_key == dd.dd_key, "left"))
+    """Invoice lines with their current customer and calendar, joined on the source's own keys; the calendar is a function of the date."""
+    dc = G.dim_customer(t).filter("is_current").select(F.col("company").alias("c_company"), "customer_account", "customer_name")
+    f = G.invoice_lines_in_full(t)
+    days = G.calendar_columns("invoice_date")
+    return (f.join(dc, (f.invoice_account == dc.customer_account) & f.company.eqNullSafe(dc.c_company), "left")
+            .withColumns({c: days[c] for c in ("fiscal_year", "fiscal_quarter", "calendar_year")}))
 
 
 def revenue_by_customer_quarter(t) -> DataFrame:
@@ -35,9 +39,8 @@ def revenue_by_customer_quarter(t) -> DataFrame:
 
 
 def margin_by_product(t) -> DataFrame:
-    f = G.fact_sales_invoice_line(t)
-    dp = G.dim_product(t).filter("is_current").select(F.col("product_bk").alias("dp_bk"), "item_id", "product_number")
-    g = (f.join(dp, f.product_bk == dp.dp_bk, "left").groupBy("item_id", "product_number")
+    f = G.invoice_lines_in_full(t).withColumnRenamed("item_id", "line_item")
+    g = (f.join(current_products(t), F.col("line_item") == F.col("p_item"), "left").groupBy(F.col("p_item").alias("item_id"), "product_number")
          .agg(F.sum("line_revenue").alias("revenue"), F.sum("gross_margin").alias("gross_margin")))
     return g.withColumn("gross_margin_pct", M.ratio(F.col("gross_margin"), F.col("revenue"), 2, 100.0))
 
@@ -47,9 +50,8 @@ def top10_margin_products(t) -> DataFrame:
 
 
 def revenue_by_dimension(t) -> DataFrame:
-    f = G.fact_sales_invoice_line(t)
-    fd = G.dim_financial(t).withColumnRenamed("financial_dim_sk", "fd_sk")
-    return (f.join(fd, f.financial_dim_sk == fd.fd_sk, "left").groupBy("department", "cost_center")
+    """The dimension's rows are the combinations that the lines hold, so the lines' own columns say it."""
+    return (G.invoice_lines_in_full(t).groupBy("department", "cost_center")
             .agg(F.sum("line_revenue_mst").alias("revenue_mst")))
 
 
@@ -75,10 +77,8 @@ def on_time_pct(t) -> DataFrame:
 
 
 def revenue_vs_cost_by_category(t) -> DataFrame:
-    f = G.fact_sales_invoice_line(t)
-    dp = G.dim_product(t).filter("is_current").select(F.col("product_bk").alias("dp_bk"), "product_category",
-                                                      "product_category_parent")
-    return (f.join(dp, f.product_bk == dp.dp_bk, "left").groupBy("product_category_parent", "product_category")
+    f = G.invoice_lines_in_full(t)
+    return (f.join(current_products(t), f.item_id == F.col("p_item"), "left").groupBy("product_category_parent", "product_category")
             .agg(F.sum("line_revenue_mst").alias("revenue_mst"), F.sum("line_cost").alias("cost"),
                  F.sum("gross_margin").alias("gross_margin")))
 
@@ -146,7 +146,7 @@ def semi_additive_balance(t) -> DataFrame:
 
 def ledger_by_layer(t) -> DataFrame:
     """Revenue always grouped by posting layer and currency (measure dictionary enforced)."""
-    f = G.fact_sales_invoice_line(t).withColumn(
+    f = G.invoice_lines_in_full(t).withColumn(
         "posting_layer", F.when(F.col("line_cost") > 0, "Posted").otherwise("Unposted")).withColumn(
         "currency", F.concat(F.lit("CUR-"), F.col("company").cast("string")))
     measures = M.Measures().add(M.Measure("line_revenue_mst", "additive", ("posting_layer", "currency")))
