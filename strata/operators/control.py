@@ -25,7 +25,8 @@ RESET_NOTE = "reset by operator while RUNNING"
 
 
 def upsert(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Keyed upsert of a small control table (new rows win)."""
+    """Keyed upsert of a small control table (new rows win; of new rows with one key any one)."""
+    rows = rows.dropDuplicates(list(key))
     return table.join(rows.select(*key), list(key), "left_anti").unionByName(rows, allowMissingColumns=True)
 
 
@@ -101,9 +102,9 @@ def failed_recent(cursor: DataFrame, n: int = 20) -> DataFrame:
 
 
 def last_run(runs: DataFrame) -> DataFrame:
-    """latest run as one row (``max_by`` — no sort of the run log)."""
+    """latest run as one row (``max_by`` — no sort of the run log); none of an empty log."""
     cols = [c for c in runs.columns]
-    return runs.agg(F.max_by(F.struct(*cols), F.struct("run_started", "run_id")).alias("r")).select("r.*")
+    return runs.agg(F.max_by(F.struct(*cols), F.struct("run_started", "run_id")).alias("r")).filter("r IS NOT NULL").select("r.*")
 
 
 def run_outcome(per_table: DataFrame) -> DataFrame:

@@ -163,6 +163,87 @@ def backfill_needed(selected_now: DataFrame, selected_before: DataFrame) -> Data
     return selected_now.join(selected_before, ["table_name", "column_name"], "left_anti")
 
 
-def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
-    """H6: additive evolution — union with missing columns null-filled."""
-    return old.unionByName(new, allowMissingColumns=True)
+#: Whole-number types by size, and the digits that a decimal needs for them.
+_INTEGERS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """H3: the narrowest type that holds every value of both; None if there is none without a loss.
+
+    Whole numbers widen to larger ones, to decimals with room for their digits and (up to int) to double; float to double;
+    decimals to one with room for the digits of both before and after the point (at most 38); dates to timestamps;
+    arrays, maps and structs by their parts.
+    """
+    if a == b:
+        return a
+    if isinstance(a, T.NullType) or isinstance(b, T.NullType):
+        return b if isinstance(a, T.NullType) else a
+    names = {a.simpleString(), b.simpleString()}
+    if names <= set(_INTEGERS):
+        return max((a, b), key=lambda t: _INTEGERS[t.simpleString()])
+    if names <= {"float", "double"} or names <= {"tinyint", "smallint", "int", "double"}:
+        return T.DoubleType()
+    if names == {"tinyint", "float"} or names == {"smallint", "float"}:
+        return T.FloatType()
+    if any(isinstance(t, T.DecimalType) for t in (a, b)):
+        digits = []
+        for t in (a, b):
+            if isinstance(t, T.DecimalType):
+                digits.append((t.precision - t.scale, t.scale))
+            elif t.simpleString() in _INTEGERS:
+                digits.append((_INTEGERS[t.simpleString()], 0))
+            else:
+                return None
+        whole, scale = (max(x) for x in zip(*digits, strict=True))
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
+    if names == {"date", "timestamp"}:
+        return T.TimestampType()
+    if names == {"date", "timestamp_ntz"}:
+        return T.TimestampNTZType()
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        inner = common_type(a.elementType, b.elementType)
+        return inner and T.ArrayType(inner)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        key, value = common_type(a.keyType, b.keyType), common_type(a.valueType, b.valueType)
+        return T.MapType(key, value) if key and value else None
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        own, other = {f.name.lower(): f for f in a.fields}, {f.name.lower(): f for f in b.fields}
+        if list(own) != list(other):
+            return None
+        parts = [common_type(own[n].dataType, other[n].dataType) for n in own]
+        return T.StructType([T.StructField(own[n].name, p) for n, p in zip(own, parts, strict=True)]) if all(parts) else None
+    return None
+
+
+class IncompatibleTypes(ValueError):
+    """Columns whose types have no common type without a loss."""
+
+
+def promoted(old: T.StructType, new: T.StructType, coerce: bool = False) -> T.StructType:
+    """H6: the schema after ``new``: old columns in their order, then new ones; shared columns (whatever their case) in their common type.
+
+    Columns without a common type stop the load (``IncompatibleTypes`` names them all), or become strings with ``coerce``.
+    """
+    later = {f.name.lower(): f for f in new.fields}
+    fields, bad = [], []
+    for f in old.fields:
+        g = later.pop(f.name.lower(), None)
+        kind = f.dataType if g is None else common_type(f.dataType, g.dataType)
+        if kind is None and not coerce:
+            bad.append(f"{f.name}: {f.dataType.simpleString()} and {g.dataType.simpleString()}")
+        fields.append(T.StructField(f.name, kind or T.StringType()))
+    if bad:
+        raise IncompatibleTypes("; ".join(bad))
+    return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() in later])
+
+
+def as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` read in ``schema``: columns matched whatever their case, cast, missing ones NULL."""
+    own = {f.name.lower(): f for f in df.schema.fields}
+    return df.select(*((F.col(f"`{own[f.name.lower()].name}`") if f.name.lower() in own else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
+def evolve(old: DataFrame, new: DataFrame, coerce: bool = False) -> DataFrame:
+    """H6: both frames as one, in the promoted schema: new columns NULL in old rows, widened types on read, narrowing stops or coerces."""
+    both = promoted(old.schema, new.schema, coerce)
+    return as_schema(old, both).unionByName(as_schema(new, both))
