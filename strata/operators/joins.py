@@ -105,6 +105,21 @@ def orphans(child: DataFrame, parent: DataFrame, fk: Sequence[str], pk: Sequence
     return child.filter(not_null).join(p, c, "left_anti")
 
 
+def dated_chain(first: DataFrame, hops: Sequence[tuple[DataFrame, str, str]], start: str = "valid_from", end: str = "valid_to") -> DataFrame:
+    """Rows joined through several dated hops, each with the period in which the whole chain held.
+
+    ``first`` and every hop have the columns ``start`` and ``end`` (open if NULL, half-open).  A hop is (frame, column of the
+    rows so far, column of the hop): an equi-join whose rows also have to overlap in time; the period is cut down to what both
+    sides share.  Where a hop has a gap the chain has one, where it has overlapping rows the chain has several.
+    """
+    out = first
+    for i, (hop, left, right) in enumerate(hops):
+        own = hop.select(F.col(right).alias(f"_right{i}"), F.col(start).alias("_from"), F.col(end).alias("_to"), *[c for c in hop.columns if c not in (right, start, end, *out.columns)])
+        meets = (F.col(left) == F.col(f"_right{i}")) & (F.col("_to").isNull() | (F.col(start) < F.col("_to"))) & (F.col(end).isNull() | (F.col("_from") < F.col(end)))
+        out = out.join(own, meets).withColumn(start, F.greatest(start, "_from")).withColumn(end, F.least(end, "_to")).drop(f"_right{i}", "_from", "_to")
+    return out
+
+
 def fanout_check(left: DataFrame, joined: DataFrame, measure: str | None = None) -> DataFrame:
     """Row count (and total of ``measure``) before and after a join, as one row."""
     def side(df, tag):

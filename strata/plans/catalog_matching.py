@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strata.operators import joins
 from strata.operators import matching as MT
 from strata.plans import silver as S
 from strata.plans.oracle import sql
@@ -47,6 +48,48 @@ def reversal_pairs(t):
     return MT.pair_reversals(il.filter(~back), il.filter(back), ["item_id"], ["ship_date", "invoice_id", "line_num"], "ship_date", "invoiced_qty", step=200)
 
 
+# where a customer is: at its nation first, then (a third of them after a gap) at the next one; a few are entered twice for a while
+_WHEREABOUTS = """w AS (SELECT c_custkey, c_nationkey AS place, DATE '1992-01-01' AS f, DATE '1995-01-01' + CAST(c_custkey % 365 AS INTEGER) AS u FROM customer
+UNION ALL SELECT c_custkey, (c_nationkey + 1) % 25, DATE '1995-01-01' + CAST(c_custkey % 365 + CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 40 ELSE 0 END AS INTEGER), NULL FROM customer
+UNION ALL SELECT c_custkey, (c_nationkey + 2) % 25, DATE '1996-01-01', DATE '1996-09-01' FROM customer WHERE c_custkey % 11 = 0),
+chain AS (SELECT c_custkey, place, city, rate, greatest(f, valid_from) AS valid_from, least(u, valid_to) AS valid_to
+  FROM w JOIN ah ON ah.nation_key = place AND (valid_to IS NULL OR f < valid_to) AND (u IS NULL OR valid_from < u))"""
+
+
+def _whereabouts(t):
+    c = t.customer.select("c_custkey", "c_nationkey")
+    moved = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))
+    gap = F.date_add(moved, F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey") % 40).otherwise(0).cast("int"))
+    parts = [(c, 0, F.lit("1992-01-01").cast("date"), moved), (c, 1, gap, F.lit(None).cast("date")),
+             (c.filter("c_custkey % 11 = 0"), 2, F.lit("1996-01-01").cast("date"), F.lit("1996-09-01").cast("date"))]
+    every = [df.select("c_custkey", F.pmod(F.col("c_nationkey") + n, F.lit(25)).alias("place"), f.alias("valid_from"), u.alias("valid_to")) for df, n, f, u in parts]
+    return every[0].unionByName(every[1]).unionByName(every[2])
+
+
+def _chain(t):
+    h = S.address_history(t).select("nation_key", "city", "rate", "valid_from", "valid_to")
+    return joins.dated_chain(_whereabouts(t), [(h, "place", "nation_key")])
+
+
+@query("address_chain", sql("SELECT * FROM ah", "ah").replace("SELECT * FROM ah", ", " + _WHEREABOUTS + """
+SELECT c_custkey, place, city, CAST(rate AS DOUBLE) AS rate, valid_from, valid_to FROM chain"""))
+def address_chain(t):
+    """Customer, location and address through dated hops, each row with the period in which every hop held."""
+    return _chain(t).select("c_custkey", "place", "city", "rate", "valid_from", "valid_to")
+
+
+@query("customer_at_date", sql("SELECT * FROM ah", "ah").replace("SELECT * FROM ah", ", " + _WHEREABOUTS + """
+SELECT c.c_custkey, c_name, place, city, count(place) OVER (PARTITION BY c.c_custkey) AS addresses FROM customer c
+LEFT JOIN (SELECT * FROM chain WHERE valid_from <= DATE '1996-03-31' AND (valid_to IS NULL OR DATE '1996-03-31' < valid_to)) a ON a.c_custkey = c.c_custkey"""))
+def customer_at_date(t):
+    """Customers with the address that every hop names at a date: none in a gap, all of them where two are entered."""
+    at = joins.valid_at(_chain(t), F.lit("1996-03-31").cast("date")).select(F.col("c_custkey").alias("k"), "place", "city")
+    n = at.groupBy(F.col("k").alias("n_k")).agg(F.count(F.lit(1)).alias("addresses"))
+    c = t.customer.select("c_custkey", "c_name")
+    out = c.join(at, F.col("c_custkey") == F.col("k"), "left").join(n, F.col("c_custkey") == F.col("n_k"), "left")
+    return out.select("c_custkey", "c_name", "place", "city", F.coalesce("addresses", F.lit(0)).alias("addresses"))
+
+
 _STATED = """WITH e AS (SELECT user_id, event_id, event_type, ts, CAST(ts AS DATE) - CAST(event_id % 12 AS INTEGER) AS f,
   CASE WHEN event_id % 6 > 0 THEN CAST(ts AS DATE) - CAST(event_id % 12 AS INTEGER) + CAST(event_id % 6 * 3 AS INTEGER) END AS u FROM events)"""
 
