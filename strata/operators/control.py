@@ -120,6 +120,46 @@ def run_outcome(per_table: DataFrame) -> DataFrame:
         "duration_seconds", (F.unix_timestamp("run_finished") - F.unix_timestamp("run_started")).cast("bigint"))
 
 
+def preview(planned: DataFrame, in_scope: DataFrame, batch_size: int, seconds_per_table: int, shown: int = 10) -> DataFrame:
+    """What a run would do, as one row: tables to process and to skip, batches, estimated seconds, the first tables in order.
+
+    ``planned`` has ordinal and table_name (``plan_batches``).  The list is ``shown`` names; everything else is a count.
+    """
+    first = planned.filter(F.col("ordinal") <= shown).agg(F.transform(F.sort_array(F.collect_list(F.struct("ordinal", "table_name"))), lambda x: x["table_name"]).alias("first_tables"))
+    n = planned.agg(F.count(F.lit(1)).alias("would_process"))
+    scope = in_scope.agg(F.count(F.lit(1)).alias("in_scope"))
+    process = n.scalar()
+    return first.select(process.alias("would_process"), (scope.scalar() - process).alias("would_skip"), F.ceil(process / batch_size).cast("int").alias("batches"),
+                        (process * seconds_per_table).alias("estimated_seconds"), "first_tables")
+
+
+def run_log(per_table: DataFrame, in_scope: DataFrame, mode: str, force: bool = False, notes: str | None = None) -> DataFrame:
+    """One row per run as it is appended to the run history: outcome and duration (``run_outcome``), tables in scope, processed and skipped, rows, mode."""
+    rows = per_table.groupBy(F.col("run_id").alias("_run")).agg(F.sum("rows").alias("total_rows"))
+    out = run_outcome(per_table).join(rows, F.col("run_id") == F.col("_run")).drop("_run")
+    scope = in_scope.agg(F.count(F.lit(1))).scalar()
+    return (out.withColumn("tables_in_scope", scope).withColumn("tables_skipped", scope - F.col("tables_processed"))
+            .withColumn("run_mode", F.lit(mode)).withColumn("force_full", F.lit(force)).withColumn("notes", F.lit(notes).cast("string")))
+
+
+def layer_watermarks(cursor: DataFrame, layers: DataFrame) -> DataFrame:
+    """Per layer and table the position read from the cursor rows of that layer; a layer that never ran has NULLs.
+
+    ``layers``: (layer, table_name) that should be there; ``cursor`` has layer beside its own columns.
+    """
+    last = cursor.groupBy(F.col("layer").alias("_layer"), F.col("table_name").alias("_table")).agg(F.max_by(F.struct("last_versionnumber", "last_run_ts", "status"), F.struct("last_versionnumber", "last_run_ts")).alias("_c"))
+    out = layers.join(last, (F.col("layer") == F.col("_layer")) & (F.col("table_name") == F.col("_table")), "left")
+    return out.select("layer", "table_name", "_c.last_versionnumber", "_c.last_run_ts", F.coalesce("_c.status", F.lit("NEVER_RUN")).alias("status"))
+
+
+def listing(cursor: DataFrame, now: Column, stuck_hours: int) -> DataFrame:
+    """Every table with its state, the hours since its last run, whether it is stuck, and an error text that is never blank for a failure."""
+    stuck = (F.col("status") == "RUNNING") & (F.col("last_run_ts") < now - F.expr(f"INTERVAL {stuck_hours} HOURS"))
+    error = F.when(F.col("status") == "FAILED", F.when(F.trim("error_message") != "", F.col("error_message")).otherwise("no message"))
+    hours = F.floor((F.unix_timestamp(now.cast("timestamp")) - F.unix_timestamp(F.col("last_run_ts").cast("timestamp"))) / 3600)
+    return cursor.select("table_name", "status", "last_run_ts", hours.alias("hours_since"), F.coalesce(stuck, F.lit(False)).alias("is_stuck"), error.alias("error"))
+
+
 def scope_tables(requested: DataFrame, available: DataFrame) -> DataFrame:
     """H5: requested tables with whether each is available."""
     a = available.select("table_name").distinct().withColumn("available", F.lit(True))

@@ -20,6 +20,7 @@ NOW = "2024-01-31 00:00:00"
 STUCK_HOURS = 6
 STALE_HOURS = 48
 BATCH_SIZE = 50
+SECONDS_PER_TABLE = 5
 OUTCOME_OF_EVENT = {"purchase": "SUCCESS", "click": "SUCCESS", "error": "FAILED", "view": "RUNNING",
                     "signup": "NEVER_RUN"}
 
@@ -116,6 +117,41 @@ def preview_plan(t):
                                   F.min("ordinal").alias("first_ordinal"))
 
 
+@query("dry_run", sql(f"""SELECT (SELECT count(*) FROM planned) AS would_process, (SELECT count(*) FROM cur) - (SELECT count(*) FROM planned) AS would_skip,
+  CAST(ceil((SELECT count(*) FROM planned) / {BATCH_SIZE}) AS INTEGER) AS batches, (SELECT count(*) FROM planned) * {SECONDS_PER_TABLE} AS estimated_seconds,
+  (SELECT list(table_name ORDER BY ordinal) FROM planned WHERE ordinal <= 10) AS first_tables""", "planned"))
+def dry_run(t):
+    """The execution plan as one row, with its first ten tables and an estimate."""
+    return CT.preview(CT.plan_batches(CT.plan(_classified(t), "resume"), BATCH_SIZE), cursor(t), BATCH_SIZE, SECONDS_PER_TABLE)
+
+
+_LAYERS = ("raw", "silver", "gold")
+
+
+@query("layer_watermarks", sql("""SELECT l.layer, c.table_name, CASE WHEN last_versionnumber % 3 >= l.k THEN last_versionnumber - l.k END AS last_versionnumber,
+  CASE WHEN last_versionnumber % 3 >= l.k THEN last_run_ts END AS last_run_ts, CASE WHEN last_versionnumber % 3 >= l.k THEN status ELSE 'NEVER_RUN' END AS status
+FROM cur c, (VALUES ('raw', 0), ('silver', 1), ('gold', 2)) l(layer, k)""", "cur"))
+def layer_watermarks(t):
+    """One position per layer and table; later layers lag behind and some have not run."""
+    c = cursor(t).select("table_name", "last_versionnumber", "last_run_ts", "status")
+    k = F.explode(F.array(*(F.struct(F.lit(n).alias("layer"), F.lit(i).alias("k")) for i, n in enumerate(_LAYERS))))
+    every = c.select("*", k.alias("l")).select("l.layer", "l.k", "table_name", "last_versionnumber", "last_run_ts", "status")
+    ran = every.filter("last_versionnumber % 3 >= k").withColumn("last_versionnumber", F.col("last_versionnumber") - F.col("k"))
+    earlier = ran.withColumn("last_versionnumber", F.col("last_versionnumber") - 10).withColumn("status", F.lit("FAILED"))
+    return CT.layer_watermarks(ran.unionByName(earlier), every.select("layer", "table_name"))
+
+
+@query("control_listing", sql(f"""SELECT table_name, status, last_run_ts,
+  (CAST(floor(epoch(TIMESTAMP '{NOW}')) AS BIGINT) - CAST(floor(epoch(last_run_ts)) AS BIGINT)) // 3600 AS hours_since,
+  status = 'RUNNING' AND last_run_ts < TIMESTAMP '{NOW}' - INTERVAL {STUCK_HOURS} HOUR AS is_stuck,
+  CASE WHEN status = 'FAILED' THEN CASE WHEN last_versionnumber % 2 = 0 THEN 'code ' || last_versionnumber ELSE 'no message' END END AS error FROM cur""", "cur"))
+def control_listing(t):
+    """Every table's state; failures without a message, or with a blank one, say so."""
+    c = cursor(t)
+    message = F.when(F.col("last_versionnumber") % 2 == 0, F.concat(F.lit("code "), F.col("last_versionnumber").cast("string"))).when(F.col("last_versionnumber") % 3 == 0, F.lit("  "))
+    return CT.listing(c.withColumn("error_message", message), F.lit(NOW).cast("timestamp_ntz"), STUCK_HOURS)
+
+
 @query("status_counts", sql("SELECT status, count(*) AS tables FROM cur GROUP BY status", "cur"))
 def status_counts(t):
     """E5: tables per status."""
@@ -142,14 +178,14 @@ def dashboard(t):
 
 cte("runs", """SELECT CAST(ts AS DATE) AS run_id, 'tbl_' || CAST(user_id AS VARCHAR) AS table_name,
   CASE WHEN arg_max(event_type, event_id) = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
-  min(ts) AS started, max(ts) AS finished FROM events GROUP BY 1, 2""")
+  count(*) AS rows, min(ts) AS started, max(ts) AS finished FROM events GROUP BY 1, 2""")
 
 
 def run_tables(t):
     ev = t.events.withColumn("run_id", F.to_date("ts"))
     g = ev.groupBy("run_id", "user_id").agg(F.max_by("event_type", "event_id").alias("last_type"),
-                                            F.min("ts").alias("started"), F.max("ts").alias("finished"))
-    return g.select("run_id", F.concat(F.lit("tbl_"), F.col("user_id").cast("string")).alias("table_name"),
+                                            F.count(F.lit(1)).alias("rows"), F.min("ts").alias("started"), F.max("ts").alias("finished"))
+    return g.select("run_id", "rows", F.concat(F.lit("tbl_"), F.col("user_id").cast("string")).alias("table_name"),
                     F.when(F.col("last_type") == "error", "FAILED").otherwise("SUCCESS").alias("status"),
                     "started", "finished")
 
@@ -165,6 +201,18 @@ def run_outcome(t):
     return CT.run_outcome(run_tables(t))
 
 
+@query("run_log", sql("""SELECT run_id, count(*) AS tables_processed, count(*) FILTER (WHERE status = 'SUCCESS') AS tables_succeeded,
+  count(*) FILTER (WHERE status <> 'SUCCESS') AS tables_failed, min(started) AS run_started, max(finished) AS run_finished,
+  CASE WHEN count(*) FILTER (WHERE status <> 'SUCCESS') = 0 THEN 'SUCCESS'
+       WHEN count(*) FILTER (WHERE status = 'SUCCESS') = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS status,
+  CAST(floor(epoch(max(finished))) AS BIGINT) - CAST(floor(epoch(min(started))) AS BIGINT) AS duration_seconds, CAST(sum(rows) AS BIGINT) AS total_rows,
+  (SELECT count(*) FROM cur) AS tables_in_scope, (SELECT count(*) FROM cur) - count(*) AS tables_skipped, 'resume' AS run_mode, false AS force_full, 'batches of 50' AS notes
+FROM runs GROUP BY run_id""", "runs", "cur"))
+def run_log(t):
+    """The run history's rows: outcome, duration, tables in scope, processed and skipped, rows and mode."""
+    return CT.run_log(run_tables(t), cursor(t), "resume", notes=f"batches of {BATCH_SIZE}")
+
+
 @query("last_run", sql("""SELECT * FROM (SELECT run_id, min(started) AS run_started, count(*) AS tables_processed FROM runs GROUP BY 1)
 ORDER BY run_started DESC, run_id DESC LIMIT 1""", "runs"))
 def last_run(t):
