@@ -26,13 +26,21 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Null and empty texts are scored like others (by the constant feature); repeated rows and null ids each for themselves; a
+    very long text whole; an empty table gives an empty one.  Columns other than those of ``documents`` are dropped.
+    """
     scored = quality.with_quality(docs, quality_model(spark, sf_dir), score_col="__score")
     return scored.where(F.col("__score") >= QUALITY_THRESHOLD).select(*COLUMNS)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated runs of lines go; so does a document of which nothing is left by that."""
+    """Repeated chunks of lines, and the lines that continue them, go; so does a document of which nothing is left by that.
+
+    Null, empty and white-space-only texts lose nothing and stay; rows equal in id and text are one document and are treated
+    alike; a null id is smallest; very long texts are read whole; an empty table gives an empty one.
+    """
     cut = line_dedup.line_dedup(docs, removed_col="__removed")
     return _documents(cut.where((F.col("__removed") == 0) | (F.trim("text") != "")))
 
@@ -49,7 +57,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside passages of 20 words that stand earlier in the corpus go; so does a document of which nothing is left by that.
 
-    A text that loses nothing stays as it is, line breaks included.
+    A text that loses nothing stays as it is, line breaks included, also a null or empty one.  Rows equal in id and text are
+    one document; a null id is smallest; an empty table gives an empty one.
     """
     cut = substring_dedup.substring_dedup(docs.withColumn("__whole", F.col("text")), width=20, words_col="__words", removed_col="__removed")
     text = F.when(F.col("__removed") > 0, F.col("text")).otherwise(F.col("__whole"))
@@ -57,7 +66,11 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences."""
+    """Pieces of training sequences.
+
+    A null or empty text is one piece, its end token; repeated rows are packed each; a null id is kept as null; a very long text
+    goes over as many sequences as it needs; an empty table gives no pieces.
+    """
     # workers live on through the stages, so this one keeps fewer words in them
     pieces = packing.pack(docs, tokenizer_file("word_bpe_49k.json"), size=4096, end_id=2, cache_words=250_000)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
