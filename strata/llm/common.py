@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -61,10 +62,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the copy: lineage ends there, a lost executor costs nothing."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+#: Shuffle files go as soon as the query that made them has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def checkpoint(df: DataFrame, *done: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared checkpoint folder and go on from the copy: lineage ends there, a lost executor costs nothing.
+
+    ``done`` are earlier copies that nothing needs once this one is written; they are deleted.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/copy-{uuid.uuid4()}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._copy = path
+    discard(*done)
+    return out
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete what ``checkpoint`` wrote for these frames; other frames are left alone."""
+    for df in copies:
+        path = getattr(df, "_copy", None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            df._copy = None
 
 
 def chunks(ids: list, texts: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[list, list[bytes]]]:

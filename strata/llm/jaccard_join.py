@@ -21,6 +21,12 @@ Method.
    and the pairs left are many, and finally the groups of different components on the same token meet each
    other.  A pair inside one component cannot change the classes, so none
    that matters is left out.
+6. Before groups of different components meet, tokens of one component alone and
+   nodes with fewer than c tokens left are taken out, and each node gives up its
+   c - 1 most frequent tokens (by their exact counts there): of the c tokens that
+   a link shares the rarest stays in both.  A row carries the node's tokens before its
+   own, so a pair is met at its first common token.  Only pairs that share c tokens, by
+   the nodes' token lists, are fetched.
 
 A token's groups are read as a stream, and minima per token are aggregated before
 the shuffle; no group is collected.
@@ -39,10 +45,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpoint, chunks, id_and_text, over_texts
+from strata.llm.common import checkpoint, chunks, discard, id_and_text
 from strata.llm.components import components
 from strata.llm.sketch import shingle_classes
 from strata.llm.wordhash import U, doc_shingles, mix, split_words
@@ -76,21 +82,24 @@ def ordered(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def _signatures(k: int, percent: int, classes: np.ndarray):
-    """(id, h, node, n, gid, parity map) of each document."""
+    """(id, h, node, n, gid, parity map, prefix) of each document; the prefix of a group goes with its first document in a partition alone."""
     def run(batches):
+        sent: set[int] = set()
         for batch in batches:
             for rows, texts in chunks(list(range(batch.num_rows)), batch.column(1).to_pylist()):
                 out = []
                 for s in doc_shingles(split_words(texts, lower=True), k):
                     if len(s):
                         head = ordered(s, classes)[:prefix_length(len(s), percent)]
-                        out.append((set_id(s), len(s), _group(head, len(s)), parity_map(s)))
+                        g = _group(head, len(s))
+                        out.append((set_id(s), len(s), g, parity_map(s), None if g in sent else head.view(np.int64)))
+                        sent.add(g)
                     else:
-                        out.append((None, 0, None, None))
-                node, n, g, bits = zip(*out, strict=True)
+                        out.append((None, 0, None, None, None))
+                node, n, g, bits, heads = zip(*out, strict=True)
                 part = batch.slice(rows[0], len(rows))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(g, pa.int64()),
-                                                  pa.array(bits, pa.list_(pa.int64()))], names=["id", "h", "node", "n", "gid", "bits"])
+                                                  pa.array(bits, pa.list_(pa.int64())), pa.array(heads, pa.list_(pa.int64()))], names=["id", "h", "node", "n", "gid", "bits", "head"])
     return run
 
 
@@ -98,29 +107,6 @@ def _group(head: np.ndarray, n: int) -> int:
     return int(mix(np.append(head, U(n))).sum(dtype=U, keepdims=True).view(np.int64)[0])
 
 
-def _postings(k: int, percent: int, classes: np.ndarray):
-    """(token, gid) of each group's prefix, once per partition."""
-    def run(batches):
-        sent: set[int] = set()
-
-        def rows(ids, texts):
-            heads, groups = [], []
-            for s in doc_shingles(split_words(texts, lower=True), k):
-                if len(s):
-                    head = ordered(s, classes)[:prefix_length(len(s), percent)]
-                    g = _group(head, len(s))
-                    if g not in sent:
-                        sent.add(g)
-                        heads.append(head)
-                        groups.append(g)
-            if not heads:
-                return None
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads).view(np.int64)),
-                                               pa.array(np.repeat(np.array(groups, np.int64), [len(h) for h in heads]))], names=["token", "gid"])
-        yield from over_texts(rows)(batches)
-    return run
-
-
 #: Pairs across components are made outright once there are at most so many per row of a token.
 _PAIRS_PER_ROW = 16
 _SKETCH_BITS = 20
@@ -220,13 +206,13 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     texts = id_and_text(docs, id_col, text_col)
     classes = shingle_classes(texts, k, True, bits=_SKETCH_BITS)
     texts = texts.withColumn("h", F.xxhash64("text"))
-    sig = checkpoint(texts.mapInArrow(_signatures(k, percent, classes), "id long, h long, node binary, n long, gid long, bits array<long>"))
+    sig = checkpoint(texts.mapInArrow(_signatures(k, percent, classes), "id long, h long, node binary, n long, gid long, bits array<long>, head array<long>"))
     nodes = sig.where("node is not null").groupBy("node").agg(
         F.min("id").alias("id"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "h")).alias("of"),
         *(F.first(c).alias(c) for c in ("gid", "n", "bits")))
     nodes = checkpoint(nodes.withColumn("nid", F.monotonically_increasing_id()))     # fixed once it is written
 
-    post = texts.mapInArrow(_postings(k, percent, classes), "token long, gid long")
+    post = sig.where("head is not null").select(F.explode("head").alias("token"), "gid")
     post = checkpoint(post.repartition("token").sortWithinPartitions("token", "gid").mapInArrow(_shared, "token long, gid long"))
 
     # members of the groups that have such a token, or several members
@@ -243,14 +229,14 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
         # every element of one set alone flips a bit: union - intersection >= odd
         p = pairs.join(x, "a").join(y, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
         p = p.where((100 + percent) * (F.col("na") + F.col("nb") - odd) >= 2 * percent * (F.col("na") + F.col("nb"))).select("a", "b")
-        p = checkpoint(p)
+        p = open_ = checkpoint(p)
         # only texts of pairs that are still open are fetched
         need = p.select(F.col("a").alias("nid")).union(p.select("b")).distinct().join(member.select("nid", "of"), "nid")
         text = (packed.join(need, packed["id"].eqNullSafe(F.col("of.id")) & (packed["h"] == F.col("of.h")))
                 .select("nid", "z", "size").dropDuplicates(["nid"]))
         p = (p.join(text.select(F.col("nid").alias("a"), F.col("z").alias("za"), F.col("size").alias("sa")), "a")
              .join(text.select(F.col("nid").alias("b"), F.col("z").alias("zb"), F.col("size").alias("sb")), "b").select("a", "b", "za", "sa", "zb", "sb"))
-        return p.mapInArrow(_verify(k, percent), "a long, b long")
+        return checkpoint(p.mapInArrow(_verify(k, percent), "a long, b long"), open_)
 
     def met(pairs: DataFrame, least: Column) -> DataFrame:
         """Pairs (a, b), a < b, that meet on at least so many tokens; one row per token and pair comes in, a column more may bound it."""
@@ -263,13 +249,17 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
         ends = [star.where(F.col("part") != F.col(f"{e}.part")).select(F.col("key").alias("a"), F.col(f"{e}.key").alias("b")) for e in ("low", "high")]
         return ends[0].unionByName(ends[1])
 
+    def joined(comp: DataFrame) -> DataFrame:
+        """Edges that say the same as the links that gave the components."""
+        return comp.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+
     # every group meets the smallest and the largest group on its tokens; a group's members meet its first one
     groups = met(tips(post.select("token", F.col("gid").alias("part"), F.col("gid").alias("key"))), F.lit(_EARLY))
     own = member.select("gid", "nid")
     first = (groups.join(own.select(F.col("gid").alias("a"), F.col("nid").alias("x")), "a").join(own.select(F.col("gid").alias("b"), F.col("nid").alias("y")), "b")
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     first = first.unionByName(member.where("nid <> head").select(F.least("nid", "head").alias("a"), F.greatest("nid", "head").alias("b")))
-    links = checkpoint(linked(first))
+    links = linked(first)
 
     # then only what lies in different components; the members of one group share all its tokens
     shared = post.join(member.select("gid", "nid", "n"), "gid").select("token", "nid", "n")
@@ -277,29 +267,80 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     while True:
         comp = components(links)
         rooted = shared.join(comp, F.col("nid") == F.col("node"), "left").select("token", "nid", "n", F.coalesce("root", "nid").alias("root"))
-        by = rooted.groupBy("token", "root").agg(F.count("*").alias("k"))
-        mixed = by.groupBy("token").agg(F.count("*").alias("roots"), F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk")).where("roots > 1")
-        open_ = checkpoint(rooted.join(mixed.select("token", ((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("cross")), "token"))
-        size = open_.groupBy("token").agg(F.count("*").alias("k"), F.first("cross").alias("cross")).agg(F.sum("k"), F.sum("cross")).first()
-        if size[0] and size[1] > _PAIRS_PER_ROW * size[0]:
-            more = checkpoint(linked(met(tips(open_.select("token", F.col("root").alias("part"), F.col("nid").alias("key"))), F.lit(_EARLY))))
+        rows = _peeled(rooted, percent)
+        kept = checkpoint(_rarest(rows, percent))
+        size = kept.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
+        size = size.agg(F.sum("k"), F.sum(F.col("k") * F.col("k") - F.col("kk"))).first()
+        if size[0] and size[1] > 2 * _PAIRS_PER_ROW * size[0]:
+            more = linked(met(tips(rows.select("token", F.col("root").alias("part"), F.col("nid").alias("key"))), F.lit(_EARLY)))
             if not more.isEmpty():      # each joins two components
-                links = checkpoint(links.unionByName(more))
+                links = checkpoint(joined(comp).unionByName(more), links, more, rows, kept, comp)
                 continue
-        pairs = met(_cross(open_, percent), F.least(F.lit(_COMMON), F.col("least")))
+        held = rows.groupBy("nid").agg(F.collect_list("token").alias("tokens"))
+        pairs = (_cross(kept, percent, once=True).distinct().join(held.select(F.col("nid").alias("a"), F.col("tokens").alias("ta")), "a")
+                 .join(held.select(F.col("nid").alias("b"), F.col("tokens").alias("tb")), "b").where(F.size(F.array_intersect("ta", "tb")) >= F.least(F.lit(_COMMON), F.col("least"))))
         # a group of several members whose tokens no other group has: its members in different components
         inner = alone.join(comp, F.col("nid") == F.col("node"), "left").select(F.col("gid").alias("token"), "nid", "n", F.coalesce("root", "nid").alias("root"))
-        pairs = pairs.unionByName(_cross(inner, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
-        links = checkpoint(links.unionByName(linked(pairs)))
+        pairs = pairs.select("a", "b").unionByName(_cross(inner, percent).select("a", "b"))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        last = linked(pairs)
+        links = checkpoint(joined(comp).unionByName(last), links, last, rows, kept, comp)
         break
+    discard(post, member)
 
     comp = components(links)
     root = nodes.select("node", "nid", "id", "of").join(comp.withColumnRenamed("node", "member"), F.col("nid") == F.col("member"), "left").withColumn("root", F.coalesce("root", "nid"))
     return sig, root
 
 
-def _cross(rows: DataFrame, percent: int) -> DataFrame:
-    """Node pairs on one token whose components differ and whose sizes fit, with the overlap that the larger set asks for."""
+def _cross(rows: DataFrame, percent: int, once: bool = False) -> DataFrame:
+    """Node pairs on one token whose components differ and whose sizes fit, with the overlap that the larger set asks for.
+
+    ``once``: only where no token that both rows carry in ``before`` is the same.  The first common token of a pair is never
+    left out by that, and of pairs with up to ``_BEFORE`` tokens a node every other one is.
+    """
     x, y = rows.alias("x"), rows.alias("y")
-    p = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root")) & _sizes_fit("x", "y", percent))
+    on = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root")) & _sizes_fit("x", "y", percent)
+    p = x.join(y, on & ~F.arrays_overlap("x.before", "y.before") if once else on)
     return p.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b"), F.ceil(F.greatest("x.n", "y.n") * percent / 100).alias("least"))
+
+
+def _own_need(percent: int) -> Column:
+    """Prefix tokens that a node shares at least with any that it links with."""
+    return F.least(F.lit(_COMMON), F.ceil(F.col("n") * percent / 100))
+
+
+#: Times that rows of nodes with too few tokens are taken out; more would change the work, not the result.
+_PEELS = 1
+
+
+def _peeled(rows: DataFrame, percent: int) -> DataFrame:
+    """Of rows (token, nid, n, root) those that a link of two components can need, with k, the rows on their token.
+
+    A token goes that stands in one component alone, and a node that has fewer tokens left than a link asks for; that is
+    done some times over, as each takes from the other.
+    """
+    last = None
+    for turn in range(_PEELS + 1):
+        if turn:
+            enough = rows.groupBy("nid").agg(F.count("*").alias("c"), F.first("n").alias("n")).where(F.col("c") >= _own_need(percent)).select("nid")
+            rows = rows.join(enough, "nid").select("token", "nid", "n", "root")
+        mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("k")).where("low <> high").select("token", "k")
+        rows = checkpoint(rows.join(mixed, "token"), *([last] if last is not None else []))
+        last = rows
+    return rows
+
+
+#: Tokens before its own that a row carries.
+_BEFORE = 64
+
+
+def _rarest(rows: DataFrame, percent: int) -> DataFrame:
+    """Each node without its most frequent tokens, one less than a link asks for: the rarest token that a link's two nodes share stays in both.
+
+    ``before`` holds the node's tokens just below the row's own, by which a pair that shares several is met once.
+    """
+    place = F.row_number().over(Window.partitionBy("nid").orderBy(F.desc("k"), "token"))
+    below = Window.partitionBy("nid").orderBy("token").rowsBetween(-_BEFORE, -1)
+    few = rows.withColumn("place", place).where(F.col("place") >= _own_need(percent))
+    return few.withColumn("before", F.collect_list("token").over(below)).select("token", "nid", "n", "root", "before")
