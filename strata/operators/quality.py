@@ -118,6 +118,48 @@ def key_profile(df: DataFrame, key, reuse_col: str, ts: str) -> DataFrame:
     ).withColumn("is_duplicate", F.col("n_rows") > 1)
 
 
+def key_usage(df: DataFrame, key, company: str, reuse_col: str, ts: str) -> DataFrame:
+    """How a business key is used: one row per key with its rows, companies, distinct values of ``reuse_col``, first and last
+    use and what that makes of it; and one row of NULL keys, with the rows that have a NULL in the key.
+
+    ``finding``: ``missing`` (the NULL row), ``reused`` (several values of ``reuse_col`` in one company), ``shared``
+    (several companies), ``duplicate`` (several rows), ``unique``.
+    """
+    keys = _cols(key)
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    own = [F.when(whole, F.col(k)).alias(k) for k in keys]
+    per = (df.select(*own, F.when(whole, F.col(company)).alias("_company"), F.col(reuse_col).alias("_value"), F.col(ts).alias("_ts"), whole.alias("_whole"))
+           .groupBy(*keys, "_company", "_whole").agg(F.count(F.lit(1)).alias("_n"), F.count_distinct("_value").alias("_v"), F.min("_ts").alias("_a"), F.max("_ts").alias("_b")))
+    out = per.groupBy(*keys, "_whole").agg(F.sum("_n").alias("n_rows"), F.count("_company").alias("companies"), F.max("_v").alias("values_in_company"),
+                                           F.min("_a").alias("first_seen"), F.max("_b").alias("last_seen"))
+    finding = (F.when(~F.col("_whole"), "missing").when(F.col("values_in_company") > 1, "reused").when(F.col("companies") > 1, "shared")
+               .when(F.col("n_rows") > 1, "duplicate").otherwise("unique"))
+    return out.withColumn("finding", finding).drop("_whole")
+
+
+def load_evidence(df: DataFrame, key, company: str, amount: str, deleted: Column, rejected: Column) -> DataFrame:
+    """The evidence of one load as one row per company: rows delivered, deletes, rejects, rows without a key, duplicate
+    deliveries of a key, rows and amount that are left, and an order-free checksum of the keys and amounts left.
+
+    A row counts once, by the first that holds of: no key, rejected, deleted, a key's further delivery.  The checksum separates its
+    parts, so that ("1", "23") and ("12", "3") differ.
+    """
+    keys = _cols(key)
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    state = F.when(~whole, "unkeyed").when(F.coalesce(rejected, F.lit(False)), "rejected").when(F.coalesce(deleted, F.lit(False)), "deleted").otherwise("kept")
+    per = (df.select(*keys, F.col(company).alias("company"), F.col(amount).alias("_amount"), state.alias("_state"))
+           .groupBy(*keys, "company", "_state").agg(F.count(F.lit(1)).alias("_n"), F.max("_amount").alias("_amount")))
+    one = lambda s, c: F.sum(F.when(F.col("_state") == s, c).otherwise(0))
+    digest = F.when(F.col("_state") == "kept", checksum(*keys, "_amount"))
+    return per.groupBy("company").agg(F.sum("_n").alias("delivered"), *(one(s, F.col("_n")).alias(s) for s in ("unkeyed", "rejected", "deleted")),
+                                      one("kept", F.col("_n") - 1).alias("duplicates"), one("kept", F.lit(1)).cast("long").alias("kept"),
+                                      F.sum(F.when(F.col("_state") == "kept", F.col("_amount"))).alias("amount"), F.sum(digest).alias("checksum"))
+
+
 def control_totals(df: DataFrame, by: Sequence[str], key: Sequence[str], amounts: Sequence[str],
                    date: str | None = None, checksum_cols: Sequence[str] | None = None) -> DataFrame:
     """Reconciliation control totals per group, one aggregate.

@@ -235,6 +235,30 @@ def header_line_check(t):
     return Q.header_line_check(header, lines, "invoice_id", "header_total", "amount", 1.00).select("invoice_id", "header_total", "line_total", "difference")
 
 
+@query("key_usage", """WITH u AS (SELECT CASE WHEN o_custkey % 7 > 0 THEN o_custkey % 400 END AS k, o_orderkey % 3 AS company, o_orderpriority AS v, o_orderdate AS ts FROM orders),
+c AS (SELECT k, CASE WHEN k IS NOT NULL THEN company END AS company, count(*) AS n, count(DISTINCT v) AS v, min(ts) AS a, max(ts) AS b FROM u GROUP BY 1, 2)
+SELECT k AS ref, CAST(sum(n) AS BIGINT) AS n_rows, count(company) AS companies, max(v) AS values_in_company, min(a) AS first_seen, max(b) AS last_seen,
+  CASE WHEN k IS NULL THEN 'missing' WHEN max(v) > 1 THEN 'reused' WHEN count(company) > 1 THEN 'shared' WHEN sum(n) > 1 THEN 'duplicate' ELSE 'unique' END AS finding FROM c GROUP BY k""")
+def key_usage(t):
+    """A reference's rows, companies and reuse, rows without one among them."""
+    o = t.orders.select(F.when(F.col("o_custkey") % 7 > 0, F.col("o_custkey") % 400).alias("ref"), (F.col("o_orderkey") % 3).alias("company"), "o_orderpriority", "o_orderdate")
+    return Q.key_usage(o, "ref", "company", "o_orderpriority", "o_orderdate")
+
+
+@query("load_evidence", """WITH d AS (SELECT CASE WHEN l_suppkey % 50 > 0 THEN l_orderkey END AS k, l_linenumber AS l, l_suppkey % 4 AS company, CAST(l_extendedprice AS DECIMAL(19,4)) AS amount,
+  CASE WHEN l_suppkey % 50 = 0 THEN 'unkeyed' WHEN l_discount >= 0.1 THEN 'rejected' WHEN l_returnflag = 'R' AND l_quantity < 10 THEN 'deleted' ELSE 'kept' END AS s FROM lineitem),
+p AS (SELECT k, l, company, s, count(*) AS n, max(amount) AS amount FROM d GROUP BY ALL)
+SELECT company, CAST(sum(n) AS BIGINT) AS delivered, CAST(sum(CASE WHEN s = 'unkeyed' THEN n ELSE 0 END) AS BIGINT) AS unkeyed, CAST(sum(CASE WHEN s = 'rejected' THEN n ELSE 0 END) AS BIGINT) AS rejected,
+  CAST(sum(CASE WHEN s = 'deleted' THEN n ELSE 0 END) AS BIGINT) AS deleted, CAST(sum(CASE WHEN s = 'kept' THEN n - 1 ELSE 0 END) AS BIGINT) AS duplicates, count(*) FILTER (s = 'kept') AS kept,
+  CAST(sum(amount) FILTER (s = 'kept') AS DOUBLE) AS amount FROM p GROUP BY company""")
+def load_evidence(t):
+    """Per company what was delivered, refused, deleted, doubled and kept."""
+    li = t.lineitem.select(F.when(F.col("l_suppkey") % 50 > 0, F.col("l_orderkey")).alias("k"), "l_linenumber", (F.col("l_suppkey") % 4).alias("company"),
+                           S.dec4("l_extendedprice").alias("amount"), "l_discount", "l_returnflag", "l_quantity")
+    out = Q.load_evidence(li, ["k", "l_linenumber"], "company", "amount", (F.col("l_returnflag") == "R") & (F.col("l_quantity") < 10), F.col("l_discount") >= 0.1)
+    return out.drop("checksum")
+
+
 @query("undecoded", """SELECT o_orderstatus, count(*) AS n_rows FROM orders
 WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('O', 'F') GROUP BY 1""")
 def undecoded(t):

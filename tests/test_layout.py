@@ -136,3 +136,14 @@ def test_small_operators(spark, tmp_path):
     assert sorted(r.k for r in cleanse.active_records(flags, "gone", null_is_active=False).collect()) == ["b", "c"]
     versions = spark.createDataFrame([("a", 2), ("b", 1), ("a", 1)], f"k string, `{START}` int")
     assert [r[START] for r in history.of_key(versions, "k", "a").collect()] == [1, 2]
+
+
+def test_load_evidence_tells_loads_apart(spark):
+    """The checksum does not depend on order or on doubled deliveries, and separates its parts; every row counts once."""
+    kind = "a string, b string, co int, m decimal(19,4), gone boolean, bad boolean"
+    rows = [("1", "23", 1, Decimal(5), False, False), ("12", "3", 1, Decimal(5), False, None), ("x", "y", 1, Decimal(1), True, True), ("x", "z", 1, Decimal(1), True, False), (None, "q", 1, Decimal(9), True, True)]
+    ev = lambda r: Q.load_evidence(spark.createDataFrame(r, kind).repartition(3), ["a", "b"], "co", "m", F.col("gone"), F.col("bad")).first()
+    one, two = ev(rows), ev([*rows[::-1], rows[0]])
+    assert (one.delivered, one.unkeyed, one.rejected, one.deleted, one.duplicates, one.kept, one.amount) == (5, 1, 1, 1, 0, 2, Decimal(10))
+    assert two.duplicates == 1 and two.kept == 2 and two.checksum == one.checksum
+    assert ev([rows[0], rows[0][:1] + ("2",) + rows[0][2:]]).checksum != ev([rows[0], rows[1]]).checksum
