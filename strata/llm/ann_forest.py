@@ -27,7 +27,8 @@ Defined cases: a vector that is null, empty, zero or holds null or non-finite
 components, and a row without an id, takes no part, neither as a query nor as a
 candidate; only vectors of one dimension meet; rows with the query's id are
 its own and no candidates; repeated rows of other ids are candidates each;
-fewer than ``k`` candidates are all returned; an empty table gives an empty result.
+fewer than ``k`` candidates are all returned; equal scores go to the smaller id; an empty table gives an empty
+result; other input columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ Defined cases: a null or empty text has no feature but the constant one that
 every text has, and gets a score from it; labels other than 0 and 1 and null
 labels are ignored, several labels of one document count as their maximum;
 with no labelled document every score is 0.5, with one class only that class's
-share (0 or 1); repeated rows are scored each; an empty table gives an empty
+share (0 or 1); repeated rows are scored each; very long texts are scored whole (a text is the
+least that is held at a time) and learnt from whole; an empty table gives an empty
 result; an input column named like an output column is replaced.
 """
 

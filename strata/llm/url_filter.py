@@ -12,7 +12,8 @@ their regular expression.  DataFrame functions only.
 Defined cases: a null URL or one without ``://`` has empty host and path and
 matches nothing but rules without a host; repeated rows are kept as they are;
 repeated rules count once; null rules are ignored; an empty table gives an
-empty result; input columns named like an output column are replaced by it.
+empty result; very long URLs are judged whole; of rules of one length that fit, the greater text wins; input columns named
+like an output column are replaced by it.
 """
 
 from __future__ import annotations

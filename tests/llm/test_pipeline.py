@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 from strata.llm import catalog
 from tests.llm import brute
+from tests.llm.test_dedup import plain_line_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,6 +28,9 @@ def test_stages(spark, tmp_path):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     assert before.join(labels.where("quality = 1"), "doc_id").select("doc_id").exceptAll(after.join(labels.where("quality = 1"), "doc_id").select("doc_id")).isEmpty()
     assert after.count() < before.count()
+    before, after = seen["line_dedup"]
+    want = plain_line_dedup(sorted((r["doc_id"], r["text"]) for r in before.collect()))
+    assert {r["doc_id"]: r["text"] for r in after.collect()} == {i: t for i, (t, n) in want.items() if not n or t.strip(" ")}
     before, after = seen["near_duplicates"]
     rows = [(r["doc_id"], r["text"]) for r in before.collect()]
     assert sorted(r["doc_id"] for r in after.collect()) == sorted(i for i, _, c in brute.near_classes(rows, 5, 80) if c == i)

@@ -1,6 +1,8 @@
 """URL filters, chat formatting, quality, packing, pieces and nearest neighbours."""
 
+import math
 import os
+import re
 import zlib
 
 import numpy as np
@@ -12,9 +14,10 @@ from strata.llm import catalog
 from strata.llm.ann_forest import Forest, nearest
 from strata.llm.chat_format import escape, format_chat, unescape
 from strata.llm.packing import best_cuts, pack
-from strata.llm.quality import _AGAIN, Features, fit_quality, hashed_features, quality_score, with_quality
+from strata.llm.quality import _AGAIN, _MUL, Features, fit_quality, hashed_features, quality_score, with_quality
 from strata.llm.sentencepiece_ops import PieceModel, decode_pieces, with_pieces
 from strata.llm.url_filter import url_filter
+from strata.llm.wordhash import _BASE, _BYTE
 from tests.llm import brute
 
 ODD = ["", " ", "a", "İstanbul Σίσυφος ΟΔΟΣ", "e\u0301te\u0301 <|endoftext|> <|ENDOFTEXT|> x<|startoftext|>y", "it's we'll 'S 'tis. a.b,c!! ...", "\x1c\x1d a\x1fb\u2003c\x85d\u3000e",
@@ -95,6 +98,73 @@ def test_features_of_repeated_words():
     assert (mixed == 2 * one + other + 8 * mark).all()
 
 
+def plain_features(text, f):
+    """Buckets of a text's features, one at a time, in whole Python numbers."""
+    def mixed(x):
+        for shift, mul in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * mul % 2**64
+        return x ^ x >> 31
+
+    def of_word(w):
+        b = w.encode("utf-8", "surrogatepass")
+        return mixed((sum(int(_BYTE[c]) * pow(_BASE, i, 2**64) for i, c in enumerate(b)) + len(b) * 0xE7037ED1A0B428DB) % 2**64)
+
+    def of_gram(g):
+        h = len(g)
+        for j, c in enumerate(g):
+            h = (h ^ ord(c) * int(_MUL[j % 5]) % 2**32) * 0xCC9E2D51 % 2**32
+            h ^= h >> 15
+        return h
+
+    white = " \t\n\x0b\x0c\r"
+    words, out = re.split(f"[{white}]+", text.strip(white)) if text.strip(white) else [], []
+    repeats = [i > 0 and w == words[i - 1] for i, w in enumerate(words)]
+    out += [of_word(w) for w in words] + [int(_AGAIN) for again in repeats if again]
+    padded, word = " " + "".join(" " if c in white else c for c in text) + " ", -1
+    for i, c in enumerate(padded):
+        begins = c != " " and padded[i - 1] == " "
+        word += begins
+        of = word + (c == " ")
+        for n in f.ngrams:
+            g = padded[i:i + n]
+            if len(g) == n and " " not in g[1:-1]:
+                out += [of_gram(g)] + [int(_AGAIN)] * repeats[of]
+    return [h % f.buckets for h in out]
+
+
+def test_quality_against_a_plain_classifier(spark):
+    """Features, gradient descent and scores again, one feature and one number at a time."""
+    rng = np.random.default_rng(8)
+    f, dim, epochs, rate, seed = Features(buckets=256), 3, 2, 1.5, 5
+    good, bad = ["the", "house", "stands", "é🙂", "near"], ["buy", "$$$", "now", "now", "x"]
+    rows = [(i, (" ", "\n", " \t ")[i % 3].join(rng.choice(good if i % 3 else bad, rng.integers(1, 12))), int(i % 3 > 0)) for i in range(45)] + [(45, "", 0), (46, " \n ", 1), (47, "now now now", 0)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = fit_quality(docs, spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int"), features=f, per_class=1000, dim=dim, epochs=epochs, rate=rate, seed=seed)
+    bags = [sorted(plain_features(t, f)) for _, t, _ in rows]
+    r = np.random.default_rng(seed)
+    vectors = [[float(x) for x in row] for row in r.uniform(-1 / dim, 1 / dim, (f.buckets, dim)).astype(np.float32)]
+    matrix, bias, step = [[0.0, 0.0] for _ in range(dim)], [0.0, 0.0], 0
+    for _ in range(epochs):
+        for i in r.permutation(len(rows)):
+            bag, label = bags[i], rows[i][2]
+            lr, step = rate * (1 - step / (epochs * len(rows))), step + 1      # all labelled texts are learnt from, so the shares agree
+            hidden = [sum(vectors[b][d] for b in bag) / max(1, len(bag)) for d in range(dim)]
+            logit = [sum(hidden[d] * matrix[d][c] for d in range(dim)) + bias[c] for c in (0, 1)]
+            p = [1 / (1 + math.exp(logit[1 - c] - logit[c])) - (c == label) for c in (0, 1)]
+            back = [matrix[d][0] * p[0] + matrix[d][1] * p[1] for d in range(dim)]
+            for d in range(dim):
+                for c in (0, 1):
+                    matrix[d][c] -= lr * hidden[d] * p[c]
+                for b in bag:
+                    vectors[b][d] -= lr * back[d] / len(bag)
+            bias = [bias[c] - lr * 0.1 * p[c] for c in (0, 1)]
+    got = {x["doc_id"]: x["score"] for x in with_quality(docs, model).collect()}
+    for (i, _, _), bag in zip(rows, bags, strict=True):
+        s = sum(vectors[b][d] * (matrix[d][1] - matrix[d][0]) for b in bag for d in range(dim)) / max(1, len(bag)) + bias[1] - bias[0]
+        assert abs(got[i] - 1 / (1 + math.exp(-s))) < 1e-4
+    assert max(got.values()) - min(got.values()) > 0.05
+
+
 def test_quality_of_odd_inputs(spark):
     docs = spark.createDataFrame([(i, t, 0.0) for i, t in enumerate([*ODD, None])] + [(None, "x", None), (0, "", 1.0)], "doc_id long, text string, SCORE double")
     none = fit_quality(docs, spark.createDataFrame([], "doc_id long, quality int"))
