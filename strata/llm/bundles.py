@@ -1,6 +1,7 @@
 """Documents dealt into bundles, so that what is found about them elsewhere can come back to their texts.
 
-A bundle is some hundredth or thousandth of the corpus, by a hash of id and text.  Both visits to the texts, the one
+A bundle is a part of the corpus by a hash of id and text: some bundles per shuffle partition, and as many more as keep it
+at a few megabytes of input.  Both visits to the texts, the one
 that takes out what repeats and the one that rewrites them, read the same exchange of the documents, so the texts are
 shuffled once.  Keys are counted without texts.
 """
@@ -20,6 +21,15 @@ from strata.llm.common import others
 #: Stands for a null id, which is smallest.
 LEAST = -(1 << 63)
 _PER_PARTITION = 16
+#: Input bytes (as stored) to a bundle at most on average, as a bundle is held in memory.
+_BUNDLE_BYTES = 16 << 20
+
+
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files and tables that ``df`` reads, from the plan's own statistics: no job.  Leaves of unknown size count nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(n for n in sizes if n < 1 << 60)
 
 
 def once_per_bundle(key: np.ndarray, bundle: np.ndarray) -> pa.RecordBatch:
@@ -65,7 +75,7 @@ class Bundles:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, added: list[str]):
         self.rest = others(docs, added)
         self.text_col = next(c for c in self.rest if c.lower() == text_col.lower())
-        self.bundles = _PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.bundles = max(_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-stored_bytes(docs) // _BUNDLE_BYTES))
         own, h = F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)), F.xxhash64(F.col(text_col))
         self.base = docs.select(*(F.col(f"`{c}`") for c in self.rest), own.alias("__id"), h.alias("__h"), self.bundle(own, h))
 
