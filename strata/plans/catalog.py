@@ -53,3 +53,4 @@ from strata.plans import catalog_control  # noqa: E402,F401
 from strata.plans import catalog_resolve  # noqa: E402,F401
 from strata.plans import catalog_matching  # noqa: E402,F401
 from strata.plans import worked_example  # noqa: E402,F401
+from strata.plans import catalog_standard  # noqa: E402,F401
