@@ -85,6 +85,17 @@ def checkpoint(df: DataFrame, *done: DataFrame) -> DataFrame:
     return out
 
 
+#: Parquet bytes of a copy up to which it is broadcast; beyond, joins with it are shuffled.
+_SMALL = 4 << 20
+
+
+def is_small(copy: DataFrame) -> bool:
+    """Whether what ``checkpoint`` wrote for this frame takes at most ``_SMALL`` bytes, as measured on its files."""
+    spark = copy.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(copy._copy)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength() <= _SMALL
+
+
 def discard(*copies: DataFrame) -> None:
     """Delete what ``checkpoint`` wrote for these frames; other frames are left alone."""
     for df in copies:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpoint
+from strata.llm.common import checkpoint, is_small
 
 
 def _open(e: DataFrame) -> int:
@@ -22,11 +22,15 @@ def _open(e: DataFrame) -> int:
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) of every node on an edge between different nodes; root is the component's smallest node."""
+    """(node, root) of every node on an edge between different nodes; root is the component's smallest node.
+
+    A result whose edges are measured to be few is marked for broadcast in the joins that follow.
+    """
     e = checkpoint(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
     while _open(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = F.broadcast(low) if is_small(e) else low      # at most a row for each end of an edge
         # large star: e has u > v, so every larger neighbour u of v goes to the smallest around v
         e1 = e.join(low.select(F.col("u").alias("v"), "m"), "v").select("u", F.col("m").alias("v")).where("u <> v").repartition("u")
         least = e1.groupBy("u").agg(F.min("v").alias("m"))
@@ -36,5 +40,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         e = checkpoint(e2, e)
     out = e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out = F.broadcast(out) if is_small(e) else out
     out._copy = e._copy         # so that the caller can discard it
     return out

@@ -33,7 +33,8 @@ the shuffle; no group is collected.
 
 Defined cases: null, empty and white-space-only texts have the empty set and
 link with nothing; rows with a null id take part, and a class's id is the
-smallest id that is not null; repeated rows are one node and are all returned;
+smallest id that is not null; repeated rows are one node and are all returned; very
+long texts are split whole, a text being the least that a task holds;
 an empty table gives an empty result; input columns other than id and text are
 not returned by ``near_classes``.  ``one_of_each`` keeps one row of each class:
 of the smallest id that is not null, then of the smallest text hash, and of rows
@@ -48,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpoint, chunks, discard, id_and_text
+from strata.llm.common import checkpoint, chunks, discard, id_and_text, is_small
 from strata.llm.components import components
 from strata.llm.sketch import shingle_classes
 from strata.llm.wordhash import U, doc_shingles, mix, split_words
@@ -149,7 +150,7 @@ def _shared(batches):
 
 
 def _packed(batches):
-    """(id, h, text compressed)."""
+    """(id, h, text compressed, size) of (id, text, h)."""
     for batch in batches:
         texts = batch.column(1).to_pylist()
         z = [pa.compress(t, "zstd", asbytes=True) for t in texts]
@@ -219,7 +220,6 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     many = nodes.groupBy("gid").agg(F.count("*").alias("k"), F.min("nid").alias("head"))
     used = many.join(post.select("gid").distinct().withColumn("shared", F.lit(True)), "gid", "left").where("shared or k > 1")
     member = checkpoint(nodes.join(used.select("gid", "head"), "gid").select("gid", "head", "nid", "n", "bits", "of"))
-    packed = texts.mapInArrow(_packed, "id long, h long, z binary, size long")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the different node pairs (a, b) that link."""
@@ -232,11 +232,17 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
         p = open_ = checkpoint(p)
         # only texts of pairs that are still open are fetched
         need = p.select(F.col("a").alias("nid")).union(p.select("b")).distinct().join(member.select("nid", "of"), "nid")
-        text = (packed.join(need, packed["id"].eqNullSafe(F.col("of.id")) & (packed["h"] == F.col("of.h")))
-                .select("nid", "z", "size").dropDuplicates(["nid"]))
+        need = wanted = checkpoint(need)
+        if is_small(need):      # no text is packed or shuffled that no pair needs
+            few = texts.join(F.broadcast(need), texts["id"].eqNullSafe(F.col("of.id")) & (texts["h"] == F.col("of.h"))).select("nid", "text", texts["h"])
+            text = few.mapInArrow(_packed, "id long, h long, z binary, size long").withColumnRenamed("id", "nid")
+        else:
+            packed = texts.mapInArrow(_packed, "id long, h long, z binary, size long")
+            text = packed.join(need, packed["id"].eqNullSafe(F.col("of.id")) & (packed["h"] == F.col("of.h")))
+        text = text.select("nid", "z", "size").dropDuplicates(["nid"])
         p = (p.join(text.select(F.col("nid").alias("a"), F.col("z").alias("za"), F.col("size").alias("sa")), "a")
              .join(text.select(F.col("nid").alias("b"), F.col("z").alias("zb"), F.col("size").alias("sb")), "b").select("a", "b", "za", "sa", "zb", "sb"))
-        return checkpoint(p.mapInArrow(_verify(k, percent), "a long, b long"), open_)
+        return checkpoint(p.mapInArrow(_verify(k, percent), "a long, b long"), open_, wanted)
 
     def met(pairs: DataFrame, least: Column) -> DataFrame:
         """Pairs (a, b), a < b, that meet on at least so many tokens; one row per token and pair comes in, a column more may bound it."""
