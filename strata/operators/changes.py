@@ -153,9 +153,11 @@ def _ranged(events: DataFrame, keys: list[str]) -> DataFrame:
 
     The bounds are versions that the key itself has (less than ``RANGES``, those of the smallest hashes), so ranges hold
     about as many versions each, whatever the type of the version and however it is spread.  A key's bounds are at most some
-    hundred values; where no key is hot, adaptive execution finds the bounds empty and drops the join.
+    hundred values; where no key is hot, which one aggregate tells when the plan is made, nothing of this is planned.
     """
     hot = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS)
+    if hot.isEmpty():       # one aggregate decides; the rest of the plan is only for hot keys
+        return events.withColumns({"_hot": F.lit(False), "_range": F.lit(0)})
     versions = events.join(_renamed(hot, keys), _on(keys)).select(*keys, VERSION).filter(F.col(VERSION).isNotNull()).distinct()
     by_hash = Window.partitionBy(*keys).orderBy(F.xxhash64(VERSION), VERSION)
     chosen = versions.withColumn("_nth", F.row_number().over(by_hash)).filter(F.col("_nth") < RANGES)      # a limit in each task before the shuffle
