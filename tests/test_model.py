@@ -60,3 +60,9 @@ def test_headers_are_checked_against_their_lines(spark, folder):
     at = folder(orders=orders, lineitem=[line(1, 1), line(1, 2), line(2, 1), line(4, 1), line(4, 1, ship="1995-02-01")])
     got = {r.invoice_id: (r.header_total, r.line_total, r.difference) for r in rows(spark, "header_line_check", at)}
     assert got == {2: (30.0, 9.45, 20.55), 3: (4.0, None, 4.0)}
+
+
+def test_every_address_is_used(spark, folder):
+    """A customer of each of seven nations has an address in mid-1995, as an order of that year names the nation; one without a nation has none."""
+    got = {r.customer_account: (r.primary_city, r.city_was_missing) for r in rows(spark, "default_with_flag", folder())}
+    assert got == {**{c: (f"CITY-N{c % 7}-1995", False) for c in range(8)}, 90: ("UNKNOWN", True), 91: ("UNKNOWN", True)}
