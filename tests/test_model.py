@@ -66,3 +66,10 @@ def test_every_address_is_used(spark, folder):
     """A customer of each of seven nations has an address in mid-1995, as an order of that year names the nation; one without a nation has none."""
     got = {r.customer_account: (r.primary_city, r.city_was_missing) for r in rows(spark, "default_with_flag", folder())}
     assert got == {**{c: (f"CITY-N{c % 7}-1995", False) for c in range(8)}, 90: ("UNKNOWN", True), 91: ("UNKNOWN", True)}
+
+
+def test_every_nation_is_a_source(spark, folder):
+    """Orders of 1996 only: no address in mid-1995, so the nation's name counts, of every nation."""
+    orders = [(o, o % 8, "O", 1.0, ts("1996-01-15"), "1-URGENT") for o in range(7)] + [(7, 3, "O", 1.0, ts("1995-01-15"), "1-URGENT")]
+    got = {r.customer_account: (r.location, r.source_used) for r in rows(spark, "by_precedence", folder(orders=orders))}
+    assert got == {**{c: (f"N{c % 7}", "nation") for c in range(8) if c != 3}, 3: ("CITY-N3-1995", "address"), 90: (None, None), 91: (None, None)}
