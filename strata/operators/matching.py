@@ -1,17 +1,35 @@
 """Amounts against amounts: running totals, allocation with remainder, reversals paired with originals, bitemporal segments.
 
-Running totals and pairings order rows inside (key, period) and take over the totals of earlier periods from one row per key and
-period, so a key with very many rows is spread over its periods.
+Allocation and pairing order the rows of a key in one window, after one exchange, as long as it has up to ``KEY_ROWS`` rows.
+Larger keys are spread: running totals and pairings order rows inside (key, period) and take over the totals of earlier
+periods from one row per key and period, allocation orders inside (key, remainder class).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Keys with more rows than this are spread over several tasks.
+KEY_ROWS = 200_000
+
+
+def by_size(df: DataFrame, key: Sequence[str], most: int) -> Callable[[DataFrame, bool], DataFrame]:
+    """A function that keeps, of a frame with ``key``, the rows of keys with more than ``most`` rows in ``df`` (True) or those of the others.
+
+    There is at most one such key in ``most`` rows: their list is bounded by construction, and broadcast.
+    """
+    many = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > most)
+    many = F.broadcast(many.select(*[F.col(k).alias(f"_big{i}") for i, k in enumerate(key)]))
+    same = F.lit(True)
+    for i, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"_big{i}"))
+    return lambda rows, large: rows.join(many, same, "left_semi" if large else "left_anti")
+
+
 def running_total(df: DataFrame, key: Sequence[str], period: Column, order: Sequence[str], amount: str, before: str) -> DataFrame:
     """``before``: the sum of ``amount`` over the rows of the key that come earlier by (period, order).
 
@@ -70,15 +88,60 @@ def allocate(lines: DataFrame, header: Sequence[str], line: Sequence[str], weigh
     return done.withColumn(out, ((F.col("_q") + F.col("_more")) / unit).cast(f"decimal(19,{scale})")).drop("_q", "_r", "_more", *given)
 
 
-def pair_reversals(originals: DataFrame, reversals: DataFrame, key: Sequence[str], order: Sequence[str], period: str, amount: str, step: int) -> DataFrame:
+def pair_reversals(originals: DataFrame, reversals: DataFrame, key: Sequence[str], order: Sequence[str], period: str, amount: str, step: int, most: int = KEY_ROWS) -> DataFrame:
     """K7: reversals matched to originals of their key, first to first, by running amounts.
 
     Both sides have ``key``, ``order``, ``period`` (a date that does not decrease with the order) and a positive ``amount``.  Laid
     end to end, originals and reversals cover stretches of the same axis; where two overlap, the reversal takes back that
     much of the original.  So one reversal may take back several originals, an original may be taken back by several,
     and what has no partner stays.  Rows: key, o_<order>, r_<order>, matched; an unmatched rest has NULLs on the other
-    side.  The axis is cut every ``step`` units, and stretches meet by (key, cut): a key is not one task.
+    side.
+
+    Keys of up to ``most`` rows are walked along their axis in one window.  For larger ones it is cut every ``step`` units, and
+    stretches meet by (key, cut): such a key is not one task.
+    """
+    rows = [*key, *order, F.col(period).alias("_period"), F.col(amount).alias("_amount")]
+    both = [df.filter((F.col(amount) > 0) & F.col(period).isNotNull()).select(*rows, F.lit(back).alias("_back")) for df, back in ((originals, False), (reversals, True))]
+    both = both[0].unionByName(both[1])
+    of = by_size(both, key, most)
+    large = _pairs_by_cut(of(originals, True), of(reversals, True), key, order, period, amount, step)
+    return _pairs_in_order(of(both, False), key, order).unionByName(large)
+
+
+def _pairs_in_order(both: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Pairs and rests of rows (_amount, _back) whose keys fit a window each.
+
+    Every start of a stretch, of either side, begins a piece of the axis that lies in the last stretch begun on each side; it
+    ends with the next start or with the shorter of the two.  What a stretch has beyond the other side's end has no partner.
     """
+    keys, back = list(key), F.col("_back")
+    of_key = Window.partitionBy(*keys)
+    laid = Window.partitionBy(*keys, "_back").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    end = [F.coalesce(F.sum(F.when(back == side, F.col("_amount"))).over(of_key), F.lit(0)) for side in (False, True)]
+    rows = both.withColumns({"_from": F.coalesce(F.sum("_amount").over(laid), F.lit(0)), "_end": F.when(back, end[0]).otherwise(end[1])})
+    rows = rows.withColumn("_to", F.col("_from") + F.col("_amount")).withColumn("_own", F.struct(*order, "_to"))
+    walk = of_key.orderBy("_from", "_back")
+    o, r = (F.last(F.when(back == side, F.col("_own")), ignorenulls=True).over(walk.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for side in (False, True))
+    rows = rows.withColumns({"_o": o, "_r": r, "_next": F.lead("_from").over(walk)})
+    piece = F.least("_next", "_o._to", "_r._to") - F.col("_from")
+    # a row with a NULL in its key or order has a rest as large as itself, and no key that is NULL has pairs
+    keyed = named = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    for c in order:
+        named = named & F.col(c).isNotNull()
+    rest = F.when(keyed & named, F.col("_to") - F.greatest("_from", "_end")).otherwise(F.col("_amount"))
+
+    def row(left: dict, right: dict, matched: Column, is_matched: bool) -> Column:
+        return F.struct(*[left[c].alias(f"o_{c}") for c in order], *[right[c].alias(f"r_{c}") for c in order], matched.alias("matched"), F.lit(is_matched).alias("is_matched"))
+    own = {c: F.col(c) for c in order}
+    pair = row({c: F.col("_o")[c] for c in order}, {c: F.col("_r")[c] for c in order}, F.when(keyed & F.col("_o").isNotNull() & F.col("_r").isNotNull(), piece), True)
+    left = row({c: F.when(~back, own[c]) for c in order}, {c: F.when(back, own[c]) for c in order}, rest, False)
+    return rows.select(*keys, F.inline(F.filter(F.array(pair, left), lambda x: x["matched"] > 0)))
+
+
+def _pairs_by_cut(originals: DataFrame, reversals: DataFrame, key: Sequence[str], order: Sequence[str], period: str, amount: str, step: int) -> DataFrame:
+    """Pairs and rests of keys of any size: stretches meet by (key, cut of the axis)."""
     keys = list(key)
 
     def laid(df: DataFrame, name: str) -> DataFrame:

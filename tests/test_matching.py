@@ -143,3 +143,31 @@ def test_daily_balance_of_an_empty_feed(spark, tmp_path):
     registry.load_all()
     spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(str(tmp_path / "events.parquet"))
     assert registry.QUERIES["daily_balance"](spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("most", [4, 200_000])
+def test_pairs_in_order_and_by_cut(spark, most):
+    """Keys on both sides of the bound and a missing key give the rows of the plain matching."""
+    r = random.Random(3)
+    rows = [(k, day(r.randint(0, 30)), i, r.randint(1, 9), i % 3 == 0) for k, n in (("a", 40), ("b", 3), ("c", 4), ("d", 5), (None, 2)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, d date, i int, q long, back boolean").repartition(3)
+    out = MT.pair_reversals(df.filter("not back"), df.filter("back"), ["k"], ["d", "i"], "d", "q", step=5, most=most)
+    assert out.columns == ["k", "o_d", "o_i", "r_d", "r_i", "matched", "is_matched"]
+    got = {}
+    for x in out.collect():
+        key = (x.k, None if x.o_i is None else (x.o_d, x.o_i), None if x.r_i is None else (x.r_d, x.r_i), x.is_matched)
+        assert key not in got
+        got[key] = x.matched
+    want = {}
+    for k in {x[0] for x in rows}:
+        sides = [[[(d, i), q] for kk, d, i, q, b in sorted((x for x in rows if x[0] == k), key=lambda x: x[1:3]) if b == side] for side in (False, True)]
+        sold, returned = sides
+        while k is not None and sold and returned:
+            n = min(sold[0][1], returned[0][1])
+            want[k, sold[0][0], returned[0][0], True] = n
+            for side in sides:
+                side[0][1] -= n
+                if not side[0][1]:
+                    side.pop(0)
+        want |= {(k, at, None, False): q for at, q in sold} | {(k, None, at, False): q for at, q in returned}
+    assert got == want
