@@ -48,29 +48,45 @@ def running_total(df: DataFrame, key: Sequence[str], period: Column, order: Sequ
     return out.withColumn(before, F.coalesce("_own", zero) + F.coalesce("_ahead", zero)).drop("_period", "_own", "_p", "_ahead", *[f"_k{i}" for i in range(len(key))])
 
 
-def allocate(lines: DataFrame, header: Sequence[str], line: Sequence[str], weight: str, total: str, out: str, scale: int = 2) -> DataFrame:
+def allocate(lines: DataFrame, header: Sequence[str], line: Sequence[str], weight: str, total: str, out: str, scale: int = 2, most: int = KEY_ROWS) -> DataFrame:
     """The header's ``total`` (on each of its lines) dealt out by ``weight``, to the last digit.
 
     Every line gets its share cut off to ``scale`` digits, and the digits that are left go, one each, to the lines with the
     largest remainders (ties: by ``line``).  So the lines add up to the total, also a negative one.  Weights add up with
     their signs; a header whose weights add up to 0 gives its total to its lines in equal parts.  All in decimals.
 
-    Only the lines of one remainder class (a 256th) of a header have to be ordered: those of higher classes all get a
-    digit, those of lower ones none.
+    A header of up to ``most`` lines is dealt out in windows over its lines.  Of a larger one, only the lines of one remainder
+    class (a 256th) have to be ordered: those of higher classes all get a digit, those of lower ones none.
     """
-    unit = 10 ** scale
+    of = by_size(lines, header, most)
+    own = Window.partitionBy(*header)
+    rows = of(lines, False).withColumns({"_w": F.sum(weight).over(own), "_n": F.count(F.lit(1)).over(own)})
+    rows = _shares(rows, weight, total, scale).filter(F.col("_class").isNotNull())
+    rows = rows.withColumn("_room", (F.col("_digits") - F.sum("_q").over(own)).cast("long"))
+    rows = rows.withColumn("_more", (F.row_number().over(own.orderBy(F.desc("_r"), *line)) <= F.col("_room")).cast("int"))
+    share = ((F.col("_q") + F.col("_more")) / 10 ** scale).cast(f"decimal(19,{scale})").alias(out)
+    return rows.select(*lines.columns, share).unionByName(_shares_by_class(of(lines, True), header, line, weight, total, scale).select(*lines.columns, share))
+
+
+def _shares(rows: DataFrame, weight: str, total: str, scale: int) -> DataFrame:
+    """Adds a line's share cut off to whole digits (_q), the remainder (_r) and its class, and the header's digits; _w and _n are the header's."""
+    digits = F.round(F.col(total) * 10 ** scale).cast("decimal(20,0)")
+    # share = digits * weight / whole as quotient and remainder of whole numbers
+    w = F.when(F.col("_w") == 0, F.lit(1)).otherwise(F.round(F.col(weight) * 10_000)).cast("decimal(18,0)")
+    all_ = F.when(F.col("_w") == 0, F.col("_n")).otherwise(F.round(F.col("_w") * 10_000)).cast("decimal(18,0)")
+    rows = rows.withColumn("_a", F.abs(all_)).withColumn("_x", (digits * w * F.signum(all_).cast("int")).cast("decimal(38,0)"))
+    rows = rows.withColumn("_q", F.expr("(_x - pmod(_x, _a)) div _a").cast("decimal(20,0)")).withColumn("_r", F.pmod("_x", "_a").cast("decimal(18,0)"))
+    return rows.withColumn("_class", F.floor(F.col("_r") * 256 / F.col("_a")).cast("int")).withColumn("_digits", digits)
+
+
+def _shares_by_class(lines: DataFrame, header: Sequence[str], line: Sequence[str], weight: str, total: str, scale: int) -> DataFrame:
+    """Lines of large headers with _q and _more, the digit that a line gets on top."""
     whole = lines.groupBy(*header).agg(F.sum(weight).alias("_w"), F.count(F.lit(1)).alias("_n"))
     on = [F.col(h).alias(f"_h{i}") for i, h in enumerate(header)]
     same = F.lit(True)
     for i, h in enumerate(header):
         same = same & F.col(h).eqNullSafe(F.col(f"_h{i}"))
-    digits = F.round(F.col(total) * unit).cast("decimal(20,0)")
-    # share = digits * weight / whole as quotient and remainder of whole numbers
-    w = F.when(F.col("_w") == 0, F.lit(1)).otherwise(F.round(F.col(weight) * 10_000)).cast("decimal(18,0)")
-    all_ = F.when(F.col("_w") == 0, F.col("_n")).otherwise(F.round(F.col("_w") * 10_000)).cast("decimal(18,0)")
-    rows = lines.join(whole.select(*on, "_w", "_n"), same).withColumn("_a", F.abs(all_)).withColumn("_x", (digits * w * F.signum(all_).cast("int")).cast("decimal(38,0)"))
-    rows = rows.withColumn("_q", F.expr("(_x - pmod(_x, _a)) div _a").cast("decimal(20,0)")).withColumn("_r", F.pmod("_x", "_a").cast("decimal(18,0)"))
-    rows = rows.withColumn("_class", F.floor(F.col("_r") * 256 / F.col("_a")).cast("int")).withColumn("_digits", digits)
+    rows = _shares(lines.join(whole.select(*on, "_w", "_n"), same), weight, total, scale)
     classes = rows.groupBy(*header, "_class").agg(F.count(F.lit(1)).alias("_in"), F.sum("_q").alias("_sum"), F.first("_digits").alias("_all"))
     above = Window.partitionBy(*header).orderBy(F.desc("_class")).rowsBetween(Window.unboundedPreceding, -1)
     left = (F.first("_all").over(Window.partitionBy(*header)) - F.sum("_sum").over(Window.partitionBy(*header))).cast("long")
@@ -80,12 +96,10 @@ def allocate(lines: DataFrame, header: Sequence[str], line: Sequence[str], weigh
     for i, h in enumerate(header):
         same = same & F.col(h).eqNullSafe(F.col(f"_c{i}"))
     rows = rows.join(classes, same)
-    given = [c for c in rows.columns if c.startswith("_") and c not in lines.columns and c not in ("_q", "_r")]
     sure = rows.filter((F.col("_room") <= 0) | (F.col("_room") >= F.col("_in"))).withColumn("_more", (F.col("_room") > 0).cast("int"))
     nth = F.row_number().over(Window.partitionBy(*header, "_class").orderBy(F.desc("_r"), *line))
     edge = rows.filter((F.col("_room") > 0) & (F.col("_room") < F.col("_in"))).withColumn("_more", (nth <= F.col("_room")).cast("int"))
-    done = sure.unionByName(edge)
-    return done.withColumn(out, ((F.col("_q") + F.col("_more")) / unit).cast(f"decimal(19,{scale})")).drop("_q", "_r", "_more", *given)
+    return sure.unionByName(edge)
 
 
 def pair_reversals(originals: DataFrame, reversals: DataFrame, key: Sequence[str], order: Sequence[str], period: str, amount: str, step: int, most: int = KEY_ROWS) -> DataFrame:

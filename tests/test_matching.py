@@ -145,6 +145,25 @@ def test_daily_balance_of_an_empty_feed(spark, tmp_path):
     assert registry.QUERIES["daily_balance"](spark, str(tmp_path)).count() == 0
 
 
+@pytest.mark.parametrize("most", [3, 200_000])
+def test_allocation_in_windows_and_by_class(spark, most):
+    """Headers on both sides of the bound, a missing header, a missing weight: the same shares either way."""
+    r = random.Random(7)
+    rows = [(None if i % 9 == 0 else f"h{i % 9}", i, None if i == 5 else D(r.randint(1, 99)), D("10.01")) for i in range(60)] + [("one", 0, D(5), D("3.33")), ("two", 0, D(1), D("0.01")), ("two", 1, D(1), D("0.01"))]
+    df = spark.createDataFrame(rows, "h string, i int, w decimal(19,4), t decimal(19,4)").repartition(3)
+    got = {(x.h, x.i): x.share for x in MT.allocate(df, ["h"], ["i"], "w", "t", "share", most=most).collect()}
+    assert set(got) == {(h, i) for h, i, w, _ in rows if w is not None}
+    weight = {}
+    for h, _, w, _ in rows:
+        weight[h] = weight.get(h, 0) + (w or 0)
+    left = {h: 1001 if h not in ("one", "two") else 333 if h == "one" else 1 for h in weight}
+    for h in weight:
+        parts = sorted(((left[h] * w) % weight[h], -i, int(left[h] * w // weight[h])) for k, i, w, _ in rows if k == h and w is not None)[::-1]
+        room = left[h] - sum(q for _, _, q in parts)
+        for n, (_, i, q) in enumerate(parts):
+            assert got[h, -i] * 100 == q + (n < room)
+
+
 @pytest.mark.parametrize("most", [4, 200_000])
 def test_pairs_in_order_and_by_cut(spark, most):
     """Keys on both sides of the bound and a missing key give the rows of the plain matching."""
@@ -171,3 +190,16 @@ def test_pairs_in_order_and_by_cut(spark, most):
                     side.pop(0)
         want |= {(k, at, None, False): q for at, q in sold} | {(k, None, at, False): q for at, q in returned}
     assert got == want
+
+
+def test_allocation_and_pairs_move_rows_once(spark):
+    """Rows of keys of usual size take one exchange by the key, not several by key, class, period and cut."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    df = spark.createDataFrame([("a", day(0), 0, D(1), D(1), False)], "k string, d date, i int, w decimal(19,4), t decimal(19,4), back boolean").repartition(3)
+
+    def written(out):
+        plan = out._jdf.queryExecution()
+        out.collect()
+        return plan.executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+    assert written(MT.allocate(df, ["k"], ["i"], "w", "t", "s")) <= 2
+    assert written(MT.pair_reversals(df.filter("not back"), df.filter("back"), ["k"], ["d", "i"], "d", "w", step=5)) <= 2
