@@ -164,13 +164,13 @@ def dim_sales_rep(t) -> DataFrame:
 
 
 def fact_sales_order_line(t) -> DataFrame:
-    """Order lines with delivered quantity, promise variance and three date keys."""
-    sl = S.sales_line(t)
+    """Order lines with delivered quantity, promise variance and three date keys (computed from the source's columns after the joins)."""
     so = S.sales_order(t).select(F.col("sales_id").alias("h_sales_id"), "company", "customer_account",
                                   "sales_status", "order_date", "delivery_date", "delivery_mode_code")
     wh = warehouse_of_lines(t)
-    return (sl.join(so, sl.sales_id == so.h_sales_id, "inner")
-            .join(wh, sl.supplier_id == wh.warehouse_id, "left")
+    return (S._line_base(t).join(so, F.col("l_orderkey") == F.col("h_sales_id"), "inner")
+            .join(wh, F.col("l_suppkey") == F.col("warehouse_id"), "left")
+            .select(*S.sales_columns(), *so.columns, *wh.columns)
             .select(
                 sha_key("sales_id", "line_num", "company").alias("sales_line_sk"),
                 sha_key("customer_account", "company").alias("customer_bk"),
