@@ -190,18 +190,25 @@ def fact_sales_order_line(t) -> DataFrame:
             ))
 
 
-def invoice_lines_in_full(t) -> DataFrame:
+def invoice_lines_in_full(t, customers: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
     """Kept invoice lines with their header, cost (of the kept delivery), site and accounting rate, on natural keys.
 
-    Lines are read twice: for the rows themselves and for the header's tax total, both aggregated map-side first.
+    Lines are read twice: for the rows themselves and for the header's tax total, both aggregated map-side first.  Each table
+    is met where the fewest and narrowest rows have to move: rates and ``customers`` (keyed by c_account and c_company) by the
+    headers, ``products`` (keyed by p_item) beside the price, and the lines keep the source's columns until their last join.
     """
-    lines = S.lines_with_cost(t).select(*S.invoice_columns(), (F.col("posted") + F.col("adjustment")).cast("decimal(19,4)").alias("total_cost"))
-    header = S.invoice_header(t).select(F.col("invoice_id").alias("h_invoice_id"), "company", "invoice_account",
-                                        "nation_key", "invoice_date", "invoice_amount", "total_tax")
+    header = S.invoice_header(t, customers).withColumnRenamed("invoice_id", "h_invoice_id").drop("due_date", "sales_status")
     rates = S.address_history(t).select(F.col("nation_key").alias("r_nation"), "valid_from", "valid_to", "rate")
-    base = (lines.join(header, F.col("invoice_id") == F.col("h_invoice_id"))
-            .join(warehouse_of_lines(t), F.col("supplier_id") == F.col("warehouse_id"), "left"))
-    base = joins.resolve_version(base, rates, ["nation_key"], ["r_nation"], at="invoice_date")
+    # one rate per nation and calendar year: bounded by construction
+    header = joins.resolve_version(header, F.broadcast(rates), ["nation_key"], ["r_nation"], at="invoice_date")
+    lines, wh = S.priced_lines(t), warehouse_of_lines(t)
+    if products is not None:
+        lines = lines.join(products, F.col("l_partkey") == F.col("p_item"), "left")
+    more = [] if products is None else products.columns
+    base = (lines.join(header, F.col("l_orderkey") == F.col("h_invoice_id"))
+            .join(wh, F.col("l_suppkey") == F.col("warehouse_id"), "left")
+            .withColumns(S.cost_columns())
+            .select(*S.invoice_columns(), (F.col("posted") + F.col("adjustment")).cast("decimal(19,4)").alias("total_cost"), *header.columns, *wh.columns, *more))
     cost = F.coalesce("total_cost", F.lit(0).cast("decimal(19,4)"))
     share = F.col("line_revenue").cast("double") / F.col("invoice_amount").cast("double")
     return (base.withColumn("line_cost", cost)
@@ -231,20 +238,18 @@ def obt_revenue(t) -> DataFrame:
     Joined on natural keys; calendar, financial and warehouse attributes are functions of columns that the lines have.
     """
     customers = dim_customer(t).filter("is_current").select(
-        F.col("company").alias("c_company"), "customer_account", "customer_name", "customer_group",
+        F.col("company").alias("c_company"), F.col("customer_account").alias("c_account"), "customer_name", "customer_group",
         "primary_city", "primary_country", "credit_limit", "payment_term_description")
     products = dim_product(t).filter("is_current").select(
         F.col("item_id").alias("p_item"), "product_number", "item_group_name", "product_category", "product_category_parent", "product_type")
-    lines = (invoice_lines_in_full(t)
-             .join(customers, (F.col("invoice_account") == F.col("customer_account")) & F.col("company").eqNullSafe(F.col("c_company")), "left")
-             .join(products, F.col("item_id") == F.col("p_item"), "left"))
+    lines = invoice_lines_in_full(t, customers, products)
     percent = F.round(F.col("gross_margin").cast("double") / F.col("line_revenue").cast("double") * 100, 2)
     days = calendar_columns("invoice_date")
     return lines.select(
         F.col("invoice_id").alias("invoice_number"), F.col("line_num").alias("line_number"), F.col("invoice_id").alias("sales_order_number"), "company",
         "invoiced_qty", "unit_price", "line_revenue", "line_revenue_mst", "line_cost", "gross_margin", "line_discount_amount", "allocated_tax",
         F.when(F.col("line_revenue") != 0, percent).otherwise(F.lit(0.0)).alias("gross_margin_pct"),
-        "customer_account", "customer_name", "customer_group", "primary_city", "primary_country", "credit_limit", "payment_term_description",
+        F.col("c_account").alias("customer_account"), "customer_name", "customer_group", "primary_city", "primary_country", "credit_limit", "payment_term_description",
         F.col("p_item").alias("item_id"), "product_number", "item_group_name", "product_category", "product_category_parent", "product_type",
         "department", "cost_center", F.concat(F.lit("BU-"), "department", "cost_center").alias("business_unit"), "invoice_date",
         *(days[n].alias(n) for n in ("fiscal_year", "fiscal_quarter", "fiscal_period", "month_name", "calendar_year")), "site_id", "warehouse_id")
