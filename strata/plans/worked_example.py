@@ -88,39 +88,46 @@ def sales_invoice_line_tests(t):
     lines = _lines(t)
     table = _shape(lines)
     base, (kept, lost) = S.invoice_line(t), _deliveries(t)
-
-    def row(n: int, test: str, df: DataFrame, measured: Column, failures: Column) -> DataFrame:
-        return df.agg(measured.cast("long").alias("measured"), F.coalesce(failures, F.lit(0)).cast("long").alias("failures")).select(F.lit(n).alias("n"), F.lit(test).alias("test"), "measured", "failures")
-
     every = F.count(F.lit(1))
-    per_key = table.groupBy("LegalEntityCode", "InvoiceLineSourceRecId").agg(every.alias("k"))
-    # what raw says, less what the dedup took out, against the table
-    raw = t.lineitem.agg(F.sum(S.dec6("l_quantity")).alias("q"))
-    out = lost.agg(F.sum(S.dec6("l_quantity")).alias("q"))
-    qty = table.agg(F.sum(F.abs("InvoicedQuantity")).alias("q"), every.alias("n"))
+    per_key = table.groupBy("LegalEntityCode", "InvoiceLineSourceRecId").agg(every.alias("k")).agg(F.sum("k").alias("keyed"), F.count_if(F.col("k") > 1).alias("repeated"))
     by = ["LegalEntityCode", "AccountingDate"]
     again = lines.select(F.col("company").alias("LegalEntityCode"), F.col("ship_date").alias("AccountingDate"), _signed("line_revenue_mst").alias("m"))
     amounts = Q.reconcile(again.groupBy(*by).agg(F.sum("m").alias("amount")), table.groupBy(*by).agg(F.sum("NetAmountAccountingCurrency").alias("amount")), by, ["amount"], 0.0)
-    n_base = base.agg(every.alias("n"))
-    # two loads by the date of shipping, as a merge by key would leave them, against one
-    loads = table.filter(F.col("AccountingDate") < F.lit(CUT).cast("date")).unionByName(table.filter(F.col("AccountingDate") >= F.lit(CUT).cast("date")))
-    whole = F.sum(F.xxhash64(*table.columns).cast("decimal(38,0)"))
-    same = loads.agg(every.alias("n"), whole.alias("h")).unionByName(table.agg(every.alias("n"), whole.alias("h")))
-    rows = [
-        row(1, "unique by entity and source line", per_key, F.sum("k"), F.count_if(F.col("k") > 1)),
-        row(2, "entity is set", table, every, F.count_if(F.col("LegalEntityCode").isNull())),
-        row(3, "invoice is set", table, every, F.count_if(F.col("InvoiceNumber").isNull())),
-        row(4, "quantity reconciles to raw", qty, F.max("n"), F.max((F.col("q") + out.scalar() != raw.scalar()).cast("int"))),
-        row(5, "amount reconciles by entity and date", amounts, every, F.count_if(F.col("status") != "MATCH")),
-        row(6, "header join keeps the lines", table, every, F.abs(every - n_base.scalar())),
-        row(7, "dimension join keeps the lines", lines, every, F.abs(every - n_base.scalar())),
-        row(8, "incremental load equals rebuild", same, F.max("n"), F.count_distinct("n", "h") - 1),
-        row(9, "credit notes are negative", table, F.count_if("IsCreditNote"), F.count_if((F.col("NetAmountTransactionCurrency") > 0) == F.col("IsCreditNote"))),
-        row(10, "discarded deliveries are traceable", lost.join(kept.select(*S.LINE_KEY).withColumn("found", F.lit(1)), S.LINE_KEY, "left"), every, F.count_if(F.col("found").isNull()))]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.withColumn("passed", F.col("failures") == 0)
+    amounts = amounts.agg(every.alias("groups"), F.count_if(F.col("status") != "MATCH").alias("unequal"))
+    # two loads by the date of shipping, as a merge by key would leave them, against one; everything on the table in one pass over it
+    hashed = F.xxhash64(*table.columns).cast("decimal(38,0)")
+    loaded = F.coalesce((F.col("AccountingDate") < F.lit(CUT).cast("date")) | (F.col("AccountingDate") >= F.lit(CUT).cast("date")), F.lit(False))
+    whole = table.agg(
+        every.alias("n"), F.sum(hashed).alias("h"), F.count_if(loaded).alias("loads_n"), F.sum(F.when(loaded, hashed)).alias("loads_h"),
+        F.count_if(F.col("LegalEntityCode").isNull()).alias("no_entity"), F.count_if(F.col("InvoiceNumber").isNull()).alias("no_invoice"), F.sum(F.abs("InvoicedQuantity")).alias("q"),
+        F.count_if("IsCreditNote").alias("credit_notes"), F.count_if((F.col("NetAmountTransactionCurrency") > 0) == F.col("IsCreditNote")).alias("wrong_sign"))
+    # what raw says, less what the dedup took out, against the table
+    raw = t.lineitem.agg(F.sum(S.dec6("l_quantity")).alias("raw_q"))
+    # a line without a full key traces nothing; met null-safely so that the kept lines are those of the dedup, not sorted out again without NULLs
+    order, line = S.LINE_KEY
+    found = kept.select(F.col(order).alias("k_order"), F.col(line).alias("k_line"), F.lit(1).alias("found"))
+    traced = lost.join(found, F.col(order).eqNullSafe(F.col("k_order")) & F.col(line).eqNullSafe(F.col("k_line")), "left").agg(
+        every.alias("lost_n"), F.count_if(F.col("found").isNull() | F.col(order).isNull() | F.col(line).isNull()).alias("untraced"), F.sum(S.dec6("l_quantity")).alias("lost_q"))
+    one = whole
+    for part in (per_key, amounts, raw, traced, base.agg(every.alias("base_n"))):
+        one = one.unionByName(part, allowMissingColumns=True)
+    one = one.agg(*[F.max(c).alias(c) for c in one.columns])    # one row of each: the figures side by side
+    n, base_n = F.col("n"), F.col("base_n")
+    sums = F.filter(F.array(F.struct(n.alias("n"), F.col("h").alias("h")), F.struct(F.col("loads_n").alias("n"), F.col("loads_h").alias("h"))), lambda x: x["h"].isNotNull())
+    tests = [
+        ("unique by entity and source line", F.col("keyed"), F.col("repeated")),
+        ("entity is set", n, F.col("no_entity")),
+        ("invoice is set", n, F.col("no_invoice")),
+        ("quantity reconciles to raw", n, (F.col("q") + F.col("lost_q") != F.col("raw_q")).cast("int")),
+        ("amount reconciles by entity and date", F.col("groups"), F.col("unequal")),
+        ("header join keeps the lines", n, F.abs(n - base_n)),
+        ("dimension join keeps the lines", n, F.abs(n - base_n)),
+        ("incremental load equals rebuild", F.greatest("n", "loads_n"), F.size(F.array_distinct(sums)) - 1),
+        ("credit notes are negative", F.col("credit_notes"), F.col("wrong_sign")),
+        ("discarded deliveries are traceable", F.col("lost_n"), F.col("untraced"))]
+    rows = [F.struct(F.lit(i).alias("n"), F.lit(test).alias("test"), measured.cast("long").alias("measured"), F.coalesce(failures, F.lit(0)).cast("long").alias("failures"))
+            for i, (test, measured, failures) in enumerate(tests, 1)]
+    return one.select(F.inline(F.array(*rows))).withColumn("passed", F.col("failures") == 0)
 
 
 def _deliveries(t) -> tuple[DataFrame, DataFrame]:
