@@ -115,7 +115,7 @@ def pair_reversals(originals: DataFrame, reversals: DataFrame, key: Sequence[str
     stretches meet by (key, cut): such a key is not one task.
     """
     rows = [*key, *order, F.col(period).alias("_period"), F.col(amount).alias("_amount")]
-    both = [df.filter((F.col(amount) > 0) & F.col(period).isNotNull()).select(*rows, F.lit(back).alias("_back")) for df, back in ((originals, False), (reversals, True))]
+    both = [df.filter(F.col(amount) > 0).select(*rows, F.lit(back).alias("_back")) for df, back in ((originals, False), (reversals, True))]
     both = both[0].unionByName(both[1])
     of = by_size(both, key, most)
     large = _pairs_by_cut(of(originals, True), of(reversals, True), key, order, period, amount, step)
@@ -126,14 +126,19 @@ def _pairs_in_order(both: DataFrame, key: Sequence[str], order: Sequence[str]) -
     """Pairs and rests of rows (_amount, _back) whose keys fit a window each.
 
     Every start of a stretch, of either side, begins a piece of the axis that lies in the last stretch begun on each side; it
-    ends with the next start or with the shorter of the two.  What a stretch has beyond the other side's end has no partner.
+    ends with the next start or with the shorter of the two.  What a stretch has outside of the other side has no partner.
+    Rows without a period come first and only take up their part of the axis.
     """
-    keys, back = list(key), F.col("_back")
+    keys, back, dated = list(key), F.col("_back"), F.col("_period").isNotNull()
     of_key = Window.partitionBy(*keys)
-    laid = Window.partitionBy(*keys, "_back").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    end = [F.coalesce(F.sum(F.when(back == side, F.col("_amount"))).over(of_key), F.lit(0)) for side in (False, True)]
-    rows = both.withColumns({"_from": F.coalesce(F.sum("_amount").over(laid), F.lit(0)), "_end": F.when(back, end[0]).otherwise(end[1])})
-    rows = rows.withColumn("_to", F.col("_from") + F.col("_amount")).withColumn("_own", F.struct(*order, "_to"))
+    laid = Window.partitionBy(*keys, "_back").orderBy("_period", *order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def others(which: Column) -> Column:
+        """The sum of the other side's amounts where ``which`` holds."""
+        o, r = (F.coalesce(F.sum(F.when((back == side) & which, F.col("_amount"))).over(of_key), F.lit(0)) for side in (False, True))
+        return F.when(back, o).otherwise(r)
+    rows = both.withColumns({"_from": F.coalesce(F.sum("_amount").over(laid), F.lit(0)), "_start": others(~dated), "_end": others(F.lit(True))})
+    rows = rows.withColumn("_to", F.col("_from") + F.col("_amount")).withColumn("_own", F.struct(*order, "_period", "_to"))
     walk = of_key.orderBy("_from", "_back")
     o, r = (F.last(F.when(back == side, F.col("_own")), ignorenulls=True).over(walk.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for side in (False, True))
     rows = rows.withColumns({"_o": o, "_r": r, "_next": F.lead("_from").over(walk)})
@@ -144,12 +149,13 @@ def _pairs_in_order(both: DataFrame, key: Sequence[str], order: Sequence[str]) -
         keyed = keyed & F.col(k).isNotNull()
     for c in order:
         named = named & F.col(c).isNotNull()
-    rest = F.when(keyed & named, F.col("_to") - F.greatest("_from", "_end")).otherwise(F.col("_amount"))
+    met = F.greatest(F.least("_to", "_end") - F.greatest("_from", "_start"), F.lit(0))
+    rest = F.when(dated, F.when(keyed & named, F.col("_amount") - met).otherwise(F.col("_amount")))
 
     def row(left: dict, right: dict, matched: Column, is_matched: bool) -> Column:
         return F.struct(*[left[c].alias(f"o_{c}") for c in order], *[right[c].alias(f"r_{c}") for c in order], matched.alias("matched"), F.lit(is_matched).alias("is_matched"))
     own = {c: F.col(c) for c in order}
-    pair = row({c: F.col("_o")[c] for c in order}, {c: F.col("_r")[c] for c in order}, F.when(keyed & F.col("_o").isNotNull() & F.col("_r").isNotNull(), piece), True)
+    pair = row({c: F.col("_o")[c] for c in order}, {c: F.col("_r")[c] for c in order}, F.when(keyed & F.col("_o._period").isNotNull() & F.col("_r._period").isNotNull(), piece), True)
     left = row({c: F.when(~back, own[c]) for c in order}, {c: F.when(back, own[c]) for c in order}, rest, False)
     return rows.select(*keys, F.inline(F.filter(F.array(pair, left), lambda x: x["matched"] > 0)))
 

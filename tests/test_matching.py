@@ -203,3 +203,11 @@ def test_allocation_and_pairs_move_rows_once(spark):
         return plan.executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
     assert written(MT.allocate(df, ["k"], ["i"], "w", "t", "s")) <= 2
     assert written(MT.pair_reversals(df.filter("not back"), df.filter("back"), ["k"], ["d", "i"], "d", "w", step=5)) <= 2
+
+
+@pytest.mark.parametrize("most", [1, 200_000])
+def test_pairs_beside_undated_rows(spark, most):
+    """An undated sale of 3 takes up the start of the axis: the return of 5 meets 2 of the dated sale, 3 stay; the sale's rest is 8."""
+    df = spark.createDataFrame([("a", None, 1, 3, False), ("a", day(1), 2, 10, False), ("a", day(2), 3, 5, True)], "k string, d date, i int, q long, back boolean")
+    out = MT.pair_reversals(df.filter("not back"), df.filter("back"), ["k"], ["d", "i"], "d", "q", step=5, most=most).collect()
+    assert {(x.o_i, x.r_i, x.matched, x.is_matched) for x in out} == {(2, 3, 2, True), (2, None, 8, False), (None, 3, 3, False)} and len(out) == 3
