@@ -73,3 +73,29 @@ def test_every_nation_is_a_source(spark, folder):
     orders = [(o, o % 8, "O", 1.0, ts("1996-01-15"), "1-URGENT") for o in range(7)] + [(7, 3, "O", 1.0, ts("1995-01-15"), "1-URGENT")]
     got = {r.customer_account: (r.location, r.source_used) for r in rows(spark, "by_precedence", folder(orders=orders))}
     assert got == {**{c: (f"N{c % 7}", "nation") for c in range(8) if c != 3}, 3: ("CITY-N3-1995", "address"), 90: (None, None), 91: (None, None)}
+
+
+def plan(spark, name, at):
+    return registry.QUERIES[name](spark, at)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("name, amount", [("obt_revenue", "line_revenue"), ("fact_sales_invoice_line", "line_revenue"), ("fact_sales_order_line", "sales_qty")])
+def test_amounts_are_computed_after_the_joins(spark, folder, name, amount):
+    """Below the topmost join no line carries a computed amount: lines move with the source's columns."""
+    above, join, below = plan(spark, name, folder()).partition("Join ")
+    assert join and f" AS {amount}#" in above and f" AS {amount}#" not in below
+
+
+def test_wide_rows_with_and_without_customers(spark, folder):
+    """Customers that meet the headers: every line is there once, with its customer's name, also where nation or customer are missing."""
+    lines = [line(o, 1) for o in (0, 1, 2, 50, 51)] + [line(1, 2), line(1, 2, ship="1995-04-01"), line(2, 7, part=9, supp=9)]
+    got = sorted((r.invoice_number, r.line_number, r.customer_name, r.company) for r in rows(spark, "obt_revenue", folder(lineitem=lines)))
+    assert got == [(0, 1, "C0", 0), (1, 1, "C1", 1), (1, 2, "C1", 1), (2, 1, "C2", 0), (2, 7, "C2", 0), (50, 1, "lost", None), (51, 1, None, None)]
+
+
+def test_the_ten_tests_read_the_lines_few_times(spark, folder):
+    at = folder()
+    got = {r.n: (r.measured, r.failures, r.passed) for r in rows(spark, "sales_invoice_line_tests", at)}
+    assert {n: v[0] for n, v in got.items()} == {1: 28, 2: 28, 3: 28, 4: 28, 5: 2, 6: 28, 7: 28, 8: 28, 9: got[9][0], 10: 0} and all(v[2] for v in got.values())
+    reads = [x for x in plan(spark, "sales_invoice_line_tests", at).splitlines() if "Relation " in x and "l_orderkey#" in x]
+    assert 0 < len(reads) <= 10
