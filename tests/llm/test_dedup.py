@@ -64,6 +64,53 @@ def test_near_classes_of_a_chain(spark):
     assert sorted(map(tuple, near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())) == sorted(brute.near_classes(rows, 4, 85))
 
 
+def test_near_classes_of_one_group_of_near_copies_meet_few_pairs(spark):
+    """Texts of one size, most too far from each other to link: prefixes that share fewer tokens than their sizes ask for do not meet."""
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for at in r.sample(range(150), (0, 1, 2, 4, 5, 6)[i % 6]):
+            w[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(w)))
+    from strata.llm import jaccard_join as J
+    met, cross = [], J._cross
+    J._cross = lambda *a, **b: (met.append(p := cross(*a, **b)), met.append(p.count()), p)[2]
+    try:
+        got = sorted(map(tuple, near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    finally:
+        J._cross = cross
+    assert got == sorted(brute.near_classes(rows, 4, 85))
+    assert sum(met[1::2]) <= 5 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_need_holds_for_all_prefixes(percent):
+    """Sets that link share that many tokens of their prefixes, and the need of a node is the least over the sizes it may meet."""
+    from strata.llm.jaccard_join import prefix_length
+    r = random.Random(percent)
+    for _ in range(3000):
+        n = r.randint(1, 160)
+        m = r.randint(-(-percent * n // 100), n)
+        both = r.randint(-(-percent * (n + m) // (100 + percent)), m) if -(-percent * (n + m) // (100 + percent)) <= m else None
+        if both is None:
+            continue
+        order = r.sample(range(400), n + m - both)
+        s, t = sorted(order[:n]), sorted(order[n - both:])
+        need = -(-percent * (n + m) // (100 + percent)) - max(0, -(-percent * n // 100) - 8)
+        assert len(set(s[:prefix_length(n, percent)]) & set(t[:prefix_length(m, percent)])) >= need
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_own_need_is_the_least_of_its_partners(spark, percent):
+    from strata.llm.jaccard_join import _need, _own_need
+    rows = [(n, lo, hi) for n in range(1, 90, 4) for lo in range(1, 100, 6) for hi in range(lo, 110, 7)]
+    d = spark.createDataFrame(rows, "n long, lo long, hi long").withColumn("own", _own_need(percent))
+    d = d.withColumn("m", F.explode(F.sequence("lo", "hi"))).where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
+    assert d.where(F.col("own") > _need(F.col("n"), F.col("m"), percent)).isEmpty()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (101, 102), (7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
