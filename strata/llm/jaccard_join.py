@@ -18,8 +18,8 @@ Method.
    verified on their whole texts (which travel compressed).
 5. Not all pairs of a large class are made.  First every group on a token meets
    only the token's smallest and largest group; verified links give components.
-   That is repeated with components in the place of groups while it finds links
-   and the pairs left are many, and finally the groups of different components on the same token meet each
+   That is repeated with components in the place of groups while it finds links,
+   the pairs left are many and a round leaves at most half as many, and finally the groups of different components on the same token meet each
    other.  A pair inside one component cannot change the classes, so none
    that matters is left out.
 6. Before groups of different components meet, tokens of one component alone and
@@ -282,6 +282,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     # then only what lies in different components; the members of one group share all its tokens
     shared = post.join(own, "gid").select("token", "nid", "n")
     alone = member.where("many").select("gid", "nid", "n")
+    left = None     # pairs that the round before had left
     while True:
         comp = components(links)
         rooted = shared.join(comp, F.col("nid") == F.col("node"), "left").select("token", "nid", "n", F.coalesce("root", "nid").alias("root"))
@@ -289,7 +290,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
         kept = gathered(checkpoint(_rarest(rows)))
         size = kept.groupBy("token", "root").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
         size = size.agg(F.sum("k"), F.sum(F.col("k") * F.col("k") - F.col("kk"))).first()
-        if size[0] and size[1] > 2 * _PAIRS_PER_ROW * size[0]:
+        if size[0] and size[1] > 2 * _PAIRS_PER_ROW * size[0] and (left is None or 2 * size[1] <= left):
+            left = size[1]
             more = linked(met(tips(rows.select("token", F.col("root").alias("part"), F.col("nid").alias("key")), rows), F.lit(_EARLY)))
             if not more.isEmpty():      # each joins two components
                 links = gathered(checkpoint(joined(comp).unionByName(more), links, more, rows, kept, comp))
