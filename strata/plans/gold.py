@@ -193,22 +193,23 @@ def fact_sales_order_line(t) -> DataFrame:
 def invoice_lines_in_full(t, customers: DataFrame | None = None, products: DataFrame | None = None) -> DataFrame:
     """Kept invoice lines with their header, cost (of the kept delivery), site and accounting rate, on natural keys.
 
-    Lines are read twice: for the rows themselves and for the header's tax total, both aggregated map-side first.  Each table
-    is met where the fewest and narrowest rows have to move: rates and ``customers`` (keyed by c_account and c_company) by the
-    headers, ``products`` (keyed by p_item) beside the price, and the lines keep the source's columns until their last join.
+    Lines and headers lie by order and meet there; only their keys go to parts and customers and come back with what was
+    found (rates and ``customers``, keyed by c_account and c_company, with the headers; ``products``, keyed by p_item, beside the
+    price).  Lines of orders too large for one task take another way to the same rows.  Lines keep the source's columns until
+    their last join.
     """
-    header = S.invoice_header(t, customers).withColumnRenamed("invoice_id", "h_invoice_id").drop("due_date", "sales_status")
-    rates = S.address_history(t).select(F.col("nation_key").alias("r_nation"), "valid_from", "valid_to", "rate")
     # one rate per nation and calendar year: bounded by construction
-    header = joins.resolve_version(header, F.broadcast(rates), ["nation_key"], ["r_nation"], at="invoice_date")
-    lines, wh = S.priced_lines(t), warehouse_of_lines(t)
-    if products is not None:
-        lines = lines.join(products, F.col("l_partkey") == F.col("p_item"), "left")
+    rates = S.address_history(t).select(F.col("nation_key").alias("r_nation"), "valid_from", "valid_to", "rate")
+    header = joins.resolve_version(S.untaxed_header(t, customers), F.broadcast(rates), ["nation_key"], ["r_nation"], at="invoice_date")
+    near, crowded, _ = S.lines_apart(t)     # lines without an order have no header
+    lines = S.taxed_lines_together(t, near, products).join(header, F.col("l_orderkey") == F.col("h_invoice_id"))
+    if crowded is not None:
+        lines = lines.unionByName(S.taxed_lines_apart(t, crowded, products).join(header, F.col("l_orderkey") == F.col("h_invoice_id")))
+    wh = warehouse_of_lines(t)
     more = [] if products is None else products.columns
-    base = (lines.join(header, F.col("l_orderkey") == F.col("h_invoice_id"))
-            .join(wh, F.col("l_suppkey") == F.col("warehouse_id"), "left")
-            .withColumns(S.cost_columns())
-            .select(*S.invoice_columns(), (F.col("posted") + F.col("adjustment")).cast("decimal(19,4)").alias("total_cost"), *header.columns, *wh.columns, *more))
+    base = (lines.join(wh, F.col("l_suppkey") == F.col("warehouse_id"), "left")
+            .withColumns({**S.cost_columns(), "total_tax": F.coalesce("total_tax", F.lit(0).cast("decimal(19,4)"))})
+            .select(*S.invoice_columns(), (F.col("posted") + F.col("adjustment")).cast("decimal(19,4)").alias("total_cost"), "total_tax", *header.columns, *wh.columns, *more))
     cost = F.coalesce("total_cost", F.lit(0).cast("decimal(19,4)"))
     share = F.col("line_revenue").cast("double") / F.col("invoice_amount").cast("double")
     return (base.withColumn("line_cost", cost)

@@ -1,9 +1,11 @@
 """The model's queries on hand-made tables in a folder."""
 
 import datetime as dt
+import re
 
 import pytest
 
+from strata.operators import windows
 from strata.plans import registry
 
 registry.load_all()
@@ -99,3 +101,86 @@ def test_the_ten_tests_read_the_lines_few_times(spark, folder):
     assert {n: v[0] for n, v in got.items()} == {1: 28, 2: 28, 3: 28, 4: 28, 5: 2, 6: 28, 7: 28, 8: 28, 9: got[9][0], 10: 0} and all(v[2] for v in got.values())
     reads = [x for x in plan(spark, "sales_invoice_line_tests", at).splitlines() if "Relation " in x and "l_orderkey#" in x]
     assert 0 < len(reads) <= 10
+
+
+def exchanges(spark, name, at, column):
+    """The different exchanges of the plan whose rows carry ``column``."""
+    node = registry.QUERIES[name](spark, at)._jdf.queryExecution().executedPlan()
+    todo, found = [node.initialPlan() if node.nodeName() == "AdaptiveSparkPlan" else node], set()
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange" and f"{column}#" in node.output().mkString(" "):
+            found.add(re.sub(r"plan_id=\d+|#\d+L?", "", node.canonicalized().toString()))
+    return found
+
+
+ODD_LINES = [line(o, n, part=1 + (o + n) % 3, supp=1 + n % 4, flag="NRA"[(o + n) % 3], status="OF"[n % 2], tax=n / 100) for o in range(14) for n in (1, 2, 3)] + [
+    line(3, 2, ship="1995-05-01"), line(3, 2, ship="1995-05-01"), line(3, None), line(3, None, ship="1994-05-01"), line(5, 1, part=None), line(5, 7, part=None, supp=None), line(None, 1), line(None, 1), line(None, None),
+    line(50, 1), line(51, 2, part=1), line(99, 1)]
+#: Parts, customers and orders that come twice: lines are repeated as often.
+ODD = {"lineitem": ODD_LINES, "part": ROWS["part"] + [(1, "p1", "b1", "t1", 3, 6.0)], "customer": ROWS["customer"] + [(2, "C2", 3, 1.0, "x")],
+       "orders": ROWS["orders"] + [(3, 3, "O", 20.0, ts("1996-01-01"), "1-URGENT"), (None, 1, "O", 1.0, ts("1995-01-01"), "2-HIGH")]}
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins of large tables: nothing is broadcast unasked."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+
+
+@pytest.mark.parametrize("name", ["fact_sales_invoice_line", "obt_revenue"])
+def test_invoice_lines_move_once(spark, folder, shuffled, name):
+    """Only the exchange that brings lines together by order, and the last one, to their supplier, carry their amounts."""
+    assert len(exchanges(spark, name, folder(), "l_extendedprice")) == 2
+
+
+@pytest.mark.parametrize("name", ["fact_sales_invoice_line", "obt_revenue", "sales_invoice_line"])
+def test_crowded_orders_give_the_same_lines(spark, folder, monkeypatch, name):
+    """Every order crowded, some, and none: the same rows, each as often, on repeated keys and NULLs, too."""
+    at, got = folder(**ODD), []
+    for most in (4_096, 4, 0):
+        monkeypatch.setattr(windows, "TOGETHER_ROWS", most)
+        got.append(sorted(map(str, rows(spark, name, at))))
+    assert got[0] == got[1] == got[2] and len(got[0]) > len(ODD_LINES)
+
+
+def test_the_ten_tests_on_crowded_orders(spark, folder, monkeypatch):
+    """The same figures whichever way the lines take; discarded deliveries without a full key are not traceable."""
+    at, got = folder(**ODD), []
+    for most in (4_096, 4, 0):
+        monkeypatch.setattr(windows, "TOGETHER_ROWS", most)
+        got.append([tuple(r) for r in rows(spark, "sales_invoice_line_tests", at)])
+    assert got[0] == got[1] == got[2]
+    figures = {r[0]: r[2:4] for r in got[0]}
+    # discarded: two of (3, 2), one of (3, NULL), one of (5, 1) and one of (NULL, 1); those without a full key count as untraced
+    assert figures[10] == (5, 2) and figures[2][0] == figures[8][0]
+
+
+def test_the_ten_tests_move_the_lines_once(spark, folder, shuffled):
+    """Everything that needs whole lines shares the exchange that brings them together by order; those to the supplier, small, aside."""
+    found = exchanges(spark, "sales_invoice_line_tests", folder(), "l_extendedprice")
+    assert len([x for x in found if "l_suppkey" not in x.partition("\n")[0] and "Join" not in x]) == 1
+
+
+def test_the_ten_tests_without_lines(spark, folder):
+    got = {r.n: (r.measured, r.failures) for r in rows(spark, "sales_invoice_line_tests", folder(lineitem=[]))}
+    assert {n: v[0] for n, v in got.items() if n != 1} == dict.fromkeys(range(2, 11), 0)
+
+
+def test_tax_and_cost_of_odd_lines(spark, folder):
+    """The invoice's tax counts each kept line once, though its part stands there twice; a line without a part has no cost."""
+    lines = [line(3, 1, tax=0.5), line(3, 2, tax=0.1), line(3, 2, tax=0.9, ship="1994-01-01"), line(3, None, part=None, tax=0.4)]
+    at = folder(lineitem=lines, part=ROWS["part"] + [(1, "p1", "b1", "t1", 3, 6.0)])
+    got = sorted((r.line_number or 0, r.line_cost, r.allocated_tax) for r in rows(spark, "fact_sales_invoice_line", at))
+    tax = 9 / 18.9 * 9 * (0.5 + 0.1 + 0.4)
+    assert [(n, c) for n, c, _ in got] == [(0, 0.0), (1, 7.5), (1, 9.0), (2, 7.5), (2, 9.0)] and all(abs(x - tax) < 1e-9 for *_, x in got)
+
+
+def test_rows_beside_rows(spark):
+    left = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, None, "c"), (2, 1, "d")], "k int, l int, v string")
+    right = spark.createDataFrame([(1, 1, 10), (1, None, 11), (1, None, 12), (1, 2, 13), (3, 3, 14)], "k int, l int, w int")
+    got = sorted((r.v, r.w or 0) for r in windows.beside(left, right, "k", "l").collect())
+    assert got == [("a", 10), ("b", 10), ("c", 11), ("c", 12), ("d", 0)]
