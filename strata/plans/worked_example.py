@@ -27,7 +27,7 @@ def _signed(c: str | Column) -> Column:
     return F.when(F.col("department") == "R", -F.col(c) if isinstance(c, str) else -c).otherwise(F.col(c) if isinstance(c, str) else c)
 
 
-def _shape(lines: DataFrame) -> DataFrame:
+def _shape(lines: DataFrame, *more: Column) -> DataFrame:
     credit = F.col("department") == "R"
     gross = (F.col("line_revenue") + F.col("line_discount_amount")).cast("decimal(19,4)")
     return lines.select(
@@ -42,7 +42,7 @@ def _shape(lines: DataFrame) -> DataFrame:
         _signed("line_revenue").alias("NetAmountTransactionCurrency"), F.lit("MST").alias("AccountingCurrencyCode"), _signed("line_revenue_mst").alias("NetAmountAccountingCurrency"),
         _signed("line_cost").alias("CostAmountAccountingCurrency"), credit.alias("IsCreditNote"), (credit & (F.col("cost_center") == "F")).alias("IsReversal"),
         F.col("ship_date").alias("SourceModifiedDateTime"), F.lit(BATCH_ID).alias("LoadBatchId"),
-        F.when(F.col("company").isNull() | F.col("invoice_id").isNull(), "REJECT").when(F.col("site_id").isNull() | F.col("line_revenue_mst").isNull(), "WARNING").otherwise("PASS").alias("DataQualityStatus"))
+        F.when(F.col("company").isNull() | F.col("invoice_id").isNull(), "REJECT").when(F.col("site_id").isNull() | F.col("line_revenue_mst").isNull(), "WARNING").otherwise("PASS").alias("DataQualityStatus"), *more)
 
 
 def _lines(t) -> DataFrame:
@@ -87,29 +87,34 @@ def sales_invoice_line_tests(t):
     """The ten required tests, each with the rows or groups that it measured and those that fail."""
     lines = _lines(t)
     table = _shape(lines)
-    base, (kept, lost) = S.invoice_line(t), _deliveries(t)
     every = F.count(F.lit(1))
     per_key = table.groupBy("LegalEntityCode", "InvoiceLineSourceRecId").agg(every.alias("k")).agg(F.sum("k").alias("keyed"), F.count_if(F.col("k") > 1).alias("repeated"))
-    by = ["LegalEntityCode", "AccountingDate"]
-    again = lines.select(F.col("company").alias("LegalEntityCode"), F.col("ship_date").alias("AccountingDate"), _signed("line_revenue_mst").alias("m"))
-    amounts = Q.reconcile(again.groupBy(*by).agg(F.sum("m").alias("amount")), table.groupBy(*by).agg(F.sum("NetAmountAccountingCurrency").alias("amount")), by, ["amount"], 0.0)
-    amounts = amounts.agg(every.alias("groups"), F.count_if(F.col("status") != "MATCH").alias("unequal"))
-    # two loads by the date of shipping, as a merge by key would leave them, against one; everything on the table in one pass over it
+    # two loads by the date of shipping, as a merge by key would leave them, against one; everything on the table in one pass over it,
+    # kept by entity and date, of the lines and of the table, so that their amounts can be reconciled
+    by, own = ["LegalEntityCode", "AccountingDate"], ["company", "ship_date"]
     hashed = F.xxhash64(*table.columns).cast("decimal(38,0)")
     loaded = F.coalesce((F.col("AccountingDate") < F.lit(CUT).cast("date")) | (F.col("AccountingDate") >= F.lit(CUT).cast("date")), F.lit(False))
-    whole = table.agg(
+    daily = _shape(lines, *own, _signed("line_revenue_mst").alias("m")).groupBy(*own, *by).agg(
+        F.sum("m").alias("m"), F.sum("NetAmountAccountingCurrency").alias("amount"),
         every.alias("n"), F.sum(hashed).alias("h"), F.count_if(loaded).alias("loads_n"), F.sum(F.when(loaded, hashed)).alias("loads_h"),
         F.count_if(F.col("LegalEntityCode").isNull()).alias("no_entity"), F.count_if(F.col("InvoiceNumber").isNull()).alias("no_invoice"), F.sum(F.abs("InvoicedQuantity")).alias("q"),
         F.count_if("IsCreditNote").alias("credit_notes"), F.count_if((F.col("NetAmountTransactionCurrency") > 0) == F.col("IsCreditNote")).alias("wrong_sign"))
+    again = daily.select(F.col("company").alias("LegalEntityCode"), F.col("ship_date").alias("AccountingDate"), "m")
+    counts, sums = ["n", "loads_n", "no_entity", "no_invoice", "credit_notes", "wrong_sign"], ["h", "loads_h", "q"]
+    amounts = Q.reconcile(again.groupBy(*by).agg(F.sum("m").alias("amount")), daily.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("amount", *counts, *sums)]),
+                          by, ["amount"], 0.0, keep=[*counts, *sums])
+    whole = amounts.agg(every.alias("groups"), F.count_if(F.col("status") != "MATCH").alias("unequal"),
+                        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts], *[F.sum(c).alias(c) for c in sums])
     # what raw says, less what the dedup took out, against the table
     raw = t.lineitem.agg(F.sum(S.dec6("l_quantity")).alias("raw_q"))
-    # a line without a full key traces nothing; met null-safely so that the kept lines are those of the dedup, not sorted out again without NULLs
-    order, line = S.LINE_KEY
-    found = kept.select(F.col(order).alias("k_order"), F.col(line).alias("k_line"), F.lit(1).alias("found"))
-    traced = lost.join(found, F.col(order).eqNullSafe(F.col("k_order")) & F.col(line).eqNullSafe(F.col("k_line")), "left").agg(
-        every.alias("lost_n"), F.count_if(F.col("found").isNull() | F.col(order).isNull() | F.col(line).isNull()).alias("untraced"), F.sum(S.dec6("l_quantity")).alias("lost_q"))
+    base, traced = None, None
+    for kept, lost in _deliveries(t):
+        usual = base is None
+        own_base, own_traced = S.invoice_line(t, kept).select("invoice_id"), _traced(kept, lost, usual)
+        base, traced = (own_base, own_traced) if usual else (base.unionByName(own_base), traced.unionByName(own_traced))
+    traced = traced.agg(every.alias("lost_n"), F.count_if("untraced").alias("untraced"), F.sum(S.dec6("l_quantity")).alias("lost_q"))
     one = whole
-    for part in (per_key, amounts, raw, traced, base.agg(every.alias("base_n"))):
+    for part in (per_key, raw, traced, base.agg(every.alias("base_n"))):
         one = one.unionByName(part, allowMissingColumns=True)
     one = one.agg(*[F.max(c).alias(c) for c in one.columns])    # one row of each: the figures side by side
     n, base_n = F.col("n"), F.col("base_n")
@@ -130,6 +135,21 @@ def sales_invoice_line_tests(t):
     return one.select(F.inline(F.array(*rows))).withColumn("passed", F.col("failures") == 0)
 
 
-def _deliveries(t) -> tuple[DataFrame, DataFrame]:
-    """(deliveries that the dedup keeps, those that it takes out)"""
-    return windows.dedup(t.lineitem, S.LINE_KEY, S.LINE_ORDER)
+def _deliveries(t) -> list[tuple[DataFrame, DataFrame]]:
+    """(deliveries that the dedup keeps, those that it takes out): of the usual orders, of crowded ones and of lines without one."""
+    return windows.dedup_by(S.lines_apart(t), S.LINE_KEY[0], S.LINE_KEY, S.LINE_ORDER)
+
+
+def _traced(kept: DataFrame, lost: DataFrame, near: bool) -> DataFrame:
+    """The quantities of discarded lines, each with whether it has a kept line; a line without a full key traces nothing.
+
+    Met null-safely, so that the kept lines are those of the dedup, not sorted out again without NULLs; where both lie by order, in place.
+    """
+    order, line = S.LINE_KEY
+    found, lost = kept.select(order, line, F.lit(1).alias("found")), lost.select(order, line, "l_quantity")
+    if near:
+        met = windows.beside(lost, found, order, line)
+    else:
+        found = found.withColumnsRenamed({order: "k_order", line: "k_line"})
+        met = lost.join(found, F.col(order).eqNullSafe(F.col("k_order")) & F.col(line).eqNullSafe(F.col("k_line")), "left")
+    return met.select("l_quantity", (F.col("found").isNull() | F.col(order).isNull() | F.col(line).isNull()).alias("untraced"))
